@@ -137,6 +137,18 @@ def transactions(blocks: DataFrame, epoch: int, block_expiry: int, epoch_length:
     return expand(blocks_with_lookback(blocks, epoch, block_expiry, epoch_length), wei_exponent)
 
 
+def lookback_epochs(blocks: DataFrame, epoch_length: int, block_expiry: int,
+                    epoch_col: str = "epoch", block_col: str = "blockNumber") -> DataFrame:
+    """S5/S7 over all epochs at once: ``ratingEpoch`` is the row's epoch, and
+    rows in the last ``block_expiry`` blocks of an epoch are also copied to
+    the next one (its look-back), so every epoch's input is one filter away
+    and no driver loop over epochs is needed."""
+    nxt = F.col(epoch_col) + 1
+    tail = F.col(block_col) >= nxt.cast("long") * epoch_length - block_expiry
+    return blocks.withColumn("ratingEpoch", F.explode(
+        F.when(tail, F.array(F.col(epoch_col), nxt)).otherwise(F.array(F.col(epoch_col)))))
+
+
 def union_epochs(frames: list[DataFrame]) -> DataFrame:
     """Union by name; a column missing in one epoch becomes null there."""
     out = frames[0]
