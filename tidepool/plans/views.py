@@ -120,3 +120,27 @@ def blocks(spark: SparkSession, sf_dir: str, london_block: int = 5000) -> DataFr
     new = raw.where(F.col("number") >= london_block)
     b = union_epochs([old, new])
     return b.join(lines, b["number"] == lines["l_orderkey"], "left").drop("l_orderkey")
+
+
+def rated_view(spark: SparkSession, sf_dir: str, *, chunk_width: float = 1000,
+               delta_expiry: float = 20, base_expiry: float = 100,
+               usd_expiry: float = 10) -> DataFrame:
+    """The rated-swap chain of the reference on ``swap_log``: price, volume,
+    tick liquidity, rate prep, gas amounts, previous-swap delta, base quotes
+    per paired token, USD quote, base amounts, fees, USD amounts, day tags."""
+    from tidepool.operators import daily, enrich, rate
+    from tidepool.sources.events import pool_name
+    s = swap_log(spark, sf_dir)
+    s = with_price0(s)
+    s = enrich.swap_volume(s)
+    s = enrich.tick_liquidity(s)
+    s = enrich.exchange_rate_prep(s, base_token=BASE_TOKEN)
+    s = s.withColumn("pool", pool_name(F.col("token0.symbol"), F.col("token1.symbol"), F.col("fee")))
+    s = with_gas_amounts(s)
+    s = rate.swap_delta(s, expiry=delta_expiry, chunk_width=chunk_width)
+    s = rate.base_exchange_rate(s, base_token=BASE_TOKEN, expiry=base_expiry, chunk_width=chunk_width)
+    s = rate.usd_exchange_rate(s, usd_token=USD_TOKEN, expiry=usd_expiry, chunk_width=chunk_width)
+    s = rate.base_amounts(s, base_token=BASE_TOKEN)
+    s = rate.total_fees(s)
+    s = rate.usd_amounts(s, usd_token=USD_TOKEN)
+    return daily.day_tags(s)
