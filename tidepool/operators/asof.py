@@ -1,21 +1,20 @@
 """Latest earlier row per key, with an optional expiry.
 
 One operator covers the as-of quote joins, the deprecated rolling quotes and
-the previous-swap delta. It is a distributed prefix scan:
-
-1. Cut the order key into chunks of ``chunk_width`` (``floor(order / w)``).
-2. Inside each (key, chunk): ``last(candidate, ignorenulls)`` over a window
-   ordered by the order key, ending one row before (or at) the current row.
-3. Per (key, chunk): the chunk's last candidate (``max_by``, partially
-   aggregated). A window over these few summary rows, per key and ordered by
-   chunk, carries the last candidate of all earlier chunks.
-4. Join the carry back on (key, chunk) and take the in-chunk value first.
-5. Null the result when it is older than ``expiry`` (strictly greater gap)
-   or, for as-of quotes, when the row is itself a candidate.
-
-No window ever spans a whole key: a key holding a third of all rows is
-split into chunks, and a constant key (USD quotes) is no special case. The
-summary has one row per non-empty (key, chunk), a tiny fraction of the rows.
+the previous-swap delta, without any window spanning a whole key.
+
+With an expiry ``X`` (J4-J6, W3) it is a bucketed as-of: cut the order key
+into chunks of width ``W >= X``; copy every candidate that lies in the last
+``X`` of its chunk into the next chunk; one window per (key, chunk), ordered
+by the order key, then finds the latest candidate; copies are dropped and
+values older than ``X`` nulled. Any candidate within ``X`` of a row is in the
+row's chunk or is a copy from the previous one, so this is exact, and it is
+one shuffle: no join, no aggregate, the input is computed once. A key
+holding a third of all rows (or the constant USD key) is split into chunks.
+
+Without an expiry (W1, W2) a carry is needed: the last candidate of each
+(key, chunk) is aggregated, a window over those few summary rows carries it
+to later chunks, and a join brings it back (two passes over the input).
 """
 
 from __future__ import annotations
@@ -37,12 +36,73 @@ def _key_cols(key: str | Sequence[str] | None) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _internal_key(keys: list[str]) -> Column:
+    """One non-null, injective string key: a null key stays a group of its own
+    and joins by plain equality (no null-safe rewrite that would reshuffle)."""
+    if not keys:
+        return F.lit("")
+    parts = [F.when(F.col(k).isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), F.col(k).cast("string")))
+             for k in keys]
+    return parts[0] if len(parts) == 1 else F.concat_ws("\u0001", *parts)
+
+
 def latest_before(df: DataFrame, *, key: str | Sequence[str] | None, order: str,
                   candidate: Column, value: Column, out: str,
                   include_current: bool = False, expiry: float | None = None,
                   self_excluded: bool = False, chunk_width: float = 10000) -> DataFrame:
     """Add ``out``: ``value`` of the latest candidate row of the same key.
 
+    ``candidate``: boolean, which rows can be picked.
+    ``value``: struct to carry; it must hold the order key under the name
+    ``order`` so the expiry can be tested.
+    ``include_current``: frame ends at the current row (W1/W2) instead of
+    one row before (J4-J6, W3).
+    ``expiry``: gap (in order units) above which the value is dropped.
+    ``self_excluded``: a candidate row gets null (a quote row shows no quote).
+    """
+    if expiry is None:
+        return _latest_with_carry(df, key=key, order=order, candidate=candidate, value=value,
+                                  out=out, include_current=include_current,
+                                  self_excluded=self_excluded, chunk_width=chunk_width)
+    keys = _key_cols(key)
+    cols = [c for c in df.columns if c != out]
+    width = max(float(chunk_width), float(expiry))
+    base = df.withColumns({
+        _KEYS: _internal_key(keys),
+        _CHUNK: F.floor(F.col(order) / F.lit(width)).cast("long"),
+        _CAND: F.when(candidate, value),
+        "__is_cand": F.coalesce(candidate, F.lit(False)),
+        "__orig": F.lit(True),
+    })
+    in_tail = F.col(order) >= (F.col(_CHUNK) + 1) * F.lit(width) - F.lit(expiry)
+    # the copy is made in the same pass (explode), so the input is not read
+    # twice; a copy keeps only what the window needs, other columns are null
+    dup = base.withColumn("__copy", F.explode(
+        F.when(F.col("__is_cand") & in_tail, F.array(F.lit(False), F.lit(True)))
+         .otherwise(F.array(F.lit(False)))))
+    copy = F.col("__copy")
+    rows = dup.select(
+        *[F.when(~copy, F.col(c)).alias(c) if c != order else F.col(order) for c in cols],
+        F.col(_KEYS), (F.col(_CHUNK) + copy.cast("long")).alias(_CHUNK), F.col(_CAND),
+        F.col("__is_cand"), (~copy).alias("__orig"))
+    end = Window.currentRow if include_current else -1
+    w = (Window.partitionBy(F.col(_KEYS), F.col(_CHUNK)).orderBy(F.col(order))
+         .rowsBetween(Window.unboundedPreceding, end))
+    found = (rows
+                 .withColumn(out, F.last(F.col(_CAND), ignorenulls=True).over(w))
+                 .where(F.col("__orig")))
+    result = F.when(F.col(order) - F.col(out)[order] <= F.lit(expiry), F.col(out))
+    if self_excluded:
+        result = F.when(~F.col("__is_cand"), result)
+    return found.select(*cols, result.alias(out))
+
+
+def _latest_with_carry(df: DataFrame, *, key: str | Sequence[str] | None, order: str,
+                  candidate: Column, value: Column, out: str,
+                  include_current: bool = False, expiry: float | None = None,
+                  self_excluded: bool = False, chunk_width: float = 10000) -> DataFrame:
+    """Add ``out``: ``value`` of the latest candidate row of the same key.
+
     ``candidate``: boolean, which rows can be picked.
     ``value``: struct to carry; it must contain the field ``order``'s value
     under the name given by ``order`` so expiry can be tested.
@@ -50,42 +110,42 @@ def latest_before(df: DataFrame, *, key: str | Sequence[str] | None, order: str,
     one row before (J4-J6, W3).
     ``expiry``: gap (in order units) above which the value is dropped.
     ``self_excluded``: a candidate row gets null (a quote row shows no quote).
+
+    Plan: one shuffle of the rows on (key, chunk) feeds the window; the chunk
+    summary is aggregated from the window's output (same partitioning, no
+    second shuffle, the upstream runs once), and only the small carry table
+    moves again (broadcast by AQE when its measured size allows).
     """
     keys = _key_cols(key)
-    cand = F.when(candidate, value)
-    part = [F.col(k) for k in keys] + [F.col(_CHUNK)]
+    cols = [c for c in df.columns if c != out]
     end = Window.currentRow if include_current else -1
-    w_in = (Window.partitionBy(*part).orderBy(F.col(order))
+    w_in = (Window.partitionBy(F.col(_KEYS), F.col(_CHUNK)).orderBy(F.col(order))
             .rowsBetween(Window.unboundedPreceding, end))
 
-    base = (df.withColumn(_CHUNK, F.floor(F.col(order) / F.lit(chunk_width)).cast("long"))
-              .withColumn(_CAND, cand))
+    base = df.withColumns({
+        _KEYS: _internal_key(keys),
+        _CHUNK: F.floor(F.col(order) / F.lit(chunk_width)).cast("long"),
+        _CAND: F.when(candidate, value),
+        "__is_cand": F.coalesce(candidate, F.lit(False)),
+    })
     inside = base.withColumn(out, F.last(F.col(_CAND), ignorenulls=True).over(w_in))
 
     # one row per (key, chunk): the chunk's last candidate, then the carry
-    summary = (base.groupBy(*keys, _CHUNK)
-                   .agg(F.max_by(F.col(_CAND), F.when(F.col(_CAND).isNotNull(), F.col(order)))
-                        .alias(_CAND)))
-    w_sum = (Window.partitionBy(*[F.col(k) for k in keys]).orderBy(F.col(_CHUNK))
+    summary = (inside.groupBy(_KEYS, _CHUNK)
+                     .agg(F.max_by(F.col(_CAND), F.when(F.col(_CAND).isNotNull(), F.col(order)))
+                          .alias("__last")))
+    w_sum = (Window.partitionBy(F.col(_KEYS)).orderBy(F.col(_CHUNK))
              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.withColumn(_CARRY, F.last(F.col(_CAND), ignorenulls=True).over(w_sum))
+    carry = (summary.withColumn(_CARRY, F.last(F.col("__last"), ignorenulls=True).over(w_sum))
                     .where(F.col(_CARRY).isNotNull())
-                    .select(*keys, _CHUNK, _CARRY))
-
-    # null-safe on the keys: a null key is a group of its own, as in the window
-    ck = [f"{_KEYS}{i}" for i in range(len(keys))]
-    carry = carry.select(*[F.col(k).alias(c) for k, c in zip(keys, ck)],
-                         F.col(_CHUNK).alias(_CHUNK + "_c"), _CARRY)
-    cond = F.col(_CHUNK) == F.col(_CHUNK + "_c")
-    for k, c in zip(keys, ck):
-        cond = cond & F.col(k).eqNullSafe(F.col(c))
-    joined = inside.join(carry, on=cond, how="left")
+                    .select(_KEYS, _CHUNK, _CARRY))
+
+    joined = inside.join(carry, on=[_KEYS, _CHUNK], how="left")
     result = F.coalesce(F.col(out), F.col(_CARRY))
     if expiry is not None:
         result = F.when(F.col(order) - result[order] <= F.lit(expiry), result)
     if self_excluded:
-        result = F.when(~F.coalesce(candidate, F.lit(False)), result)
-    cols = [c for c in df.columns if c != out]
+        result = F.when(~F.col("__is_cand"), result)
     return joined.select(*cols, result.alias(out))
 
 

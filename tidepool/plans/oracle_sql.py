@@ -143,3 +143,66 @@ def with_swaps(select: str) -> str:
 def rn(x: str, digits: int = 6) -> str:
     """Same quantization as ``catalog.r6`` (offset floor, no -0.0)."""
     return f"(floor(({x}) * 1e{digits} + 0.12345678) / 1e{digits} + 0.0)"
+
+
+# pool-day groups of the rated view; prices kept as cents for exact deltas
+DAY_CTE = """
+, rg AS (
+  SELECT *, 100.0 / v AS price0d, v / 100.0 AS price1d,
+         (CAST(pv - v AS DOUBLE) / v) * 100 AS pct0, (CAST(v - pv AS DOUBLE) / pv) * 100 AS pct1,
+         k - pk AS tickDelta, CASE WHEN has_bf THEN (gp - 5) / 1000.0 END AS resolvedTip
+  FROM rated),
+mu AS (
+  SELECT date, address, pool, pair, avg(pct0) AS mu0, avg(pct1) AS mu1,
+         min(pct0) = max(pct0) AS flat0, min(pct1) = max(pct1) AS flat1
+  FROM rg GROUP BY date, address, pool, pair),
+rgm AS (SELECT rg.*, mu.mu0, mu.mu1, mu.flat0, mu.flat1 FROM rg JOIN mu USING (date, address, pool, pair)),
+day AS (
+  SELECT date, address, pool, pair, count(*) AS swapCount,
+         arg_min(v, logId) AS fv, arg_max(v, logId) AS lv, min(v) AS minv, max(v) AS maxv,
+         min(logId) AS firstPriceLogId, max(logId) AS lastPriceLogId,
+         sum(tickDepth0 * price0d) / nullif(sum(tickDepth0), 0) AS lwp0,
+         sum(tickDepth1 * price1d) / nullif(sum(tickDepth1), 0) AS lwp1,
+         sum(abs(pct0)) AS tt0, sum(abs(pct1)) AS tt1,
+         count(pct0) AS n0, count(pct1) AS n1,
+         avg(power(pct0 - mu0, 2)) AS m20, avg(power(pct0 - mu0, 3)) AS m30, avg(power(pct0 - mu0, 4)) AS m40,
+         avg(power(pct1 - mu1, 2)) AS m21, avg(power(pct1 - mu1, 3)) AS m31, avg(power(pct1 - mu1, 4)) AS m41,
+         bool_or(flat0) AS flat0, bool_or(flat1) AS flat1,
+         CASE WHEN count(*) > 1 AND min(v) <> max(v) AND min(timestamp) <> max(timestamp)
+              THEN covar_pop(price0d, timestamp) / (stddev_samp(price0d) * stddev_samp(timestamp)) END AS trend0,
+         CASE WHEN count(*) > 1 AND min(v) <> max(v) AND min(timestamp) <> max(timestamp)
+              THEN covar_pop(price1d, timestamp) / (stddev_samp(price1d) * stddev_samp(timestamp)) END AS trend1,
+         sum(abs(N0)) AS sv0, sum(abs(N1)) AS sv1, sum(N0) AS sn0, sum(N1) AS sn1,
+         sum(bvol) AS volumeBase, sum(uvol) AS volumeUsd, avg(bvol) AS avgVolumeBase, avg(uvol) AS avgVolumeUsd,
+         quantile_cont(bvol, 0.5) AS medVolumeBase, quantile_cont(uvol, 0.5) AS medVolumeUsd,
+         avg(abs(tickDelta)) AS avgTicks, quantile_cont(abs(tickDelta), 0.5) AS medTicks,
+         avg(tickDepth0) AS avgTickDepth0, avg(tickDepth1) AS avgTickDepth1,
+         avg(gas) AS avgGas, quantile_cont(gas, 0.5) AS medGas,
+         quantile_cont(resolvedTip, 0.25) AS tipQ1, quantile_cont(resolvedTip, 0.5) AS tipQ2,
+         quantile_cont(resolvedTip, 0.75) AS tipQ3,
+         avg(totalFeePct) AS avgTotalFeePct, quantile_cont(totalFeePct, 0.5) AS medTotalFeePct,
+         avg(totalFeesUsd) AS avgTotalFeesUsd, quantile_cont(totalFeesUsd, 0.5) AS medTotalFeesUsd
+  FROM rgm GROUP BY date, address, pool, pair),
+dd AS (
+  SELECT *,
+         100.0 / fv AS firstPrice0, fv / 100.0 AS firstPrice1, 100.0 / lv AS lastPrice0, lv / 100.0 AS lastPrice1,
+         100.0 / maxv AS minPrice0, minv / 100.0 AS minPrice1, 100.0 / minv AS maxPrice0, maxv / 100.0 AS maxPrice1,
+         CASE WHEN n0 > 0 AND NOT flat0 AND m20 > 0 THEN m30 / power(m20, 1.5) END AS skewness0,
+         CASE WHEN n1 > 0 AND NOT flat1 AND m21 > 0 THEN m31 / power(m21, 1.5) END AS skewness1,
+         CASE WHEN n0 > 0 AND NOT flat0 AND m20 > 0 THEN m40 / (m20 * m20) - 3 END AS kurtosis0,
+         CASE WHEN n1 > 0 AND NOT flat1 AND m21 > 0 THEN m41 / (m21 * m21) - 3 END AS kurtosis1,
+         sv0 / 1e8 AS volume0, sv1 / 1e8 AS volume1, sn0 / 1e8 AS netAmount0, sn1 / 1e8 AS netAmount1,
+         CAST(100 * (fv - lv) AS DOUBLE) / CAST(lv * fv AS DOUBLE) AS priceDelta0,
+         (lv - fv) / 100.0 AS priceDelta1,
+         (CAST(fv - lv AS DOUBLE) / fv) * 100 AS priceDeltaPct0,
+         (CAST(lv - fv AS DOUBLE) / lv) * 100 AS priceDeltaPct1,
+         CAST(100 * (maxv - minv) AS DOUBLE) / CAST(minv * maxv AS DOUBLE) AS priceRange0,
+         (maxv - minv) / 100.0 AS priceRange1,
+         CASE WHEN maxv <> minv THEN (CAST((maxv - minv) * fv AS DOUBLE) / CAST(minv * maxv AS DOUBLE)) * 100 ELSE 0.0 END AS volatility0,
+         CASE WHEN maxv <> minv THEN (CAST(maxv - minv AS DOUBLE) / fv) * 100 ELSE 0.0 END AS volatility1
+  FROM day)
+"""
+
+
+def with_days(select: str) -> str:
+    return "WITH " + SWAP_CTE.strip() + "\n" + DAY_CTE.strip() + "\n" + select.strip()
