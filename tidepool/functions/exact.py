@@ -76,6 +76,8 @@ def parse(s):
         s = format(Decimal(repr(float(s))), "f")
     elif not isinstance(s, str):  # Decimal, numpy integer
         s = format(Decimal(str(s)), "f")
+    if not s.strip():
+        return None  # an empty literal (e.g. concat_ws of nulls) is no number
     if "/" in s:
         a, b = s.split("/", 1)
         n1, d1 = _part(a)

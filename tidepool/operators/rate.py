@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidepool.functions import exact as X
 from tidepool.operators.asof import latest_before, previous_row, quote_struct
@@ -23,6 +23,29 @@ DEFAULT_CHUNK = 10000
 
 # -- W3: previous swap of the same pool ----------------------------------------
 
+DELTA_FIELDS = ["priceDelta0", "priceDelta1", "priceDeltaPct0", "priceDeltaPct1"]
+
+
+def _delta_row(p0, p1, l0, l1):
+    out = []
+    pct = []
+    for p, last in ((p0, l0), (p1, l1)):
+        lv = X.parse(last)
+        d = X.sub(X.parse(p), lv)
+        out.append(X.fmt(d))
+        q = X.div(d, lv)
+        pct.append(None if q is None else X.to_float(q) * 100)
+    return out + pct
+
+
+@pandas_udf(StructType([StructField("priceDelta0", StringType()), StructField("priceDelta1", StringType()),
+                        StructField("priceDeltaPct0", DoubleType()),
+                        StructField("priceDeltaPct1", DoubleType())]))
+def _delta(p0: pd.Series, p1: pd.Series, l0: pd.Series, l1: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_delta_row(a, b, c, d) for a, b, c, d in zip(p0, p1, l0, l1)],
+                        columns=DELTA_FIELDS)
+
+
 def swap_delta(df: DataFrame, *, key: str = "address", order: str = "logId",
                expiry: float = BLOCK_EXPIRY, chunk_width: float = DEFAULT_CHUNK) -> DataFrame:
     """lastPrice0/1, priceDelta0/1, priceDeltaPct0/1 (percent of the previous
@@ -39,14 +62,8 @@ def swap_delta(df: DataFrame, *, key: str = "address", order: str = "logId",
         "lastPrice1": F.when(live, p["price1"]),
         "tickDelta": F.when(live, F.col("tick") - p["tick"]),
     })
-    out = out.withColumns({
-        "priceDelta0": X.sub_(F.col("price0"), F.col("lastPrice0")),
-        "priceDelta1": X.sub_(F.col("price1"), F.col("lastPrice1")),
-    })
-    out = out.withColumns({
-        "priceDeltaPct0": X.resolve(X.div_(F.col("priceDelta0"), F.col("lastPrice0"))) * 100,
-        "priceDeltaPct1": X.resolve(X.div_(F.col("priceDelta1"), F.col("lastPrice1"))) * 100,
-    })
+    d = _delta(F.col("price0"), F.col("price1"), F.col("lastPrice0"), F.col("lastPrice1"))
+    out = out.withColumn("__d", d).withColumns({c: F.col(f"__d.{c}") for c in DELTA_FIELDS}).drop("__d")
     return out.drop("__prev")
 
 
@@ -142,30 +159,53 @@ def convert_by_suffix(name: str) -> Column:
     return convert(F.col(name), F.col("base" + name[-1]))
 
 
+BASE_FIELDS = ["cv0", "cv1", "cf0", "cf1", "fee0_cf1", "cf0_fee1", "cf0_cf1"]
+
+
+def _base_row(v0, v1, f0, f1, is_base_pool, is1, price1, b0p, b0is1, b1p, b1is1):
+    cv0 = _convert_one(v0, is_base_pool, is1, price1, b0p, b0is1)
+    cv1 = _convert_one(v1, is_base_pool, is1, price1, b1p, b1is1)
+    cf0 = _convert_one(f0, is_base_pool, is1, price1, b0p, b0is1)
+    cf1 = _convert_one(f1, is_base_pool, is1, price1, b1p, b1is1)
+    p = X.parse
+    return [cv0, cv1, cf0, cf1, X.fmt(X.add(p(f0), p(cf1))), X.fmt(X.add(p(cf0), p(f1))),
+            X.fmt(X.add(p(cf0), p(cf1)))]
+
+
+@pandas_udf(StructType([StructField(f, StringType()) for f in BASE_FIELDS]))
+def _base_candidates(v0: pd.Series, v1: pd.Series, f0: pd.Series, f1: pd.Series, ibp: pd.Series,
+                     is1: pd.Series, price1: pd.Series, b0p: pd.Series, b0is1: pd.Series,
+                     b1p: pd.Series, b1is1: pd.Series) -> pd.DataFrame:
+    rows = [_base_row(a, b, c, d, _nullable(e), _nullable(f), g, h, _nullable(i), j, _nullable(k))
+            for a, b, c, d, e, f, g, h, i, j, k in zip(v0, v1, f0, f1, ibp, is1, price1, b0p, b0is1,
+                                                        b1p, b1is1)]
+    return pd.DataFrame(rows, columns=BASE_FIELDS)
+
+
 def base_amounts(df: DataFrame, base_token: str = ETH_ADDRESS) -> DataFrame:
     """Map of volume, volumeBis and fee in the base token.
 
     A pool holding the base token uses its own side; otherwise the side with
-    the newest quote wins (B4: a missing quote is a null ``logId``).
+    the newest quote wins (B4: a missing quote is a null ``logId``). The
+    candidate amounts come from one Arrow pass; the branch is chosen JVM-side.
     """
-    cv0, cv1 = convert_by_suffix("volume0"), convert_by_suffix("volume1")
-    cf0, cf1 = convert_by_suffix("fee0"), convert_by_suffix("fee1")
-    tmp = df.withColumns({"__cv0": cv0, "__cv1": cv1, "__cf0": cf0, "__cf1": cf1})
-    no_base_fee = X.add_(F.col("__cf0"), F.col("__cf1"))
+    c = _base_candidates(F.col("volume0"), F.col("volume1"), F.col("fee0"), F.col("fee1"),
+                         F.col("isBasePool"), F.col("is1"), F.col("price1"),
+                         F.col("base0.price"), F.col("base0.is1"), F.col("base1.price"), F.col("base1.is1"))
+    tmp = df.withColumn("__b", c)
 
     def amounts(volume, volume_bis, fee):
         return F.create_map(F.lit("volume"), volume, F.lit("volumeBis"), volume_bis,
                             F.lit("fee"), fee)
 
+    b = F.col("__b")
     b0, b1 = F.col("base0.logId"), F.col("base1.logId")
     base = F.lit(base_token)
-    m = (F.when(F.col("token0.address") == base,
-                amounts(F.col("volume0"), F.col("__cv1"), X.add_(F.col("fee0"), F.col("__cf1"))))
-          .when(F.col("token1.address") == base,
-                amounts(F.col("volume1"), F.col("__cv0"), X.add_(F.col("__cf0"), F.col("fee1"))))
-          .when((b0 >= b1) | b1.isNull(), amounts(F.col("__cv0"), F.col("__cv1"), no_base_fee))
-          .when((b0 < b1) | b0.isNull(), amounts(F.col("__cv1"), F.col("__cv0"), no_base_fee)))
-    return tmp.withColumn("baseAmounts", m).drop("__cv0", "__cv1", "__cf0", "__cf1")
+    m = (F.when(F.col("token0.address") == base, amounts(F.col("volume0"), b["cv1"], b["fee0_cf1"]))
+          .when(F.col("token1.address") == base, amounts(F.col("volume1"), b["cv0"], b["cf0_fee1"]))
+          .when((b0 >= b1) | b1.isNull(), amounts(b["cv0"], b["cv1"], b["cf0_cf1"]))
+          .when((b0 < b1) | b0.isNull(), amounts(b["cv1"], b["cv0"], b["cf0_cf1"])))
+    return tmp.withColumn("baseAmounts", m).drop("__b")
 
 
 def _usd_one(v, usd_pool, is1, price1, usd_price, usd_is1):
@@ -190,29 +230,55 @@ def _usd(v: pd.Series, usd_pool: pd.Series, is1: pd.Series, price1: pd.Series,
 USD_KEYS = ("volume", "volumeBis", "fee", "gasFees", "tip", "baseFeePerGas")
 
 
+@pandas_udf(StructType([StructField(k, StringType()) for k in USD_KEYS + ("totalFeesUsd",)]))
+def _usd_all(vol: pd.Series, vbis: pd.Series, fee: pd.Series, gas: pd.Series, tip: pd.Series,
+             bf: pd.Series, usd_pool: pd.Series, is1: pd.Series, price1: pd.Series,
+             usd_price: pd.Series, usd_is1: pd.Series) -> pd.DataFrame:
+    rows = []
+    for a, b, c, d, e, f, up, i1, p1, q, qi in zip(vol, vbis, fee, gas, tip, bf, usd_pool, is1, price1,
+                                                   usd_price, usd_is1):
+        up, i1, qi = _nullable(up), _nullable(i1), _nullable(qi)
+        conv = [_usd_one(x, up, i1, p1, q, qi) for x in (a, b, c, d, e, f)]
+        rows.append(conv + [X.fmt(X.add(X.parse(conv[3]), X.parse(conv[2])))])
+    return pd.DataFrame(rows, columns=list(USD_KEYS) + ["totalFeesUsd"])
+
+
 def usd_amounts(df: DataFrame, usd_token: str = USDC_ADDRESS) -> DataFrame:
     """P20: base amounts plus gas fees, tip and base fee, each converted to USD
     (inverse of the base conversion: USD is a paired token in ETH base);
-    ``totalFeesUsd`` = gas fees + pool fee in USD."""
+    ``totalFeesUsd`` = gas fees + pool fee in USD. One Arrow pass."""
     usd_pool = F.coalesce(F.col("isBasePool"), F.lit(False)) & (
         (F.col("token0.address") == F.lit(usd_token)) | (F.col("token1.address") == F.lit(usd_token)))
-    src = {"volume": F.col("baseAmounts")["volume"], "volumeBis": F.col("baseAmounts")["volumeBis"],
-           "fee": F.col("baseAmounts")["fee"], "gasFees": F.col("gasFees"), "tip": F.col("tip"),
-           "baseFeePerGas": F.col("baseFeePerGas")}
-    conv = {k: _usd(v, usd_pool, F.col("is1"), F.col("price1"), F.col("usdBase.price"),
-                    F.col("usdBase.is1")) for k, v in src.items()}
+    m = F.col("baseAmounts")
+    u = _usd_all(m["volume"], m["volumeBis"], m["fee"], F.col("gasFees"), F.col("tip"),
+                 F.col("baseFeePerGas"), usd_pool, F.col("is1"), F.col("price1"),
+                 F.col("usdBase.price"), F.col("usdBase.is1"))
     kv = []
     for k in USD_KEYS:
-        kv += [F.lit(k), conv[k]]
-    m = F.when(F.col("baseAmounts").isNotNull(), F.create_map(*kv))
-    out = df.withColumn("usdAmounts", m)
-    return out.withColumn("totalFeesUsd", X.add_(F.col("usdAmounts")["gasFees"],
-                                                 F.col("usdAmounts")["fee"]))
+        kv += [F.lit(k), F.col(f"__u.{k}")]
+    out = df.withColumn("__u", u)
+    out = out.withColumn("usdAmounts", F.when(F.col("baseAmounts").isNotNull(), F.create_map(*kv)))
+    return out.withColumn("totalFeesUsd", F.col("__u.totalFeesUsd")).drop("__u")
+
+
+def _fees_row(gas, fee, vol):
+    t = X.add(X.parse(gas), X.parse(fee))
+    v = X.parse(vol)
+    pct = None
+    if v is not None and v[0] != 0:
+        q = X.div(t, v)
+        pct = None if q is None else X.to_float(q) * 100
+    return [X.fmt(t), pct]
+
+
+@pandas_udf(StructType([StructField("totalFees", StringType()), StructField("totalFeePct", DoubleType())]))
+def _fees(gas: pd.Series, fee: pd.Series, vol: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_fees_row(a, b, c) for a, b, c in zip(gas, fee, vol)],
+                        columns=["totalFees", "totalFeePct"])
 
 
 def total_fees(df: DataFrame) -> DataFrame:
     """Gas fees + pool fee in base; percent of the base volume when it is not 0."""
-    out = df.withColumn("totalFees", X.add_(F.col("gasFees"), F.col("baseAmounts")["fee"]))
-    vol = F.col("baseAmounts")["volume"]
-    return out.withColumn("totalFeePct", F.when(
-        X.sign_(vol) != 0, X.resolve(X.div_(F.col("totalFees"), vol)) * 100))
+    f = _fees(F.col("gasFees"), F.col("baseAmounts")["fee"], F.col("baseAmounts")["volume"])
+    return (df.withColumn("__f", f).withColumns({"totalFees": F.col("__f.totalFees"),
+                                                 "totalFeePct": F.col("__f.totalFeePct")}).drop("__f"))

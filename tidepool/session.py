@@ -40,8 +40,6 @@ PLAN_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
-    # partition-overwrite sinks replace only the partitions they write
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # the stateful stream rejects late rows itself (see streaming.state)
     "spark.sql.streaming.statefulOperator.checkCorrectness.enabled": "false",
 }
@@ -70,9 +68,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply result-changing settings to an existing session."""
     for k, v in RESULT_SETTINGS.items():
         spark.conf.set(k, v)
-    for k in ("spark.sql.sources.partitionOverwriteMode",
-              "spark.sql.streaming.statefulOperator.checkCorrectness.enabled"):
-        spark.conf.set(k, PLAN_SETTINGS[k])
+    spark.conf.set("spark.sql.streaming.statefulOperator.checkCorrectness.enabled",
+                   PLAN_SETTINGS["spark.sql.streaming.statefulOperator.checkCorrectness.enabled"])
     return spark
 
 

@@ -121,7 +121,10 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
         batch = batch.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     else:
         batch = batch.dropDuplicates(keys)
-    stage = f"{checkpoint_dir(spark)}/upsert-stage/{batch_id if batch_id is not None else uuid.uuid4().hex}"
+    # a fresh staging folder per call: a replayed batch id rebuilds the same
+    # result from the target and the batch, never from an earlier attempt
+    tag = f"{batch_id}-" if batch_id is not None else ""
+    stage = f"{checkpoint_dir(spark)}/upsert-stage/{tag}{uuid.uuid4().hex}"
     batch.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     try:
