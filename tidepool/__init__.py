@@ -1,0 +1 @@
+"""tidepool: a PySpark engine for decentralised-exchange swap analytics."""

@@ -31,8 +31,13 @@ def epoch_seconds(c: Column) -> Column:
     return F.unix_seconds(c.cast("timestamp"))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread`` before Arrow-UDF-heavy work (see ``layout.spread``)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if spread:
+        from tidepool.operators.layout import spread as _spread
+        df = _spread(df)
+    return df
 
 
 def _token(symbol: Column, decimals: int = 2) -> Column:
@@ -49,7 +54,7 @@ def _pick(idx: Column, values) -> Column:
 
 def swap_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw swap rows: identity, pool, tokens, price, amounts, tick, gas."""
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     p = F.col("user_id") % N_POOLS
     kind = p % 4
     paired = F.concat(F.lit("T"), (F.lit(1) + (p / 4).cast("int")).cast("string"))

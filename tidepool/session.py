@@ -65,9 +65,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply result-changing settings to an existing session."""
+    """Apply result-changing settings to an existing session and make the
+    package importable by its Python workers."""
     for k, v in RESULT_SETTINGS.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     spark.conf.set("spark.sql.streaming.statefulOperator.checkCorrectness.enabled",
                    PLAN_SETTINGS["spark.sql.streaming.statefulOperator.checkCorrectness.enabled"])
     return spark
@@ -89,3 +91,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Zip this package once per SparkContext into the shared checkpoint
+    folder and ``addPyFile`` it, so Arrow UDF workers on every executor can
+    import it (the same as ``--py-files`` at submit time)."""
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
+    target = f"{checkpoint_dir(spark)}/py/tidepool-{digest}.zip"
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" not in local and not os.path.exists(local):
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        tmp = f"{local}.{os.getpid()}.tmp"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.join("tidepool", os.path.relpath(f, root)))
+        os.replace(tmp, local)
+    sc.addPyFile(target)
+    _SHIPPED.add(key)

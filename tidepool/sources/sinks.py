@@ -46,13 +46,22 @@ def publish_in_order(df: DataFrame, path: str, *, order: str = "logId", batches:
                      key: str = "address", as_json: bool = True) -> None:
     """Replayable ordered buffer without a broker: ``batches`` appends, each
     one file holding the next range of the order key, so a file stream with
-    ``maxFilesPerTrigger=1`` replays the rows in order, range by range."""
-    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    ``maxFilesPerTrigger=1`` replays the rows in order, range by range.
+
+    The input is computed once: it is written as a table under the shared
+    checkpoint folder (cutting its lineage) and the ranges are read back from
+    it with pushed-down filters.
+    """
+    spark = df.sparkSession
+    staged_path = scratch_path(spark, "publish-stage")
+    df.write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    lo, hi = staged.agg(F.min(order), F.max(order)).first()
     if lo is None:
         return
     step = (hi - lo) // batches + 1
     for i in range(batches):
-        part = df.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
+        part = staged.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
         if as_json:
             part = part.select(F.col(key).cast("string").alias("key"),
                                F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),

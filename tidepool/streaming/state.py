@@ -139,7 +139,8 @@ class RatedStream:
                 batch.where(late).write.mode("append").parquet(f"{self.root}/rejected")
                 rows = rows.where(~late)
             rows = rows.unionByName(state.withColumn("__state", F.lit(True)))
-        rows = rows.persist()
+        from tidepool.operators.layout import spread
+        rows = spread(rows).persist()
         try:
             rated = self.rate(rows)
             out = rated.where(~F.col("__state")).drop("__state")
