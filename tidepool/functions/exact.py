@@ -70,12 +70,12 @@ def parse(s):
         return s
     if isinstance(s, int):
         return (s, 1)
-    if isinstance(s, float):  # a double column: its shortest decimal text
+    if isinstance(s, float):  # a double column: the value of its shortest decimal text
         if s != s or s in (float("inf"), float("-inf")):
             return None
-        s = format(Decimal(repr(float(s))), "f")
-    elif not isinstance(s, str):  # Decimal, numpy integer
-        s = format(Decimal(str(s)), "f")
+        return Decimal(repr(float(s))).as_integer_ratio()
+    if not isinstance(s, str):  # Decimal, numpy integer
+        return Decimal(str(s)).as_integer_ratio()
     if not s.strip():
         return None  # an empty literal (e.g. concat_ws of nulls) is no number
     if "/" in s:

@@ -123,17 +123,22 @@ def rolling_quotes(df: DataFrame, *, usd_token: str = USDC_ADDRESS,
 
 # -- P17-P21: conversions -------------------------------------------------------
 
-def _convert_one(amount, is_base_pool, is1, price1, base_price, base_is1):
+def _convert_value(amount, is_base_pool, is1, price1, base_price, base_is1):
     """By the row's own price for a base pool without a quote, else by
-    the quote: multiply when the quote's base is token 1, divide otherwise."""
+    the quote: multiply when the quote's base is token 1, divide otherwise.
+    Works on (p, q) pairs; ``amount`` may be a literal or a pair."""
     a = X.parse(amount)
     if a is None:
         return None
     if base_price is None and is_base_pool is True:
         p = X.parse(price1)
-        return X.fmt(X.mul(a, p) if is1 is True else X.div(a, p))
+        return X.mul(a, p) if is1 is True else X.div(a, p)
     q = X.parse(base_price)
-    return X.fmt(X.mul(a, q) if base_is1 is True else X.div(a, q))
+    return X.mul(a, q) if base_is1 is True else X.div(a, q)
+
+
+def _convert_one(amount, is_base_pool, is1, price1, base_price, base_is1):
+    return X.fmt(_convert_value(amount, is_base_pool, is1, price1, base_price, base_is1))
 
 
 def _nullable(v):
@@ -163,13 +168,13 @@ BASE_FIELDS = ["cv0", "cv1", "cf0", "cf1", "fee0_cf1", "cf0_fee1", "cf0_cf1"]
 
 
 def _base_row(v0, v1, f0, f1, is_base_pool, is1, price1, b0p, b0is1, b1p, b1is1):
-    cv0 = _convert_one(v0, is_base_pool, is1, price1, b0p, b0is1)
-    cv1 = _convert_one(v1, is_base_pool, is1, price1, b1p, b1is1)
-    cf0 = _convert_one(f0, is_base_pool, is1, price1, b0p, b0is1)
-    cf1 = _convert_one(f1, is_base_pool, is1, price1, b1p, b1is1)
+    cv0 = _convert_value(v0, is_base_pool, is1, price1, b0p, b0is1)
+    cv1 = _convert_value(v1, is_base_pool, is1, price1, b1p, b1is1)
+    cf0 = _convert_value(f0, is_base_pool, is1, price1, b0p, b0is1)
+    cf1 = _convert_value(f1, is_base_pool, is1, price1, b1p, b1is1)
     p = X.parse
-    return [cv0, cv1, cf0, cf1, X.fmt(X.add(p(f0), p(cf1))), X.fmt(X.add(p(cf0), p(f1))),
-            X.fmt(X.add(p(cf0), p(cf1)))]
+    return [X.fmt(cv0), X.fmt(cv1), X.fmt(cf0), X.fmt(cf1), X.fmt(X.add(p(f0), cf1)),
+            X.fmt(X.add(cf0, p(f1))), X.fmt(X.add(cf0, cf1))]
 
 
 @pandas_udf(StructType([StructField(f, StringType()) for f in BASE_FIELDS]))

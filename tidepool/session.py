@@ -32,6 +32,9 @@ RESULT_SETTINGS = {
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # partitions feeding Arrow UDFs are CPU-bound: do not merge small shuffle
+    # outputs below 16KB into one task (no effect on large data)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # runtime (AQE) broadcast only below a measured size; sort-merge beyond
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
