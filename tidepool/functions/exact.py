@@ -42,24 +42,41 @@ _RESOLVE_CTX = Context(prec=RESOLVE_DIGITS, rounding=ROUND_HALF_EVEN)
 
 
 def _part(s: str):
-    m = _PART.match(s)
-    if m is None or (m.group(2) == "" and not m.group(3)):
+    """One side of a literal: ``[-]digits[.digits][e[-]d][b[-]k]``."""
+    t = s.strip()
+    if not t or t[0] not in "+-0123456789.":
         raise ValueError(f"not an exact literal: {s!r}")
-    sign, ip, fp, d, k = m.groups()
-    fp = fp or ""
-    num = int((ip or "0") + fp)
-    d = int(d or 0) + len(fp)
-    k = int(k or 0)
+    k = 0
+    bi = t.find("b")
+    if bi >= 0:
+        k = int(t[bi + 1:])
+        t = t[:bi]
+    d = 0
+    ei = t.find("e")
+    if ei >= 0:
+        d = int(t[ei + 1:])
+        t = t[:ei]
+    neg = t.startswith("-")
+    if t[:1] in "+-":
+        t = t[1:]
+    if "." in t:
+        ip, fp = t.split(".", 1)
+        t = ip + fp
+        d += len(fp)
+    if not t or not t.isdigit():
+        if _PART.match(s) is None or not t:
+            raise ValueError(f"not an exact literal: {s!r}")
+    num = int(t)
     den = 1
     if d >= 0:
-        den *= 10 ** d
+        den = 10 ** d
     else:
         num *= 10 ** (-d)
     if k >= 0:
         den <<= k
     else:
         num <<= -k
-    return (-num if sign == "-" else num), den
+    return (-num if neg else num), den
 
 
 def parse(s):
@@ -200,24 +217,25 @@ _FRAC_SCALE = LIMB_BASE ** FRAC_LIMBS
 _LIMIT = LIMB_BASE ** N_LIMBS
 
 
+_WIDTH = LIMB_DIGITS * N_LIMBS
+
+
 def to_limbs(x):
     """(p, q) -> N_LIMBS signed limbs, most significant first."""
     if x is None:
         return None
     p, q = x
-    n = p * _FRAC_SCALE
-    v, rem = divmod(abs(n), q)
+    v, rem = divmod(abs(p) * _FRAC_SCALE, q)
     # half-even rounding of the last fractional digit
     if 2 * rem > q or (2 * rem == q and v & 1):
         v += 1
-    if v >= _LIMIT:
+    t = str(v)
+    if len(t) > _WIDTH:
         raise OverflowError(f"exact value too large for limb sums: {fmt(x)}")
-    out = []
-    for _ in range(N_LIMBS):
-        v, r = divmod(v, LIMB_BASE)
-        out.append(r)
-    s = -1 if p < 0 else 1
-    return [s * r for r in reversed(out)]
+    t = t.zfill(_WIDTH)
+    if p < 0:
+        return [-int(t[i:i + LIMB_DIGITS]) for i in range(0, _WIDTH, LIMB_DIGITS)]
+    return [int(t[i:i + LIMB_DIGITS]) for i in range(0, _WIDTH, LIMB_DIGITS)]
 
 
 def from_limbs(limbs, count=1):

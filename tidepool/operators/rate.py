@@ -15,7 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidepool.functions import exact as X
-from tidepool.operators.asof import latest_before, previous_row, quote_struct
+from tidepool.operators.asof import latest_before, quote_struct
 from tidepool.session import BLOCK_EXPIRY, ETH_ADDRESS, USDC_ADDRESS
 
 DEFAULT_CHUNK = 10000
@@ -53,9 +53,11 @@ def swap_delta(df: DataFrame, *, key: str = "address", order: str = "logId",
     swap is more than ``expiry`` older (the previous row is still the state)."""
     prev = F.struct(F.col(order).alias(order), F.col("price0").alias("price0"),
                     F.col("price1").alias("price1"), F.col("tick").alias("tick"))
-    out = previous_row(df, key=key, order=order, value=prev, out="__prev",
-                       chunk_width=chunk_width)
-    live = F.col(order) - F.col(f"__prev.{order}") <= F.lit(expiry)
+    # the previous row counts only within the expiry, so the one-shuffle
+    # bucketed search with that expiry is exact (null beyond it)
+    out = latest_before(df, key=key, order=order, candidate=F.lit(True), value=prev, out="__prev",
+                        expiry=expiry, chunk_width=chunk_width)
+    live = F.col("__prev").isNotNull()
     p = F.col("__prev")
     out = out.withColumns({
         "lastPrice0": F.when(live, p["price0"]),
