@@ -48,6 +48,11 @@ def publish_in_order(df: DataFrame, path: str, *, order: str = "logId", batches:
     one file holding the next range of the order key, so a file stream with
     ``maxFilesPerTrigger=1`` replays the rows in order, range by range.
 
+    This is the local replay harness (one file, so one writing task, per
+    range): a file source orders files only by modification time, so a range
+    cannot be split over files written in parallel. At scale the transport
+    is the Kafka path of ``ordered_publish`` / ``read_published``.
+
     The input is computed once: it is written as a table under the shared
     checkpoint folder (cutting its lineage) and the ranges are read back from
     it with pushed-down filters.
@@ -115,11 +120,12 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
     """Merge ``batch`` into the Parquet table at ``path`` on ``keys``:
     matched rows are replaced, new rows inserted (update all / insert all).
 
-    No row-level table format is installed, so only the partitions the batch
-    touches are rewritten: read them (partition filter), drop the rows the
-    batch replaces (left anti join on the keys), add the batch, write to a
-    staging folder under the checkpoint dir, then overwrite those partitions
-    dynamically. A batch holding a key twice keeps one row (the largest
+    No row-level table format is installed. When no key of the batch is in
+    the table yet (checked with a semi join on the touched partitions only),
+    the batch is appended as new files. Otherwise only the partitions the
+    batch touches are rewritten: read them, drop the rows the batch replaces
+    (left anti join on the keys), add the batch, stage under the checkpoint
+    dir, then overwrite those partitions dynamically. A batch holding a key twice keeps one row (the largest
     ``newest``, if given). Replaying the same ``batch_id`` gives the same
     table, so a retried micro-batch is idempotent.
     """
@@ -150,8 +156,14 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
     touched = staged.select(partition_col).distinct()
     # semi join keeps only the touched partitions (pruned at runtime by AQE /
     # dynamic partition pruning when the table is partitioned on the column)
-    kept = (existing.join(touched, partition_col, "left_semi")
-                    .join(staged.select(*keys), keys, "left_anti"))
+    in_touched = existing.join(touched, partition_col, "left_semi")
+    # insert-only batch (the usual case of an ordered stream): add files to
+    # the partitions instead of rewriting them
+    collides = in_touched.select(*keys).join(staged.select(*keys), keys, "left_semi").limit(1).count() > 0
+    if not collides:
+        staged.select(*existing.columns).write.mode("append").partitionBy(partition_col).parquet(path)
+        return
+    kept = in_touched.join(staged.select(*keys), keys, "left_anti")
     merged = kept.unionByName(staged.select(*existing.columns))
     out = f"{stage}-merged"
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(out)

@@ -109,6 +109,7 @@ class RatedStream:
         self.quote_key, self.target, self.expiry, self.order = quote_key, target, expiry, order
         self.pool_key, self.output, self.upsert_keys = pool_key, output, upsert_keys
         self.root = root or f"{checkpoint_dir(spark)}/rated-stream"
+        self._horizon: dict = {}
 
     def _state_path(self, batch_id: int) -> str:
         return f"{self.root}/state/{batch_id}"
@@ -126,32 +127,40 @@ class RatedStream:
             raise
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        from tidepool.operators.layout import spread
         from tidepool.sources import sinks
         spark = batch.sparkSession
-        schema = batch.schema
-        state = self._read_state(spark, batch_id, schema)
-        rows = batch.withColumn("__state", F.lit(False))
-        if state is not None:
+        state = self._read_state(spark, batch_id, batch.schema)
+        horizon = self._horizon.get(batch_id - 1)
+        if horizon is None and state is not None:      # restarted process: read it
             horizon = state.agg(F.max(self.order)).first()[0]
-            if horizon is not None:
+        batch = spread(batch).persist()
+        try:
+            lo, hi = batch.agg(F.min(self.order), F.max(self.order)).first()
+            rows = batch.withColumn("__state", F.lit(False))
+            if horizon is not None and lo is not None and lo <= horizon:
                 # Rows not after the carried state are late
                 late = F.col(self.order) <= F.lit(horizon)
                 batch.where(late).write.mode("append").parquet(f"{self.root}/rejected")
                 rows = rows.where(~late)
-            rows = rows.unionByName(state.withColumn("__state", F.lit(True)))
-        from tidepool.operators.layout import spread
-        rows = spread(rows).persist()
-        try:
-            rated = self.rate(rows)
-            out = rated.where(~F.col("__state")).drop("__state")
-            if self.output is not None:
-                out = self.output(out)
-            sinks.upsert(out, self.target, keys=self.upsert_keys, batch_id=f"b{batch_id}")
-            self._write_state(rows, batch_id)
+            if state is not None:
+                rows = rows.unionByName(state.withColumn("__state", F.lit(True)))
+            rows = rows.persist()
+            try:
+                rated = self.rate(rows)
+                out = rated.where(~F.col("__state")).drop("__state")
+                if self.output is not None:
+                    out = self.output(out)
+                sinks.upsert(out, self.target, keys=self.upsert_keys, batch_id=f"b{batch_id}")
+                newest = max(v for v in (hi, horizon) if v is not None) if (hi, horizon) != (None, None) else None
+                self._write_state(rows, batch_id, newest)
+                self._horizon[batch_id] = newest
+            finally:
+                rows.unpersist()
         finally:
-            rows.unpersist()
+            batch.unpersist()
 
-    def _write_state(self, rows: DataFrame, batch_id: int) -> None:
+    def _write_state(self, rows: DataFrame, batch_id: int, newest) -> None:
         """Last row per pool, last quote per paired token, last USD quote;
         none older than ``expiry`` before the newest row (T5). All three are
         partially aggregated ``max_by``s: no group is gathered in one task."""
@@ -163,7 +172,6 @@ class RatedStream:
                          .agg(F.max_by(rec, o).alias("r")).select("r.*"))
         usd = (rows.where(self.is_usd_quote).agg(F.max_by(rec, o).alias("r"))
                    .where(F.col("r").isNotNull()).select("r.*"))
-        newest = rows.agg(F.max(o)).first()[0]
         state = per_pool.unionByName(per_quote).unionByName(usd).dropDuplicates([self.order])
         if newest is not None:
             state = state.where(o >= F.lit(newest - self.expiry))
