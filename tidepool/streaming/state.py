@@ -176,3 +176,30 @@ class RatedStream:
         if newest is not None:
             state = state.where(o >= F.lit(newest - self.expiry))
         state.write.mode("overwrite").parquet(self._state_path(batch_id))
+
+
+# -- P6/P7, T12/T13: stream rows and the trigger choice ------------------------
+
+def to_exchange_rate_row(df: DataFrame) -> DataFrame:
+    """Append the typed null columns the stateful steps fill (previous
+    prices, deltas, three quotes) and the event time (block n -> second n + 1)."""
+    quote = "struct<poolAddress:string,price:string,is1:boolean,logId:decimal(38,18)>"
+    nulls = {"lastPrice0": "string", "lastPrice1": "string", "priceDelta0": "string",
+             "priceDelta1": "string", "priceDeltaPct0": "double", "priceDeltaPct1": "double",
+             "tickDelta": "bigint", "base0": quote, "base1": quote, "usdBase": quote}
+    out = df.withColumns({k: F.lit(None).cast(t) for k, t in nulls.items() if k not in df.columns})
+    return out.withColumn("blockNumberTs",
+                          F.timestamp_seconds(F.col("blockNumber").cast("long") + EVENT_TIME_ORIGIN))
+
+
+def start(writer, *, live: bool, interval: str = "30 seconds"):
+    """Drain what is there and stop (``availableNow``), or keep
+    running on a processing-time trigger in live mode. Returns the query;
+    a drained query has already terminated."""
+    if live:
+        return writer.trigger(processingTime=interval).start()
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return q
