@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from decimal import ROUND_HALF_EVEN, Context, Decimal
+from functools import lru_cache
 from math import gcd
 
 import pandas as pd
@@ -83,16 +84,28 @@ def parse(s):
     """Literal -> (p, q) with q > 0, or None for null / zero denominator."""
     if s is None:
         return None
+    if isinstance(s, str):
+        return _parse_text(s)
     if isinstance(s, tuple):
         return s
     if isinstance(s, int):
         return (s, 1)
+    return _parse_other(s)
+
+
+def _parse_other(s):
     if isinstance(s, float):  # a double column: the value of its shortest decimal text
         if s != s or s in (float("inf"), float("-inf")):
             return None
         return Decimal(repr(float(s))).as_integer_ratio()
     if not isinstance(s, str):  # Decimal, numpy integer
         return Decimal(str(s)).as_integer_ratio()
+    return _parse_text(s)
+
+
+@lru_cache(maxsize=1 << 16)
+def _parse_text(s: str):
+    """Text literal -> (p, q); cached: prices, quotes and rates repeat a lot."""
     if not s.strip():
         return None  # an empty literal (e.g. concat_ws of nulls) is no number
     if "/" in s:

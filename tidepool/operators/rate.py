@@ -18,7 +18,10 @@ from tidepool.functions import exact as X
 from tidepool.operators.asof import latest_before, quote_struct
 from tidepool.session import BLOCK_EXPIRY, ETH_ADDRESS, USDC_ADDRESS
 
-DEFAULT_CHUNK = 10000
+# window-partition span in blocks: the expiry for quote searches (only quote
+# rows are copied), wider for the delta (every row of a chunk tail is copied)
+DEFAULT_CHUNK = BLOCK_EXPIRY
+DELTA_CHUNK = 4 * BLOCK_EXPIRY
 
 
 # -- W3: previous swap of the same pool ----------------------------------------
@@ -47,7 +50,7 @@ def _delta(p0: pd.Series, p1: pd.Series, l0: pd.Series, l1: pd.Series) -> pd.Dat
 
 
 def swap_delta(df: DataFrame, *, key: str = "address", order: str = "logId",
-               expiry: float = BLOCK_EXPIRY, chunk_width: float = DEFAULT_CHUNK) -> DataFrame:
+               expiry: float = BLOCK_EXPIRY, chunk_width: float = DELTA_CHUNK) -> DataFrame:
     """lastPrice0/1, priceDelta0/1, priceDeltaPct0/1 (percent of the previous
     price) and tickDelta; null on a pool's first row and when the previous
     swap is more than ``expiry`` older (the previous row is still the state)."""

@@ -37,8 +37,15 @@ def rated_swaps(events: DataFrame, blocks: DataFrame, tokens: DataFrame, *, epoc
                 block_expiry: int = BLOCK_EXPIRY, epoch_length: int = EPOCH_LENGTH,
                 base_token: str = ETH_ADDRESS, usd_token: str = USDC_ADDRESS,
                 chunk_width: int | None = None, wei_exponent: int = 18) -> DataFrame:
-    """Sources, joins, per-swap enrichment, delta, quotes, amounts and fees."""
-    chunk = chunk_width or 4 * block_expiry
+    """Sources, joins, per-swap enrichment, delta, quotes, amounts and fees.
+
+    Chunk widths (the span of one window partition, so the work of one task
+    for a hot key): quote searches copy only quote rows into the next chunk,
+    so their chunks are as narrow as the expiry; the delta copies every row
+    of a chunk's tail, so its chunks are four expiries wide (25% copies).
+    """
+    delta_chunk = chunk_width or 4 * block_expiry
+    quote_chunk = chunk_width or block_expiry
     pools = src.pools(src.factory_events(events), tokens)
     txs = _transactions(blocks, epoch, block_expiry, epoch_length, wei_exponent)
     s = enrich.join_swaps(_swaps(events, epoch, block_expiry, epoch_length), txs, pools)
@@ -47,9 +54,9 @@ def rated_swaps(events: DataFrame, blocks: DataFrame, tokens: DataFrame, *, epoc
     s = enrich.swap_volume(s)
     s = enrich.tick_liquidity(s)
     s = enrich.exchange_rate_prep(s, base_token=base_token)
-    s = rate.swap_delta(s, expiry=block_expiry, chunk_width=chunk)
-    s = rate.base_exchange_rate(s, base_token=base_token, expiry=block_expiry, chunk_width=chunk)
-    s = rate.usd_exchange_rate(s, usd_token=usd_token, expiry=block_expiry, chunk_width=chunk)
+    s = rate.swap_delta(s, expiry=block_expiry, chunk_width=delta_chunk)
+    s = rate.base_exchange_rate(s, base_token=base_token, expiry=block_expiry, chunk_width=quote_chunk)
+    s = rate.usd_exchange_rate(s, usd_token=usd_token, expiry=block_expiry, chunk_width=quote_chunk)
     if epoch is not None:
         s = s.where(F.col("epoch") == epoch)          # P2: drop the look-back epoch
     s = rate.base_amounts(s, base_token=base_token)
