@@ -8,7 +8,7 @@ a converted amount, a double sum), both sides round the result the same way.
 """
 
 # swap rows; pool = user_id % 12, price1 = v / 100 with v in cents
-SWAP_CTE = """
+SWAP_TEMPLATE = """
 ev AS (
   SELECT event_id, event_id AS logId, user_id, user_id % 12 AS p,
          CAST(json_extract(props, '$.k') AS BIGINT) AS k,
@@ -48,30 +48,30 @@ dl AS (
          lag(v) OVER w AS pv0, lag(k) OVER w AS pk0, lag(logId) OVER w AS pid
   FROM tl WINDOW w AS (PARTITION BY p ORDER BY logId)),
 dlt AS (
-  SELECT *, CASE WHEN logId - pid <= 20 THEN pv0 END AS pv, CASE WHEN logId - pid <= 20 THEN pk0 END AS pk
+  SELECT *, CASE WHEN logId - pid <= {delta_x} THEN pv0 END AS pv, CASE WHEN logId - pid <= {delta_x} THEN pk0 END AS pk
   FROM dl),
 q AS (SELECT logId AS qid, pt0 AS tok, address AS qaddr, v AS qv, is1 AS qis1 FROM prep WHERE isBasePool),
 uq AS (SELECT logId AS uid, address AS uaddr, v AS uv, is1 AS uis1 FROM prep WHERE isBasePool AND 'T0' IN (t0, t1)),
 aq AS (
   SELECT s.*,
-         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= 100 THEN q0.qid END AS b0id,
-         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= 100 THEN q0.qaddr END AS b0addr,
-         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= 100 THEN q0.qv END AS b0v,
-         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= 100 THEN q0.qis1 END AS b0is1
+         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= {base_x} THEN q0.qid END AS b0id,
+         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= {base_x} THEN q0.qaddr END AS b0addr,
+         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= {base_x} THEN q0.qv END AS b0v,
+         CASE WHEN NOT s.isBasePool AND s.logId - q0.qid <= {base_x} THEN q0.qis1 END AS b0is1
   FROM dlt s ASOF LEFT JOIN q q0 ON s.pt0 = q0.tok AND s.logId > q0.qid),
 aq1 AS (
   SELECT s.*,
-         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= 100 THEN q1.qid END AS b1id,
-         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= 100 THEN q1.qaddr END AS b1addr,
-         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= 100 THEN q1.qv END AS b1v,
-         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= 100 THEN q1.qis1 END AS b1is1
+         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= {base_x} THEN q1.qid END AS b1id,
+         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= {base_x} THEN q1.qaddr END AS b1addr,
+         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= {base_x} THEN q1.qv END AS b1v,
+         CASE WHEN NOT s.isBasePool AND s.logId - q1.qid <= {base_x} THEN q1.qis1 END AS b1is1
   FROM aq s ASOF LEFT JOIN q q1 ON s.pt1 = q1.tok AND s.logId > q1.qid),
 au AS (
   SELECT s.*,
-         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= 10 THEN u.uid END AS ubid,
-         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= 10 THEN u.uaddr END AS ubaddr,
-         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= 10 THEN u.uv END AS ubv,
-         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= 10 THEN u.uis1 END AS ubis1
+         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= {usd_x} THEN u.uid END AS ubid,
+         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= {usd_x} THEN u.uaddr END AS ubaddr,
+         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= {usd_x} THEN u.uv END AS ubv,
+         CASE WHEN NOT (s.isBasePool AND 'T0' IN (s.t0, s.t1)) AND s.logId - u.uid <= {usd_x} THEN u.uis1 END AS ubis1
   FROM aq1 s ASOF LEFT JOIN uq u ON s.logId > u.uid),
 cv AS (
   SELECT *,
@@ -125,19 +125,25 @@ def _usd_of_milli(num: str) -> str:
             f"ELSE CAST(({num}) * ubv AS DOUBLE) / 100000.0 END")
 
 
-SWAP_CTE = SWAP_CTE.format(
-    cv0=_conv("abs(N0)", "0"), cv1=_conv("abs(N1)", "1"), cf0=_conv("F0", "0"), cf1=_conv("F1", "1"),
-    u_vol=_usd_of_double("bvol"),
-    u_volbis=_usd_of_double("bvolbis"),
-    u_fee=_usd_of_double("bfee"),
-    u_gas=_usd_of_milli("gas * gp"),
-    u_tip=f"CASE WHEN has_bf THEN {_usd_of_milli('gp - 5')} END",
-    u_bf=f"CASE WHEN has_bf THEN {_usd_of_milli('5')} END",
-)
+def swap_cte(delta_x: int = 20, base_x: int = 100, usd_x: int = 10) -> str:
+    """The view's CTE chain with the expiries of the delta, the base quotes
+    and the USD quote."""
+    return SWAP_TEMPLATE.format(
+        cv0=_conv("abs(N0)", "0"), cv1=_conv("abs(N1)", "1"), cf0=_conv("F0", "0"), cf1=_conv("F1", "1"),
+        u_vol=_usd_of_double("bvol"),
+        u_volbis=_usd_of_double("bvolbis"),
+        u_fee=_usd_of_double("bfee"),
+        u_gas=_usd_of_milli("gas * gp"),
+        u_tip=f"CASE WHEN has_bf THEN {_usd_of_milli('gp - 5')} END",
+        u_bf=f"CASE WHEN has_bf THEN {_usd_of_milli('5')} END",
+        delta_x=delta_x, base_x=base_x, usd_x=usd_x)
 
 
-def with_swaps(select: str) -> str:
-    return "WITH " + SWAP_CTE.strip() + "\n" + select.strip()
+SWAP_CTE = swap_cte()
+
+
+def with_swaps(select: str, **expiries) -> str:
+    return "WITH " + swap_cte(**expiries).strip() + "\n" + select.strip()
 
 
 def rn(x: str, digits: int = 6) -> str:
