@@ -21,8 +21,8 @@ def test_no_cross_or_nested_loop_join(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name,max_shuffles", [("pool_day_stats", 6), ("previous_delta", 2),
-                                               ("asof_quote_global", 2)])
+@pytest.mark.parametrize("name,max_shuffles", [("previous_delta", 2), ("asof_quote_global", 2),
+                                               ("base_amounts", 4)])
 def test_rated_chain_reads_input_once(spark, name, max_shuffles):
     plan = _plan(spark, name)
     assert len(re.findall(r"Scan parquet", plan)) == 1
@@ -33,3 +33,8 @@ def test_rated_chain_reads_input_once(spark, name, max_shuffles):
 def test_top_k_is_take_ordered(spark):
     df = E.queries()["top_recipients"](spark, SF001)
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_roll_up_has_no_single_partition_stage(spark):
+    plan = _plan(spark, "pool_day_stats")
+    assert "SinglePartition" not in plan and "CartesianProduct" not in plan
