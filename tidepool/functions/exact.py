@@ -231,6 +231,9 @@ _LIMIT = LIMB_BASE ** N_LIMBS
 
 
 _WIDTH = LIMB_DIGITS * N_LIMBS
+# denominators 10^d (d <= 72) -> d, and the factor that brings them to 10^72
+_POW10 = {10 ** d: d for d in range(FRAC_LIMBS * LIMB_DIGITS + 1)}
+_SCALE_BY = {d: 10 ** (FRAC_LIMBS * LIMB_DIGITS - d) for d in _POW10.values()}
 
 
 def to_limbs(x):
@@ -238,10 +241,14 @@ def to_limbs(x):
     if x is None:
         return None
     p, q = x
-    v, rem = divmod(abs(p) * _FRAC_SCALE, q)
-    # half-even rounding of the last fractional digit
-    if 2 * rem > q or (2 * rem == q and v & 1):
-        v += 1
+    d = _POW10.get(q)
+    if d is not None:                       # a terminating decimal: no division
+        v = abs(p) * _SCALE_BY[d]
+    else:
+        v, rem = divmod(abs(p) * _FRAC_SCALE, q)
+        # half-even rounding of the last fractional digit
+        if 2 * rem > q or (2 * rem == q and v & 1):
+            v += 1
     t = str(v)
     if len(t) > _WIDTH:
         raise OverflowError(f"exact value too large for limb sums: {fmt(x)}")
