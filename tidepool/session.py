@@ -100,9 +100,14 @@ _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Zip this package once per SparkContext into the shared checkpoint
-    folder and ``addPyFile`` it, so Arrow UDF workers on every executor can
-    import it (the same as ``--py-files`` at submit time)."""
+    """Make this package importable by the Python workers of every executor,
+    once per application (the same as ``--py-files`` at submit time).
+
+    Skipped when the package was already submitted with ``--py-files``. The
+    zip goes to the shared checkpoint folder when that is a local or mounted
+    path; with a remote one (hdfs://, s3a://) it is built on the driver and
+    ``addPyFile`` distributes it through Spark's own file server.
+    """
     import hashlib
     import zipfile
 
@@ -110,17 +115,25 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _SHIPPED:
         return
+    submitted = spark.conf.get("spark.submit.pyFiles", "") or ""
+    if "tidepool" in submitted:
+        _SHIPPED.add(key)
+        return
     root = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
     digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
-    target = f"{checkpoint_dir(spark)}/py/tidepool-{digest}.zip"
-    local = target[len("file:"):] if target.startswith("file:") else target
-    if "://" not in local and not os.path.exists(local):
+    base = checkpoint_dir(spark)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    if "://" in base:
+        base = tempfile.mkdtemp(prefix="tidepool-py-")
+    local = f"{base}/py/tidepool-{digest}.zip"
+    if not os.path.exists(local):
         os.makedirs(os.path.dirname(local), exist_ok=True)
         tmp = f"{local}.{os.getpid()}.tmp"
         with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
             for f in files:
                 z.write(f, os.path.join("tidepool", os.path.relpath(f, root)))
         os.replace(tmp, local)
-    sc.addPyFile(target)
+    sc.addPyFile(local)
     _SHIPPED.add(key)
