@@ -86,3 +86,23 @@ def test_range_join_and_reconcile(spark):
     b = spark.createDataFrame([(1, "p"), (1, "q"), (2, "s")], "period int, v string")
     rep = {r["period"]: r["identical"] for r in checks.reconcile(a, b, "period").collect()}
     assert rep == {1: "true", 2: "false"}
+
+
+def test_ordered_publish_is_a_global_sort_and_decodes_back(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    path = sinks.scratch_path(spark, "t-publish")
+    df = spark.range(0, 500).select(F.col("id").alias("logId"), (F.col("id") % 7).cast("string").alias("address"),
+                                    (F.col("id") * 3).cast("string").alias("amount"))
+    sinks.ordered_publish(df.repartition(5), path, partitions=4)
+    ranges = []
+    for f in sorted(glob.glob(f"{path.replace('file:', '')}/*.parquet")):
+        order = pq.read_table(f).column("order").to_pylist()
+        if order:
+            assert order == sorted(order)
+            ranges.append((order[0], order[-1]))
+    ranges.sort()
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    back = sinks.read_published(spark, path, df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
