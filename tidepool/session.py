@@ -99,9 +99,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _SHIPPED: set = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable by the Python workers of every executor,
-    once per application (the same as ``--py-files`` at submit time).
+def ship_package(spark: SparkSession, root: str | None = None) -> None:
+    """Make this package, or the one in folder ``root``, importable by the
+    Python workers of every executor, once per application (the same as
+    ``--py-files`` at submit time).
 
     Skipped when the package was already submitted with ``--py-files``. The
     zip goes to the shared checkpoint folder when that is a local or mounted
@@ -112,14 +113,15 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = sc.applicationId
+    root = root or os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(root)
+    key = (sc.applicationId, name)
     if key in _SHIPPED:
         return
     submitted = spark.conf.get("spark.submit.pyFiles", "") or ""
-    if "tidepool" in submitted:
+    if name in submitted:
         _SHIPPED.add(key)
         return
-    root = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(root) for f in fs if f.endswith(".py"))
     digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
     base = checkpoint_dir(spark)
@@ -127,13 +129,13 @@ def ship_package(spark: SparkSession) -> None:
         base = base[len("file:"):]
     if "://" in base:
         base = tempfile.mkdtemp(prefix="tidepool-py-")
-    local = f"{base}/py/tidepool-{digest}.zip"
+    local = f"{base}/py/{name}-{digest}.zip"
     if not os.path.exists(local):
         os.makedirs(os.path.dirname(local), exist_ok=True)
         tmp = f"{local}.{os.getpid()}.tmp"
         with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
             for f in files:
-                z.write(f, os.path.join("tidepool", os.path.relpath(f, root)))
+                z.write(f, os.path.join(name, os.path.relpath(f, root)))
         os.replace(tmp, local)
     sc.addPyFile(local)
     _SHIPPED.add(key)
