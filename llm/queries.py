@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, sharding
+from llm import chat_format, decontaminate, license_scan, sharding
 from tidepool.session import ship_package
 
 
@@ -18,11 +18,15 @@ def _shipped(query: Callable) -> Callable:
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
+    license_scan.op2_license_scan,
     sharding.op4_sharding,
+    decontaminate.op6_decontaminate,
     chat_format.op8_chat_format,
 )}
 
 ORACLE = {
+    "op2_license_scan": license_scan.ORACLE_SQL,
     "op4_sharding": sharding.ORACLE_SQL,
+    "op6_decontaminate": decontaminate.ORACLE_SQL,
     "op8_chat_format": chat_format.ORACLE_SQL,
 }
