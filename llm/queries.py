@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, decontaminate, license_scan, sharding
+from llm import chat_format, decontaminate, license_scan, quality, sharding
 from tidepool.session import ship_package
 
 
@@ -18,6 +18,7 @@ def _shipped(query: Callable) -> Callable:
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
+    quality.op1_quality,
     license_scan.op2_license_scan,
     sharding.op4_sharding,
     decontaminate.op6_decontaminate,
