@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,22 @@ def store(df: DataFrame, name: str) -> DataFrame:
     read it back: cuts the lineage, and a lost executor costs no rework."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of at most ``limit`` in sum, or of one larger one."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over the undirected links.
 

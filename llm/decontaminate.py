@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import table
+from llm.common import slices, table
 
 WINDOW, SHINGLE = 10, 3
 #: Windows of one index that is sent to the executors; a larger benchmark is
@@ -34,17 +34,6 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <
 MARK = b"|"  # never part of a word
 
 
-def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    start = total = 0
-    for i, n in enumerate(sizes):
-        if i > start and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """(words, items): each distinct window and the ids of its items."""
     def run(batches):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, decontaminate, license_scan, quality, sharding
+from llm import chat_format, decontaminate, license_scan, packing, quality, sharding
 from tidepool.session import ship_package
 
 
@@ -22,6 +22,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     license_scan.op2_license_scan,
     sharding.op4_sharding,
     decontaminate.op6_decontaminate,
+    packing.op7_packing,
     chat_format.op8_chat_format,
 )}
 
