@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, decontaminate, license_scan, packing, quality, sharding
+from llm import chat_format, decontaminate, language_model, license_scan, packing, quality, sharding
 from tidepool.session import ship_package
 
 
@@ -21,6 +21,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     quality.op1_quality,
     license_scan.op2_license_scan,
     sharding.op4_sharding,
+    language_model.op5_language_model,
     decontaminate.op6_decontaminate,
     packing.op7_packing,
     chat_format.op8_chat_format,
