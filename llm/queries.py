@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, decontaminate, language_model, license_scan, near_duplicates, packing, quality, sharding
+from llm import chat_format, decontaminate, language_model, license_scan, near_duplicates, packing, quality, sharding, top_k
 from tidepool.session import ship_package
 
 
@@ -25,6 +25,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     decontaminate.op6_decontaminate,
     packing.op7_packing,
     chat_format.op8_chat_format,
+    top_k.op9_top_k,
     near_duplicates.op10_near_duplicates,
 )}
 
@@ -33,4 +34,5 @@ ORACLE = {
     "op4_sharding": sharding.ORACLE_SQL,
     "op6_decontaminate": decontaminate.ORACLE_SQL,
     "op8_chat_format": chat_format.ORACLE_SQL,
+    "op9_top_k": top_k.ORACLE_SQL,
 }
