@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, decontaminate, language_model, license_scan, near_duplicates, packing, quality, sharding, top_k
+from llm import chat_format, decontaminate, language_model, license_scan, line_dedup, near_duplicates, packing, quality, sharding, top_k
 from tidepool.session import ship_package
 
 
@@ -20,6 +20,7 @@ def _shipped(query: Callable) -> Callable:
 QUERIES = {f.__name__: _shipped(f) for f in (
     quality.op1_quality,
     license_scan.op2_license_scan,
+    line_dedup.op3_line_dedup,
     sharding.op4_sharding,
     language_model.op5_language_model,
     decontaminate.op6_decontaminate,
@@ -31,6 +32,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
 
 ORACLE = {
     "op2_license_scan": license_scan.ORACLE_SQL,
+    "op3_line_dedup": line_dedup.ORACLE_SQL,
     "op4_sharding": sharding.ORACLE_SQL,
     "op6_decontaminate": decontaminate.ORACLE_SQL,
     "op8_chat_format": chat_format.ORACLE_SQL,
