@@ -18,13 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import components, store, table
+from llm.common import components, small, store, table
 
 #: Edits between lines that count as one; shorter lines are left alone; lines
 #: that may share a key before it is split.
 ERRORS, SHORTEST, CROWD = 1, 24, 32
-#: Rows of a side that a join may broadcast; a larger side is shuffled.
-SMALL = 500_000
 
 _SCHEMA_PARTS = "array<struct<other:int,start:int,own:int,errors:int>>"
 
@@ -85,11 +83,6 @@ def _met(rows: DataFrame) -> DataFrame:
             .where("low <> high AND roles = 3"))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, sent to every task if its rows are few; else joins shuffle."""
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
-
 def _refined(rows: DataFrame, errors: int) -> DataFrame:
     """The rows of crowded keys by the next segment of their larger part."""
     # parts that can be cut first, then the longest; the same on all lines of a key

@@ -98,7 +98,8 @@ def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node (null without words), keys, registers, hashes.
+    """doc_id, text_hash, n_shingles, node (null without words), keys,
+    registers, hashes.
 
     node is the first 63 bits of a 128-bit hash over the set; hashes has the
     upper six bytes of each shingle's hash, in order.
@@ -106,22 +107,22 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), [(t or b"").lower() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            ids, texts = list(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)), [(t or b"").lower() for t in b.column(1).cast(pa.binary()).to_pylist()]
             for i, j in slices([len(t) for t in texts], SLICE):
                 out = []
                 for doc, h in zip(ids[i:j], shingle_hashes(texts[i:j], size, known), strict=True):
                     if not len(h):
-                        out.append((doc, 0, None, None, None, None))
+                        out.append((*doc, 0, None, None, None, None))
                         continue
                     r = registers(h)
                     band = r.view(np.uint64) + np.arange(BUCKETS // ROWS, dtype=np.uint64) * _K
-                    out.append((doc, len(h), xxhash.xxh3_128_intdigest(h.tobytes()) >> 65, _mix(band).view(np.int64), r.tobytes(),
+                    out.append((*doc, len(h), xxhash.xxh3_128_intdigest(h.tobytes()) >> 65, _mix(band).view(np.int64), r.tobytes(),
                                 h.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                 names=["doc_id", "n_shingles", "node", "keys", "registers", "hashes"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, node long, keys array<long>, registers binary, hashes binary")
+                                                 names=["doc_id", "text_hash", "n_shingles", "node", "keys", "registers", "hashes"])
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, node long, keys array<long>, registers binary, hashes binary")
 
 
 def _full(hashes: bytes) -> np.ndarray:
@@ -191,7 +192,7 @@ def _can_link_out(rows: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row.
+    """doc_id, text_hash, n_shingles, component_id, kept of each row.
 
     Rows without words are linked with nothing. Rows with equal sets are one
     group whatever their ids. component_id is the smallest id in the group;
@@ -225,10 +226,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
     named = nodes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_node = named.join(smallest, "component").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(of_node, "node", "left")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "node").join(of_node, "node", "left")
     group = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, group.isNull()).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, group.isNull()).alias("kept"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_hash")
