@@ -71,17 +71,15 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     chains shorten by half; each round's table is written to shared storage,
     and the driver only learns how many labels moved.
     """
-    both = store(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    both = store(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b"), "edges")
     linked = store(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
                    .select("id", F.least("id", "m").alias("component")), "labels")
     moved = linked.limit(1).count()
     while moved:
-        near = (both.join(linked.withColumnRenamed("id", "b"), "b")
-                .groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m")))
-        lower = linked.join(near, "id").select("id", F.col("component").alias("was"),
-                                               F.least("component", "m").alias("now"))
-        jump = linked.select(F.col("id").alias("now"), F.col("component").alias("next"))
-        new = store(lower.join(jump, "now", "left")
+        label = small(linked)
+        near = (both.join(label.toDF("b", "near"), "b").groupBy(F.col("a").alias("id")).agg(F.min("near").alias("near"))
+                .join(label, "id").select("id", F.col("component").alias("was"), F.least("component", "near").alias("now")))
+        new = store(near.join(label.toDF("now", "next"), "now", "left")
                     .select("id", "was", F.least("now", F.coalesce("next", "now")).alias("component")), "labels")
         moved = new.where("was <> component").limit(1).count()
         linked = new.select("id", "component")

@@ -66,8 +66,9 @@ class WordTokenizer:
         """A word of letters and then signs is cut there, as the vocabulary's
         own splitting does; letters go in many words at a time, separated by
         blanks, and any other word by itself."""
-        known, cut, stems, odd = self.place, [], set(), set()
-        for w in words:
+        known, cut, odd = self.place, [], set()
+        stems = {w for w in words if w.isalpha() and w.islower()}
+        for w in words - stems:
             m = LETTERS.match(w)
             stem, tail = (m[0], w[m.end():]) if m else (b"", w)
             if not stem or not SIGNS.fullmatch(tail) or not stem.decode("utf-8", "replace").isalpha():
@@ -80,7 +81,7 @@ class WordTokenizer:
         todo = sorted(stems - known.keys())
         for i in range(0, len(todo), 4000):
             part = todo[i:i + 4000]
-            ids = np.array(self.encoder.encode(b" ".join(part).decode(), add_special_tokens=False).ids)
+            ids = np.array(self.encoder.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part):
                 self.add_all(part, ids, stops)
