@@ -1,46 +1,33 @@
-"""Column helpers over paired ``x0`` / ``x1`` columns."""
+"""Columns of the two sides of a pair, named ``x0`` and ``x1``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PAIR = ("0", "1")
 
+@dataclass(frozen=True)
+class Side:
+    """One side of a pair: ``side("x")`` is its own ``x`` column, and
+    ``side.across("x")`` the other side's."""
 
-def pair_col(df: DataFrame, name: str, arg: str, fn: Callable[[Column], Column]) -> DataFrame:
-    """For t in 0, 1: ``name+t = fn(arg+t)``."""
-    return df.withColumns({name + t: fn(F.col(arg + t)) for t in PAIR})
+    own: str
+    other: str
 
+    def __call__(self, name: str) -> Column:
+        return F.col(f"{name}{self.own}")
 
-def pair_cols(df: DataFrame, name: str, args: Sequence[str],
-              fn: Callable[[list[Column]], Column]) -> DataFrame:
-    """For t in 0, 1: ``name+t = fn([a+t for a in args])``."""
-    return df.withColumns({name + t: fn([F.col(a + t) for a in args]) for t in PAIR})
+    def across(self, name: str) -> Column:
+        return F.col(f"{name}{self.other}")
 
 
-def switch_suffix(name: str) -> Column:
-    """``x0`` -> column ``x1`` and back."""
-    stem, t = name[:-1], name[-1]
-    if t not in PAIR:
-        raise ValueError(f"{name} has no 0/1 suffix")
-    return F.col(stem + ("1" if t == "0" else "0"))
+SIDES = (Side("0", "1"), Side("1", "0"))
 
 
-def pair_agg(name: str, arg: str, fn: Callable[[Column], Column]) -> list[Column]:
-    """Aggregate pair: ``[fn(arg0).alias(name0), fn(arg1).alias(name1)]``."""
-    return [fn(F.col(arg + t)).alias(name + t) for t in PAIR]
-
-
-def pair_aggs(name: str, args: Sequence[str], fn: Callable[[list[Column]], Column]) -> list[Column]:
-    return [fn([F.col(a + t) for a in args]).alias(name + t) for t in PAIR]
-
-
-def quartile(n: int, c: Column | str) -> Column:
-    """Exact interpolated quartile n (1, 2 or 3) of a double column."""
-    if n not in (1, 2, 3):
-        raise ValueError("quartile must be 1, 2 or 3")
-    c = F.col(c) if isinstance(c, str) else c
-    return F.percentile(c, {1: 0.25, 2: 0.5, 3: 0.75}[n])
+def per_side(**build: Callable[[Side], Column]) -> dict[str, Column]:
+    """``{name0: ..., name1: ...}`` for each name, in order, for
+    ``withColumns``."""
+    return {name + s.own: fn(s) for name, fn in build.items() for s in SIDES}

@@ -13,7 +13,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidepool.functions import exact as X
-from tidepool.functions.columns import pair_col, pair_cols
+from tidepool.functions.columns import per_side
 from tidepool.session import ETH_ADDRESS
 
 TWO_POW_96 = 2 ** 96
@@ -58,17 +58,6 @@ def swap_price(df: DataFrame, sqrt_col: str = "sqrtPriceX96") -> DataFrame:
               .withColumn("resolvedSqrtPrice", X.resolve(X.div_(sq, X.lit(TWO_POW_96)))))
 
 
-def swap_volume_columns(df: DataFrame) -> DataFrame:
-    """P14 as a chain of column functions (one exact op per column)."""
-    out = pair_cols(df, "amount", ["amount", "token"],
-                    lambda a: F.concat_ws("e", a[0], a[1]["decimals"].cast("string")))
-    fee_rate = F.concat(F.col("fee").cast("string"), F.lit("e6"))
-    out = pair_col(out, "fee", "amount",
-                   lambda a: F.when(X.sign_(a) > 0, X.mul_(a, fee_rate)).otherwise(F.lit("0")))
-    out = pair_cols(out, "netAmount", ["amount", "fee"], lambda a: X.sub_(a[0], a[1]))
-    return pair_col(out, "volume", "netAmount", X.abs_)
-
-
 VOLUME_FIELDS = ["amount0", "amount1", "fee0", "fee1", "netAmount0", "netAmount1", "volume0", "volume1"]
 
 
@@ -104,44 +93,43 @@ def _swap_volume(a0: pd.Series, d0: pd.Series, a1: pd.Series, d1: pd.Series,
 def swap_volume(df: DataFrame) -> DataFrame:
     """P14 (fused, P16's single-pass form): scaled amounts; the pool fee
     applies to the incoming (positive) side only (B13); net amount; absolute
-    volume. One Arrow pass computes all eight columns; equal to
-    ``swap_volume_columns``."""
+    volume. One Arrow pass computes all eight columns."""
     dec = [F.col(f"token{t}.decimals").cast("long").cast("string") for t in "01"]
     v = _swap_volume(F.col("amount0").cast("string"), dec[0], F.col("amount1").cast("string"), dec[1],
                      F.col("fee").cast("long").cast("string"))
     return df.withColumn("__vol", v).withColumns({f: F.col(f"__vol.{f}") for f in VOLUME_FIELDS}).drop("__vol")
 
 
+TICK_BASE = 1.0001  # fixed value: price step of one tick
+
+
+def amounts_between(liquidity: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """Token amounts that a liquidity holds between two square root prices:
+    L (1/low - 1/high) of token 0 and L (high - low) of token 1."""
+    span = liquidity * (high - low)
+    return liquidity * (high - low) / (low * high), span
+
+
 def tick_liquidity(df: DataFrame) -> DataFrame:
-    """Token amounts in the current tick and the tick depth, double precision."""
-    def sqrt_price_at(tick: Column) -> Column:
-        return F.pow(F.lit(1.0001), tick / 2)
-
-    lower_tick = F.floor(F.col("tick") / F.col("tickSpacing")) * F.col("tickSpacing")
-    upper_tick = lower_tick + F.col("tickSpacing")
-    lower, upper = sqrt_price_at(lower_tick), sqrt_price_at(upper_tick)
-    price_range = upper - lower
-    sqrt_p = F.col("resolvedSqrtPrice")
-    liq = F.col("liquidity").cast("double")
-    out = df.withColumns({
-        "tickAmount0": liq * (upper - sqrt_p) / (sqrt_p * upper),
-        "tickAmount1": liq * (sqrt_p - lower),
-        "tickDepth0": liq * price_range / (lower * upper),
-        "tickDepth1": liq * price_range,
-    })
-    for name in ("tickAmount", "tickDepth"):
-        out = pair_cols(out, name, [name, "token"],
-                        lambda a: a[0] / F.pow(F.lit(10), a[1]["decimals"].cast("double")))
-    return out
+    """What is left of both tokens in the current tick (token 0 above the
+    price, token 1 below it) and what the whole tick holds, in whole tokens,
+    double precision."""
+    floor_tick = F.floor(F.col("tick") / F.col("tickSpacing")) * F.col("tickSpacing")
+    ends = [F.pow(F.lit(TICK_BASE), t / 2) for t in (floor_tick, floor_tick + F.col("tickSpacing"))]
+    now, held = F.col("resolvedSqrtPrice"), F.col("liquidity").cast("double")
+    above, below = amounts_between(held, now, ends[1])[0], amounts_between(held, ends[0], now)[1]
+    whole = amounts_between(held, *ends)
+    unit = [F.pow(F.lit(10), F.col(f"token{t}.decimals").cast("double")) for t in (0, 1)]
+    return df.withColumns({"tickAmount0": above / unit[0], "tickAmount1": below / unit[1],
+                           "tickDepth0": whole[0] / unit[0], "tickDepth1": whole[1] / unit[1]})
 
 
 def exchange_rate_prep(df: DataFrame, base_token: str = ETH_ADDRESS) -> DataFrame:
-    """isBasePool, is1 (null unless base pool), pairedToken, pairedToken0/1."""
-    t0, t1 = F.col("token0"), F.col("token1")
-    base = F.lit(base_token)
-    out = (df.withColumn("isBasePool", base.isin(t0["address"], t1["address"]))
-             .withColumn("is1", F.when(F.col("isBasePool"), t1["address"] == base))
-             .withColumn("pairedToken", F.when(F.col("isBasePool"),
-                                               F.when(F.col("is1"), t0).otherwise(t1))))
-    return pair_col(out, "pairedToken", "token",
-                    lambda a: F.when(F.col("isBasePool"), F.col("pairedToken")).otherwise(a))
+    """Whether a pool holds the base token (null if that is unknown), on
+    which side (null elsewhere), and the token paired with it. In other pools
+    each side's paired token is its own."""
+    is_base = [F.col(f"token{t}.address") == F.lit(base_token) for t in (0, 1)]
+    holds = is_base[0] | is_base[1]
+    paired = F.when(is_base[1], F.col("token0")).when(is_base[0], F.col("token1"))
+    return df.withColumns({"isBasePool": holds, "is1": F.when(holds, is_base[1]), "pairedToken": paired,
+                           **per_side(pairedToken=lambda s: F.when(holds, paired).otherwise(s("token")))})

@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 from tidepool.session import checkpoint_dir
@@ -125,8 +126,11 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
     the batch is appended as new files. Otherwise only the partitions the
     batch touches are rewritten: read them, drop the rows the batch replaces
     (left anti join on the keys), add the batch, stage under the checkpoint
-    dir, then overwrite those partitions dynamically. A batch holding a key twice keeps one row (the largest
-    ``newest``, if given). Replaying the same ``batch_id`` gives the same
+    dir, then overwrite those partitions dynamically. Of a key that a batch
+    holds twice, the row with the largest ``newest`` stays; rows that repeat
+    are one row; different rows of a key without ``newest`` are refused, as
+    any choice would lose one. Columns that only the table has keep their
+    values on untouched rows and are null on new ones. Replaying the same ``batch_id`` gives the same
     table, so a retried micro-batch is idempotent.
     """
     spark = batch.sparkSession
@@ -135,16 +139,19 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
         w = Window.partitionBy(*keys).orderBy(F.col(newest).desc())
         batch = batch.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     else:
-        batch = batch.dropDuplicates(keys)
+        batch = batch.distinct() if not any(isinstance(f.dataType, MapType) for f in batch.schema.fields) else batch
     # a fresh staging folder per call: a replayed batch id rebuilds the same
     # result from the target and the batch, never from an earlier attempt
     tag = f"{batch_id}-" if batch_id is not None else ""
     stage = f"{checkpoint_dir(spark)}/upsert-stage/{tag}{uuid.uuid4().hex}"
     batch.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
+    if not newest and staged.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError(f"several rows of one key {keys} and no column to order them by")
     try:
-        existing = spark.read.schema(staged.schema).parquet(path)
-        existing.schema
+        existing = spark.read.option("mergeSchema", "true").parquet(path)
+        existing = existing.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in staged.schema.fields
+                                         if f.name in existing.columns and existing.schema[f.name].dataType != f.dataType})
         has_target = True
     except Exception as e:  # noqa: BLE001 - first batch: the table does not exist yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) and "UNABLE_TO_INFER" not in str(e):
@@ -161,10 +168,10 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
     # the partitions instead of rewriting them
     collides = in_touched.select(*keys).join(staged.select(*keys), keys, "left_semi").limit(1).count() > 0
     if not collides:
-        staged.select(*existing.columns).write.mode("append").partitionBy(partition_col).parquet(path)
+        staged.write.mode("append").partitionBy(partition_col).parquet(path)
         return
     kept = in_touched.join(staged.select(*keys), keys, "left_anti")
-    merged = kept.unionByName(staged.select(*existing.columns))
+    merged = kept.unionByName(staged, allowMissingColumns=True)
     out = f"{stage}-merged"
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(out)
     overwrite_partitions(spark.read.parquet(out), path, partition_col)

@@ -10,15 +10,17 @@ Two forms:
 * ``RatedStream`` (T10-T13): the whole rating chain (delta, base quotes per
   paired token, USD quote, amounts, fees) inside one ``foreachBatch``.
   PySpark allows only one ``applyInPandasWithState`` per query, so state is
-  carried explicitly: the rows that later rows can still need (last swap per
-  pool, last quote per paired token, last USD quote, none older than the
-  expiry) are written per batch id under the checkpoint dir. Each
-  micro-batch is unioned with the previous batch's state rows and rated with
-  the same batch operators, so the result equals the batch result for any
-  split into micro-batches. Output goes through the idempotent upsert sink;
-  a replayed batch id reads the same state and writes the same rows. Rows
-  not after the carried state are late: they are written to a reject folder
-  instead of failing the job.
+  carried explicitly: the rows that later rows can still need (the last swap
+  per pool, and every quote, none older than the expiry) are written per
+  batch id under the checkpoint dir. Each micro-batch is unioned with the
+  previous batch's state rows and rated with the same batch operators. A row
+  is late only if it is not after the last swap of its own pool, so pools may
+  interleave over batches as keyed topics do: a row sees every quote before
+  it that had arrived by its batch. With batches in global order the result
+  equals the batch result. Late rows are written to a reject folder, and each
+  batch is checked to give as many rows as it took (T8). Output goes through
+  the idempotent upsert sink; a replayed batch id reads the same state and
+  writes the same rows. A batch whose predecessor's state is gone fails.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructType
 
 from tidepool.functions import exact as X
 from tidepool.session import BLOCK_EXPIRY, checkpoint_dir
@@ -40,8 +42,8 @@ from tidepool.session import BLOCK_EXPIRY, checkpoint_dir
 # watermark (0), where Spark would drop it as late
 EVENT_TIME_ORIGIN = 1
 
-DELTA_STATE = "logId long, price0 string, price1 string, tick long"
-DELTA_OUT = ("logId long, address string, lastPrice0 string, lastPrice1 string, priceDelta0 string, "
+DELTA_STATE = "logId decimal(38,18), price0 string, price1 string, tick long"
+DELTA_OUT = ("logId decimal(38,18), address string, lastPrice0 string, lastPrice1 string, priceDelta0 string, "
              "priceDelta1 string, priceDeltaPct0 double, priceDeltaPct1 double, tickDelta long, late boolean")
 
 
@@ -54,7 +56,7 @@ def _delta_fn(expiry: int):
         last = state.get if state.exists else None
         out = []
         for r in rows.itertuples(index=False):
-            rec = {"logId": int(r.logId), "address": key[0], "lastPrice0": None, "lastPrice1": None,
+            rec = {"logId": r.logId, "address": key[0], "lastPrice0": None, "lastPrice1": None,
                    "priceDelta0": None, "priceDelta1": None, "priceDeltaPct0": None,
                    "priceDeltaPct1": None, "tickDelta": None, "late": False}
             if last is not None and r.logId <= last[0]:
@@ -71,7 +73,7 @@ def _delta_fn(expiry: int):
                            priceDeltaPct0=None if q0 is None else X.to_float(q0) * 100,
                            priceDeltaPct1=None if q1 is None else X.to_float(q1) * 100,
                            tickDelta=None if r.tick is None or last[3] is None else int(r.tick - last[3]))
-            last = (int(r.logId), r.price0, r.price1, None if pd.isna(r.tick) else int(r.tick))
+            last = (r.logId, r.price0, r.price1, None if pd.isna(r.tick) else int(r.tick))
             out.append(rec)
         state.update(last)
         # T5: the state times out `expiry` blocks (seconds) after the last swap
@@ -80,10 +82,16 @@ def _delta_fn(expiry: int):
     return fn
 
 
+#: The published order key: block number and, below it, position in the block.
+ORDER_KEY = "decimal(38,18)"
+
+
 def swap_delta_stream(stream: DataFrame, *, expiry: int = BLOCK_EXPIRY, key: str = "address",
                       order: str = "logId") -> DataFrame:
-    """Stateful previous-swap delta on a stream of swaps (append mode)."""
-    s = (stream.withColumn("blockNumberTs", F.timestamp_seconds(F.col(order) + EVENT_TIME_ORIGIN))
+    """Stateful previous-swap delta on a stream of swaps (append mode). The
+    order key keeps its fraction; event time is its block."""
+    s = (stream.withColumn(order, F.col(order).cast(ORDER_KEY))
+               .withColumn("blockNumberTs", F.timestamp_seconds(F.floor(order) + EVENT_TIME_ORIGIN))
                .withWatermark("blockNumberTs", f"{expiry} seconds"))
     return (s.groupBy(key)
              .applyInPandasWithState(_delta_fn(expiry), DELTA_OUT, DELTA_STATE, "append",
@@ -109,7 +117,6 @@ class RatedStream:
         self.quote_key, self.target, self.expiry, self.order = quote_key, target, expiry, order
         self.pool_key, self.output, self.upsert_keys = pool_key, output, upsert_keys
         self.root = root or f"{checkpoint_dir(spark)}/rated-stream"
-        self._horizon: dict = {}
 
     def _state_path(self, batch_id: int) -> str:
         return f"{self.root}/state/{batch_id}"
@@ -117,65 +124,56 @@ class RatedStream:
     def _read_state(self, spark: SparkSession, batch_id: int, schema: StructType) -> DataFrame | None:
         if batch_id == 0:
             return None
-        try:
-            df = spark.read.schema(schema).parquet(self._state_path(batch_id - 1))
-            df.schema
-            return df
-        except Exception as e:  # noqa: BLE001 - no state written yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
-            raise
+        return spark.read.schema(schema).parquet(self._state_path(batch_id - 1))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         from tidepool.operators.layout import spread
         from tidepool.sources import sinks
         spark = batch.sparkSession
-        state = self._read_state(spark, batch_id, batch.schema)
-        horizon = self._horizon.get(batch_id - 1)
-        if horizon is None and state is not None:      # restarted process: read it
-            horizon = state.agg(F.max(self.order)).first()[0]
+        state = self._read_state(spark, batch_id, StructType(batch.schema.fields).add("__last", BooleanType()))
         batch = spread(batch).persist()
         try:
-            lo, hi = batch.agg(F.min(self.order), F.max(self.order)).first()
             rows = batch.withColumn("__state", F.lit(False))
-            if horizon is not None and lo is not None and lo <= horizon:
-                # Rows not after the carried state are late
-                late = F.col(self.order) <= F.lit(horizon)
-                batch.where(late).write.mode("append").parquet(f"{self.root}/rejected")
-                rows = rows.where(~late)
             if state is not None:
-                rows = rows.unionByName(state.withColumn("__state", F.lit(True)))
+                # Rows not after the last swap of their own pool are late
+                seen = (state.where("__last").groupBy(F.col(self.pool_key).alias("__pool"))
+                             .agg(F.max(self.order).alias("__seen")))
+                rows = rows.join(seen, F.col(self.pool_key).eqNullSafe(F.col("__pool")), "left")
+                late = F.col("__seen").isNotNull() & (F.col(self.order) <= F.col("__seen"))
+                rows.where(late).select(*batch.columns).write.mode("append").parquet(f"{self.root}/rejected")
+                rows = (rows.where(~late).select(*batch.columns, "__state")
+                            .unionByName(state.drop("__last").withColumn("__state", F.lit(True))))
             rows = rows.persist()
             try:
-                rated = self.rate(rows)
-                out = rated.where(~F.col("__state")).drop("__state")
-                if self.output is not None:
-                    out = self.output(out)
-                sinks.upsert(out, self.target, keys=self.upsert_keys, batch_id=f"b{batch_id}")
-                newest = max(v for v in (hi, horizon) if v is not None) if (hi, horizon) != (None, None) else None
-                self._write_state(rows, batch_id, newest)
-                self._horizon[batch_id] = newest
+                out = self.rate(rows).where(~F.col("__state")).drop("__state").persist()
+                try:
+                    # Rating neither loses nor multiplies rows
+                    taken, given = rows.where(~F.col("__state")).count(), out.count()
+                    if taken != given:
+                        raise ValueError(f"batch {batch_id}: {taken} rows in, {given} rows out")
+                    sinks.upsert(out if self.output is None else self.output(out), self.target,
+                                 keys=self.upsert_keys, batch_id=f"b{batch_id}")
+                finally:
+                    out.unpersist()
+                self._write_state(rows, batch_id)
             finally:
                 rows.unpersist()
         finally:
             batch.unpersist()
 
-    def _write_state(self, rows: DataFrame, batch_id: int, newest) -> None:
-        """Last row per pool, last quote per paired token, last USD quote;
-        none older than ``expiry`` before the newest row (T5). All three are
-        partially aggregated ``max_by``s: no group is gathered in one task."""
+    def _write_state(self, rows: DataFrame, batch_id: int) -> None:
+        """The last row per pool (``__last``) and every quote, none older than
+        ``expiry`` before the newest row (T5); an order key is one row."""
         o = F.col(self.order)
         cols = [c for c in rows.columns if c != "__state"]
-        rec = F.struct(*[F.col(c) for c in cols])
-        per_pool = rows.groupBy(self.pool_key).agg(F.max_by(rec, o).alias("r")).select("r.*")
-        per_quote = (rows.where(self.is_quote).groupBy(F.col(self.quote_key).alias("__qk"))
-                         .agg(F.max_by(rec, o).alias("r")).select("r.*"))
-        usd = (rows.where(self.is_usd_quote).agg(F.max_by(rec, o).alias("r"))
-                   .where(F.col("r").isNotNull()).select("r.*"))
-        state = per_pool.unionByName(per_quote).unionByName(usd).dropDuplicates([self.order])
-        if newest is not None:
-            state = state.where(o >= F.lit(newest - self.expiry))
-        state.write.mode("overwrite").parquet(self._state_path(batch_id))
+        newest = rows.agg(F.max(o).alias("__newest"))
+        last = rows.groupBy(F.col(self.pool_key).alias("__pool")).agg(F.max(o).alias("__at"))
+        quote = F.coalesce(self.is_quote, F.lit(False)) | F.coalesce(self.is_usd_quote, F.lit(False))
+        kept = (rows.join(last, F.col(self.pool_key).eqNullSafe(F.col("__pool")) & (o == F.col("__at")), "left")
+                    .withColumn("__last", F.col("__at").isNotNull())
+                    .where(F.col("__last") | quote)
+                    .join(newest, o >= F.col("__newest") - F.lit(self.expiry)))
+        kept.select(*cols, "__last").write.mode("overwrite").parquet(self._state_path(batch_id))
 
 
 # -- P6/P7, T12/T13: stream rows and the trigger choice ------------------------
