@@ -29,3 +29,10 @@ def test_equals_builtin_percentile_with_hot_group(spark):
                 assert key not in g or g[key][k] is None
             else:
                 assert g[key][k] == r[k], (key, k, g[key][k], r[k])
+
+
+def test_null_group_keys_and_one_hot_value(spark):
+    rows = [("d", None, v) for v in (1.0, 2.0, 3.0, None)] + [("d", "p", 7.0)] * 500 + [("d", "p", 1.0)]
+    df = spark.createDataFrame(rows, "day string, pool string, v double").repartition(5)
+    got = {r["pool"]: r["m"] for r in exact_quantiles(df, ["day", "pool"], {"v": F.col("v")}, {"m": ("v", 0.5)}).collect()}
+    assert got == {None: 2.0, "p": 7.0}

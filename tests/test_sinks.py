@@ -106,3 +106,17 @@ def test_ordered_publish_is_a_global_sort_and_decodes_back(spark):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
     back = sinks.read_published(spark, path, df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_upsert_loses_no_row_or_column(spark):
+    import pytest
+    from tidepool.sources import sinks
+    path = sinks.scratch_path(spark, "t-upsert-wide")
+    first = spark.createDataFrame([("2024-01-01", 1, "a", "x"), ("2024-01-01", 2, "b", "y")], "date string, logId long, v string, extra string")
+    sinks.upsert(first, path)
+    sinks.upsert(spark.createDataFrame([("2024-01-01", 2, "c")] * 2, "date string, logId long, v string"), path)
+    got = {r["logId"]: (r["v"], r["extra"]) for r in spark.read.parquet(path).collect()}
+    assert got == {1: ("a", "x"), 2: ("c", None)}
+    two = spark.createDataFrame([("2024-01-01", 3, "d"), ("2024-01-01", 3, "e")], "date string, logId long, v string")
+    with pytest.raises(ValueError):
+        sinks.upsert(two, path)

@@ -35,3 +35,39 @@ def test_sql_registered_exact_functions(spark):
     X.register(spark)
     r = spark.sql("SELECT exact_mul('1', '2') AS m, exact_text(exact_div('6', '5')) AS t").first()
     assert (r["m"], r["t"]) == ("2e0b0/1e0b0", "1.2")
+
+
+def _interleaved(spark, root, batches):
+    def rate(rows):
+        from pyspark.sql import Window
+        w = Window.partitionBy("address").orderBy("logId")
+        return rows.withColumn("before", F.lag("logId").over(w))
+    s = state.RatedStream(spark, rate=rate, is_quote=F.lit(False), is_usd_quote=F.lit(False), quote_key="address",
+                          target=f"{root}/out", root=root, expiry=100, upsert_keys=("date", "logId"))
+    for k, rows in batches:
+        s.process(spark.createDataFrame([("2024-01-01", *r) for r in rows], "date string, address string, logId long"), k)
+    return {r["logId"]: r["before"] for r in spark.read.parquet(f"{root}/out").collect()}
+
+
+def test_pools_may_interleave_over_batches(spark):
+    root = sinks.scratch_path(spark, "t-interleave")
+    got = _interleaved(spark, root, [(0, [("a", 1), ("a", 3), ("a", 9)]), (1, [("b", 2), ("b", 4), ("a", 10), ("a", 5)])])
+    assert got == {1: None, 3: 1, 9: 3, 2: None, 4: 2, 10: 9}
+    assert [(r["address"], r["logId"]) for r in spark.read.parquet(f"{root}/rejected").collect()] == [("a", 5)]
+
+
+def test_missing_state_fails(spark):
+    import pytest
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        _interleaved(spark, sinks.scratch_path(spark, "t-lost"), [(3, [("a", 1)])])
+
+
+def test_delta_keeps_the_fraction_of_the_order_key(spark):
+    df = spark.createDataFrame([("a", "5.0000100002", "1", "1", 0), ("a", "5.0000100007", "2", "0.5", 1)],
+                               "address string, logId string, price0 string, price1 string, tick long").withColumn("logId", F.col("logId").cast("decimal(38,18)"))
+    src = sinks.scratch_path(spark, "t-fraction")
+    df.coalesce(1).write.parquet(src)
+    state.start(state.swap_delta_stream(spark.readStream.schema(df.schema).parquet(src), expiry=10).writeStream.format("memory")
+                .queryName("delta_fraction").outputMode("append"), live=False)
+    got = sorted((str(r["logId"]), r["tickDelta"], r["late"]) for r in spark.table("delta_fraction").collect())
+    assert [x[1:] for x in got] == [(None, False), (1, False)] and got[0][0] != got[1][0]

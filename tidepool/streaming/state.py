@@ -130,7 +130,7 @@ class RatedStream:
         from tidepool.operators.layout import spread
         from tidepool.sources import sinks
         spark = batch.sparkSession
-        state = self._read_state(spark, batch_id, StructType(batch.schema.fields).add("__last", BooleanType()))
+        state = self._read_state(spark, batch_id, StructType(list(batch.schema.fields)).add("__last", BooleanType()))
         batch = spread(batch).persist()
         try:
             rows = batch.withColumn("__state", F.lit(False))
