@@ -23,18 +23,27 @@ from llm.common import components, small, store, table
 #: Edits between lines that count as one; shorter lines are left alone; lines
 #: that may share a key before it is split.
 ERRORS, SHORTEST, CROWD = 1, 24, 32
+#: Characters that verification compares at once from both ends.
+BLOCK = 16
 
 _SCHEMA_PARTS = "array<struct<other:int,start:int,own:int,errors:int>>"
 
 
+def once(df: DataFrame, *kept: str, **columns: Column) -> DataFrame:
+    """``kept`` and new columns, each computed once a row: the optimiser would
+    write a plain projection's expressions into all places that use them."""
+    made = F.explode(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))).alias("_once")
+    return df.select(*kept, made).select(*kept, "_once.*")
+
+
 def lines(docs: DataFrame, shortest: int) -> DataFrame:
     """doc_id, doc (hash of the text), place (id and position in one ordered
-    number), pos, line, id (hash of the line)."""
+    number), pos, line, n (its length), id (its hash)."""
     each = docs.select("doc_id", F.xxhash64("text").alias("doc"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    each = each.where(F.length("line") >= shortest)
+    each = once(each, "doc_id", "doc", "pos", "line", n=F.length("line")).where(F.col("n") >= shortest)
     first = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("decimal(20,0)")
     return each.select("doc_id", "doc", (first * F.lit(1 << 31).cast("decimal(11,0)") + F.col("pos")).cast("decimal(38,0)").alias("place"),
-                       "pos", "line", F.xxhash64("line").alias("id"))
+                       "pos", "line", "n", F.xxhash64("line").alias("id"))
 
 
 def _segment(length: Column, k: int, n: int) -> tuple[Column, Column]:
@@ -43,8 +52,9 @@ def _segment(length: Column, k: int, n: int) -> tuple[Column, Column]:
     return q * (k - 1) + F.greatest(F.lit(0), longer - (n - k + 1)), q + F.when(longer > n - k, 1).otherwise(0)
 
 
-def _entries(own: Column, start: Column, errors: int, others: list[tuple[Column, int]], text: Column, salt: Column, rest: Column | None) -> Column:
-    """Index entries (role 1) and probes (role 2) of one open part.
+def _entries(own: Column, start: Column, errors: int, others: list[tuple[Column, int]], text: Column, salt: Column, rest: Column | None, parts: bool = True) -> Column:
+    """Index entries (role 1) and probes (role 2) of one open part, exploded
+    as ``e``; null where one doesn't fit.
 
     The part has ``own`` characters from ``start``; ``others`` are the lengths
     it may have in another line, each with the roles it is asked in. The shift
@@ -62,19 +72,19 @@ def _entries(own: Column, start: Column, errors: int, others: list[tuple[Column,
                 key = F.xxhash64(salt, F.lit(k), other, size, text.substr(start + p + 1, size))
                 left = F.struct(at.alias("other"), start.alias("start"), p.alias("own"), F.lit(k - 1).alias("errors"))
                 right = F.struct((other - at - size).alias("other"), (start + p + size).alias("start"), (own - p - size).alias("own"), F.lit(n - k).alias("errors"))
-                parts = F.array(left, right) if rest is None else F.concat(rest, F.array(left, right))
-                found.append(F.when(fits & (role > 0), F.struct(key.alias("key"), role.cast("int").alias("role"), parts.cast(_SCHEMA_PARTS).alias("parts"))))
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+                made = [key.alias("key"), role.cast("int").alias("role")]
+                if parts:
+                    made.append((F.array(left, right) if rest is None else F.concat(rest, F.array(left, right))).cast(_SCHEMA_PARTS).alias("parts"))
+                found.append(F.when(fits & (role > 0), F.struct(*made)))
+    return F.explode(F.array(*found)).alias("e")
 
 
 def line_entries(rows: DataFrame, errors: int, parts: bool) -> DataFrame:
-    """key, role, id (and open parts, line) of whole lines."""
-    own = F.length("line").cast("int")
-    others = [(own - d, 3 if d == 0 else 2) for d in range(errors + 1)]
-    e = _entries(own, F.lit(0), errors, others, F.col("line"), F.lit(0).cast("long"), None)
-    if not parts:
-        e = F.transform(e, lambda x: F.struct(x["key"].alias("key"), x["role"].alias("role")))
-    return rows.select(*[c for c in ("id", "line") if c in rows.columns], F.explode(e).alias("e")).select("id", "line", "e.*")
+    """id, line, key, role (and open parts) of whole lines; ``rows`` has id,
+    line and n."""
+    others = [(F.col("n") - d, 3 if d == 0 else 2) for d in range(errors + 1)]
+    e = _entries(F.col("n"), F.lit(0), errors, others, F.col("line"), F.lit(0).cast("long"), None, parts)
+    return rows.select("id", "line", e).where("e IS NOT NULL").select("id", "line", "e.*")
 
 
 def _met(rows: DataFrame) -> DataFrame:
@@ -88,11 +98,12 @@ def _refined(rows: DataFrame, errors: int) -> DataFrame:
     # parts that can be cut first, then the longest; the same on all lines of a key
     order = lambda x: F.struct((x["other"] > x["errors"]).alias("cut"), x["other"].alias("other"), x["errors"].alias("errors"))
     longest = F.array_sort("parts", lambda x, y: F.when(order(x) > order(y), -1).when(order(x) < order(y), 1).otherwise(0))
-    rows = rows.withColumn("parts", longest).withColumn("p", F.element_at("parts", 1)).withColumn("rest", F.slice("parts", 2, 100))
+    rows = once(rows, "id", "line", "key", "role", parts=longest)
+    rows = once(rows, "id", "line", "key", "role", p=F.element_at("parts", 1), rest=F.slice("parts", 2, 100))
     out = None
     for e in range(errors + 1):
         made = _entries(F.col("p.own"), F.col("p.start"), e, [(F.col("p.other"), 2)], F.col("line"), F.col("key"), F.col("rest"))
-        part = rows.where(F.col("p.errors") == e).select("id", "line", "role", F.explode(made).alias("e"))
+        part = rows.where(F.col("p.errors") == e).select("id", "line", "role", made).where("e IS NOT NULL")
         part = part.select("id", "line", F.col("e.key").alias("key"), "role", F.col("e.parts").alias("parts"))
         out = part if out is None else out.unionByName(part)
     # a line stays in the index by its own segments; shifted cuts are probes
@@ -101,7 +112,7 @@ def _refined(rows: DataFrame, errors: int) -> DataFrame:
 
 def candidates(rows: DataFrame, errors: int, crowd: int) -> DataFrame:
     """(a, b), a < b, of line ids that share a key; ``rows`` has id and line."""
-    state, pairs = store(line_entries(rows, errors, True), "entries"), None
+    state, pairs = store(line_entries(once(rows, "id", "line", n=F.length("line")), errors, True), "entries"), None
     while True:
         met = store(_met(state), "keys")
         # lines that differ only in parts too short to be cut are as few as
@@ -120,6 +131,27 @@ def candidates(rows: DataFrame, errors: int, crowd: int) -> DataFrame:
         state = store(_refined(state, errors), "entries")
 
 
+def _matching_blocks(a: Column, b: Column) -> Column:
+    """How many whole blocks two strings have in common at their start."""
+    upto = F.floor(F.least(F.length(a), F.length(b)) / BLOCK).cast("int")
+    same = F.transform(F.sequence(F.lit(0), upto), lambda k: (k < upto) & (a.substr(k * BLOCK + 1, F.lit(BLOCK)) == b.substr(k * BLOCK + 1, F.lit(BLOCK))))
+    return (F.array_position(same, F.lit(False)) - 1).cast("int")
+
+
+def verified(pairs: DataFrame, errors: int) -> DataFrame:
+    """(a, b) of the pairs whose lines ``line_a`` and ``line_b`` are within
+    ``errors`` edits. Blocks that are equal at the start, and then at the end,
+    are left out of the comparison; one edit leaves less than two blocks."""
+    rows = pairs.where(F.abs(F.length("line_a") - F.length("line_b")) <= errors)
+    both = ("a", "b", "line_a", "line_b")
+    for _ in range(2):  # from the start, then from the end
+        rows = once(rows, *both, k=_matching_blocks(F.col("line_a"), F.col("line_b")) * BLOCK)
+        rows = once(rows, "a", "b", **{f"line_{x}": F.expr(f"reverse(substr(line_{x}, k + 1))") for x in "ab"})
+    if errors == 1:
+        rows = rows.where(F.greatest(F.length("line_a"), F.length("line_b")) <= 2 * BLOCK)
+    return once(rows, "a", "b", near=within(F.col("line_a"), F.col("line_b"), errors)).where("near").select("a", "b")
+
+
 def within(a: Column, b: Column, errors: int) -> Column:
     """Whether two strings are at most ``errors`` edits apart.
 
@@ -130,7 +162,7 @@ def within(a: Column, b: Column, errors: int) -> Column:
     width = 2 * errors + 2
     mask, top = (1 << width) - 1, width - 1
     x, y = F.split(a, ""), F.split(b, "")
-    rows, cols = F.size(x), F.size(y)
+    rows, cols = F.length(a), F.length(b)
     long = lambda v: F.lit(v).cast("long")
     inv = lambda v: v.bitwiseXOR(long(mask))
     # bit `top` is row i + errors at column i, so bit k is row i + errors - top + k
@@ -161,7 +193,7 @@ def within(a: Column, b: Column, errors: int) -> Column:
         return F.struct(hn.bitwiseOR(inv(down.bitwiseOR(hp))).alias("vp"), down.bitwiseAND(hp).alias("vn"), (d + moved).alias("d"))
 
     done = F.aggregate(F.sequence(F.lit(0), cols - 1), start, step)
-    return (F.abs(rows - cols) <= errors) & (done["d"] <= errors)
+    return F.when((rows == 0) | (cols == 0), rows + cols <= errors).when(F.abs(rows - cols) > errors, False).otherwise(done["d"] <= errors)
 
 
 def line_groups(docs: DataFrame, errors: int = ERRORS, shortest: int = SHORTEST, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
@@ -169,12 +201,12 @@ def line_groups(docs: DataFrame, errors: int = ERRORS, shortest: int = SHORTEST,
     there again or nearly: ``first`` is the place of their group's first."""
     each = lines(docs, shortest)
     seen = store(each.groupBy("id").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("n")), "lines")
-    keys = store(_met(line_entries(each.select("id", "line"), errors, False)).select("key"), "keys")
-    near = line_entries(each.select("id", "line"), errors, False).join(small(keys), "key", "left_semi")
+    keys = store(_met(line_entries(each, errors, False)).select("key"), "keys")
+    near = line_entries(each, errors, False).join(small(keys), "key", "left_semi")
     texts = store(near.groupBy("id").agg(F.min("line").alias("line")), "texts")
     pairs = candidates(texts, errors, crowd)
     side = lambda k: texts.select(F.col("id").alias(k), F.col("line").alias(f"line_{k}"))
-    links = store(pairs.join(side("a"), "a").join(side("b"), "b").where(within(F.col("line_a"), F.col("line_b"), errors)).select("a", "b"), "links")
+    links = store(verified(pairs.join(side("a"), "a").join(side("b"), "b"), errors), "links")
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     groups = components(ends.select("id"), links)
     again = seen.join(ends, "id", "left").where("n > 1 OR links IS NOT NULL").join(groups, "id", "left")

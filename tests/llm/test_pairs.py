@@ -37,7 +37,12 @@ def test_banded_distance(spark):
     rng = random.Random(2)
     base = ["".join(rng.choice("abé") for _ in range(rng.randrange(1, 40))) for _ in range(150)]
     pairs = [(b, e) for b in base for e in (edited(b, rng.randrange(5), rng),) if e] + [("b", "acc"), ("a", "a")]
+    pairs += [(x * 30, edited(x * 30, rng.randrange(4), rng)) for x in ("abcdefg", "aab", "é")] + [("", "a"), ("", "ab"), ("abc" * 20, "abc" * 20 + "d")]
     df = spark.createDataFrame(pairs, "a string, b string")
+    for errors in (1, 2):
+        lines = df.select(F.monotonically_increasing_id().alias("a"), F.lit(0).alias("b"), F.col("a").alias("line_a"), F.col("b").alias("line_b"))
+        want = [r["a"] for r in lines.collect() if distance(r["line_a"], r["line_b"]) <= errors]
+        assert sorted(r["a"] for r in line_dedup.verified(lines, errors).collect()) == want
     for errors in (1, 2, 3):
         got = df.select(line_dedup.within(F.col("a"), F.col("b"), errors)).collect()
         assert [r[0] for r in got] == [distance(a, b) <= errors for a, b in pairs]
