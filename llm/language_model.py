@@ -17,6 +17,7 @@ one probability a decision, and these into one table row a context.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ from llm.common import held_out, slices, store, table
 FOLDS = 10
 DEPTH, BITS, SYMBOLS = 6, 6, 64
 #: Contexts in the model; words whose counts every task is sent.
-NODES, WORDS = 200_000, 65_536
+NODES, WORDS = 100_000, 65_536
 #: Text bytes a worker counts or scores at a time, and keys it gathers before
 #: it adds up equal ones.
 SLICE, GATHER = 2_000_000, 4_000_000
@@ -194,6 +195,15 @@ class ContextTree:
                 self.parent[own] = up[np.searchsorted(context[up], context[own] & ((1 << BITS * (d - 1)) - 1))]
                 self.child[self.parent[own], context[own] >> BITS * (d - 1)] = own
 
+    def __getstate__(self) -> dict:
+        """What a task needs, compressed: each executor keeps a copy on disk."""
+        sent = {k: getattr(self, k) for k in ("child", "logs", "inner") if hasattr(self, k)}
+        return {k: (zlib.compress(v.tobytes(), 1), v.dtype.str, v.shape) for k, v in sent.items()}
+
+    def __setstate__(self, sent: dict) -> None:
+        for k, (data, kind, shape) in sent.items():
+            setattr(self, k, np.frombuffer(zlib.decompress(data), kind).reshape(shape))
+
     def walk(self, steps) -> np.ndarray:
         """The deepest kept node of each place; ``steps`` gives the symbols
         one, two, ... places back."""
@@ -266,8 +276,8 @@ def train(docs: DataFrame, nodes: int = NODES) -> ContextTree:
         level = store((seen if level is None else level).groupBy(context.alias("context")).agg(F.sum("n").alias("n")), "level")
         here = level.select(F.lit(d).alias("depth"), "context", "n")
         kept = here if kept is None else kept.unionByName(here)
-    rows = most_seen(kept, nodes).select("depth", "context").toPandas()
-    tree = ContextTree(rows["depth"].to_numpy(np.int64), rows["context"].to_numpy(np.int64))
+    rows = most_seen(kept, nodes).select("depth", "context").toArrow()  # columns, not a row object each
+    tree = ContextTree(rows["depth"].to_numpy().astype(np.int64), rows["context"].to_numpy())
     shared = spark.sparkContext.broadcast(tree)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,9 +286,9 @@ def train(docs: DataFrame, nodes: int = NODES) -> ContextTree:
             node = shared.value.walk((key >> BITS * k) & (SYMBOLS - 1) for k in range(1, DEPTH + 1))
             key, n = add_up(node * SYMBOLS + (key & (SYMBOLS - 1)), n)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["cell", "n"])
-    cells = seen.mapInArrow(ends, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cells = seen.mapInArrow(ends, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(len(tree.child) * SYMBOLS, np.float32)
-    counts[cells["cell"].to_numpy(np.int64)] = cells["n"]
+    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     plain = np.zeros(256)
     for key, n in counted.where("key < 0").collect():
         plain[key + 256] = n
