@@ -25,10 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import components, slices, store, table
+from llm.common import components, slices, small, store, table
 
 SHINGLE, SIMILAR = 4, 80
 BUCKETS, MANTISSA, ROWS = 128, 10, 4
+#: Further centers that nodes outside a bucket's group are compared with before
+#: all pairs across groups are.
+CENTERS = 2
 SLICE, MEMORY = 2_000_000, 500_000
 
 #: Where an empty bucket looks for a filled one: an order of its own a bucket.
@@ -131,64 +134,68 @@ def _full(hashes: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
+def _sides(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
+    """a, b, and sizes and ``column`` of both."""
+    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col(column).alias(f"x_{k}"))
+    return side("a").join(small(pairs), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "x_a", "x_b")
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
-    """Pairs whose estimate is less than six deviations below ``similar``;
-    small sets, whose registers repeat, all stay."""
+    """Pairs whose sizes allow ``similar`` and whose estimate is less than six
+    deviations below it; small sets, whose registers repeat, all stay."""
     floor = similar / 100 - 6 * (similar / 100 * (1 - similar / 100) / BUCKETS) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, m = (b.column(i).to_numpy().astype(float) for i in (2, 3))
+            n, m = (b.column(i).to_numpy() for i in (2, 3))
             x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS) for i in (4, 5))
-            c = chance(n, m)
+            c = chance(n.astype(float), m.astype(float))
             guess = ((x == y).mean(1) - c) / (1 - c)
-            keep = (guess >= floor) | (np.minimum(n, m) < BUCKETS)
+            keep = ((guess >= floor) | (np.minimum(n, m) < BUCKETS)) & (100 * np.minimum(n, m) >= similar * np.maximum(n, m))
             yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(keep)) for i in range(2)], names=["a", "b"])
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("registers").alias(f"r_{k}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
+    return _sides(pairs, nodes, "registers").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
+    """Of stored pairs, those that pass the estimate and whose full sets are
+    similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for n, m, x, y in zip(*(b.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                if 100 * min(n, m) < similar * max(n, m):
-                    keep.append(False)
-                    continue
                 both = len(np.intersect1d(_full(x), _full(y), assume_unique=True))
                 keep.append(100 * both >= similar * (n + m - both))
             yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(keep, pa.bool_())) for i in range(2)], names=["a", "b"])
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("hashes").alias(f"h_{k}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "h_a", "h_b").mapInArrow(run, "a long, b long")
+    likely = store(estimated(pairs, nodes, similar), "likely")
+    return store(_sides(likely, nodes, "hashes").mapInArrow(run, "a long, b long"), "links")
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows of buckets that hold more than one component."""
-    keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    return rows.join(keys, "key", "left_semi")
+    keys = rows.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("n_shingles").alias("least")).where("x <> y")
+    return rows.join(small(store(keys.select("key", "least"), "keys")), "key")
 
 
 def _can_link_out(rows: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
     """``rows`` without the nodes that no other group's node can be similar
     to: of n shingles, those in other groups too must reach the share that two
     sets of n and of the smallest size around need."""
-    least = rows.groupBy("key").agg(F.min("n_shingles").alias("m"))
-    own = rows.join(least, "key").groupBy("node", "component", "n_shingles").agg(F.min("m").alias("m"))
+    own = store(rows.groupBy("node", "component", "n_shingles").agg(F.min("least").alias("m")), "own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for node, component, hashes in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 h = _full(hashes)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), node)), pa.array(np.full(len(h), component)), pa.array(h)], names=["node", "component", "shingle"])
-    shingles = own.join(nodes.select("node", "hashes"), "node").select("node", "component", "hashes").mapInArrow(run, "node long, component long, shingle long")
+    shingles = nodes.select("node", "hashes").join(small(own), "node").select("node", "component", "hashes").mapInArrow(run, "node long, component long, shingle long")
     shingles = store(shingles, "shingles")
-    met = shingles.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle")
-    common = shingles.join(met, "shingle", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("common"))
-    # both / (n + m - both) >= s  <=>  both * (100 + s) >= s * (n + m)
-    able = own.join(common, "node").where(F.col("common") * (100 + similar) >= similar * (F.col("n_shingles") + F.col("m"))).select("node")
-    return rows.join(able, "node", "left_semi")
+    met = store(shingles.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle"), "met")
+    common = shingles.join(small(met), "shingle", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("common"))
+    # both / (n + m - both) >= s  <=>  both * (100 + s) >= s * (n + m), where
+    # m is at least the smallest size around and the share s of n
+    m = F.greatest(F.col("m") * 100, F.col("n_shingles") * similar)
+    able = common.join(small(own), "node").where(F.col("common") * (100 + similar) * 100 >= similar * (F.col("n_shingles") * 100 + m))
+    return rows.drop("least").join(small(store(able.select("node"), "able")), "node", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
@@ -202,30 +209,56 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
     """
     rows = store(sketches(docs, size), "sketches")
     nodes = store(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("keys").alias("keys"), F.any_value("registers").alias("registers")), "nodes")
-    sets = rows.select("node", "n_shingles", "hashes", "doc_id").where("node IS NOT NULL")
+        F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("keys").alias("keys")), "nodes")
     bands = nodes.select("node", "n_shingles", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = store(bands.join(shared, "key").select("key", "node", "n_shingles", "center"), "members")
+    shared = store(bands.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "center"), "shared")
+    members = store(bands.join(small(shared), "key"), "members")
     # one row of each node that is in some bucket with another
-    wanted = members.select("node").distinct()
-    full = store(sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.any_value("n_shingles").alias("n_shingles"), F.any_value("hashes").alias("hashes")), "sets")
+    wanted = store(members.select("node").distinct(), "wanted")
+    full = store(rows.select("node", "n_shingles", "registers", "hashes").join(small(wanted), "node", "left_semi").groupBy("node").agg(
+        *[F.any_value(c).alias(c) for c in ("n_shingles", "registers", "hashes")]), "sets")
     star = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = store(verified(estimated(star, nodes, similar), full, similar), "links")
-    labels = store(components(wanted.withColumnRenamed("node", "id"), links), "components")
-
-    open_rows = _mixed(members.join(labels.withColumnRenamed("id", "node"), "node").select("key", "node", "n_shingles", "component"))
+    links = verified(store(star, "pairs"), full, similar)
+    members = members.select("key", "node", "n_shingles")
+    open_rows, labels = members, None
+
+    def grouped_anew():
+        """The open rows of buckets that still mix groups."""
+        labels = store(components(wanted.withColumnRenamed("node", "id"), links), "components")
+        mixed = _mixed(open_rows.join(small(labels.withColumnRenamed("id", "node")), "node").select("key", "node", "n_shingles", "component"))
+        return labels, store(mixed, "open")
+
+    labels, open_rows = grouped_anew()
+    for turn in range(CENTERS):
+        if not open_rows.limit(1).count():
+            break
+        # another center a bucket; nodes outside its group meet it
+        ranked = open_rows.withColumn("h", F.xxhash64("node", F.lit(turn)))
+        least = store(ranked.groupBy("key").agg(F.min("h").alias("h")), "least")
+        center = store(ranked.join(small(least), ["key", "h"]).select("key", F.col("node").alias("a"), F.col("component").alias("its")), "centers")
+        met = open_rows.join(small(center), "key").where("component <> its").select("a", F.col("node").alias("b"))
+        more = verified(store(met.distinct(), "pairs"), full, similar)
+        if more.limit(1).count():
+            links = store(links.unionByName(more), "links")
+            open_rows = open_rows.select("key", "node", "n_shingles")
+            labels, open_rows = grouped_anew()
     for _ in range(2):
-        open_rows = store(_mixed(_can_link_out(store(open_rows, "open"), full, similar)), "open")
-    left, right = (open_rows.select("key", F.col("node").alias(k), F.col("component").alias(f"c_{k}")) for k in "ab")
-    across = left.join(right, "key").where("c_a < c_b").select("a", "b").distinct()
-    more = store(verified(estimated(across, nodes, similar), full, similar), "links")
-    if more.limit(1).count():
-        labels = store(components(wanted.withColumnRenamed("node", "id"), links.unionByName(more)), "components")
-
-    named = nodes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_node = named.join(smallest, "component").select("node", "component_id")
+        if not open_rows.limit(1).count():
+            break
+        open_rows = store(_mixed(_can_link_out(open_rows, full, similar)), "open")
+    left, right = (open_rows.select("key", F.col("node").alias(k), F.col("component").alias(f"c_{k}"), F.col("n_shingles").alias(f"n_{k}")) for k in "ab")
+    close = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similar
+    across = store(left.join(right, "key").where((F.col("c_a") < F.col("c_b")) & close).select("a", "b").distinct(), "pairs")
+    if across.limit(1).count():
+        links = store(links.unionByName(verified(across, full, similar)), "links")
+        labels = store(components(wanted.withColumnRenamed("node", "id"), links), "components")
+
+    # most nodes are linked with none: only the others have a group to name
+    grouped = nodes.select("node", "first_id").join(small(labels.withColumnRenamed("id", "node")), "node")
+    smallest = store(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "smallest")
+    named = store(small(labels).join(small(smallest), "component").select(F.col("id").alias("node"), "component_id", F.lit(True).alias("grouped")), "named")
+    of_node = nodes.select("node", "first_id").join(small(named), "node", "left").select(
+        "node", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))
     out = rows.select("doc_id", "text_hash", "n_shingles", "node").join(of_node, "node", "left")
     group = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, group.isNull()).alias("kept"))
