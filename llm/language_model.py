@@ -7,12 +7,14 @@ for the shared symbols, one decision at a time for the byte among its symbol's
 bytes. The context of a symbol's decisions is the path so far and the symbols
 before it, up to DEPTH.
 
-Counts cover the whole training text. The tree keeps the contexts that are
-seen most, up to NODES, a size that does not depend on the corpus, so every
-task can be sent the model; all other contexts of a node share one child. Each
-node's Krichevsky-Trofimov estimate is weighted half and half with the product
-of its children, from the deepest contexts up; the weights turn the counts into
-one probability a decision, and these into one table row a context.
+Counts cover the whole training text, and every context of it is kept. Each
+context's Krichevsky-Trofimov estimate is weighted half and half with the
+product of its children, from the deepest contexts up; the weights turn the
+counts into one probability a decision. Cells (a context of DEPTH symbols and
+the symbol after it) are dealt by their nearest symbols, so that a task has all
+longer contexts of those it weighs; the contexts of up to TOP symbols, which
+the alphabet bounds, are weighed on the driver. Texts look up the cells that
+occur most, which every task is sent, and are joined with the others.
 """
 
 from __future__ import annotations
@@ -31,8 +33,12 @@ from llm.common import held_out, slices, store, table
 
 FOLDS = 10
 DEPTH, BITS, SYMBOLS = 6, 6, 64
-#: Contexts in the model; words whose counts every task is sent.
-NODES, WORDS = 100_000, 65_536
+#: Words whose counts, and cells whose scores every task is sent; the others
+#: are joined.
+WORDS, SENT = 65_536, 1_000_000
+#: Symbols of the contexts that the driver weighs; cells for a task, and those
+#: of them that it weighs at a time.
+TOP, SHARE, RUN = 2, 1_000_000, 250_000
 #: Text bytes a worker counts or scores at a time, and keys it gathers before
 #: it adds up equal ones.
 SLICE, GATHER = 2_000_000, 4_000_000
@@ -112,9 +118,11 @@ def count_contexts(docs: DataFrame) -> DataFrame:
                 if size > GATHER:
                     parts = [add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
                     size = 0
-        if parts:
-            key, n = add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(key, np.arange(256) - 256)), pa.array(np.append(n, plain))], names=["key", "n"])
+                    if len(parts[0][0]) > GATHER // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts.pop()], names=["key", "n"])
+        parts.append((np.arange(256) - 256, plain))
+        key, n = add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -179,6 +187,134 @@ def symbol_logs(p_one: np.ndarray) -> np.ndarray:
     return out[:, SYMBOLS:]
 
 
+def inner_logs(plain: np.ndarray) -> np.ndarray:
+    """log2 probability of a byte among the bytes of its symbol, one decision
+    after the other, from the bytes' counts."""
+    out = np.zeros(256, np.float32)
+    for s in range(SYMBOLS):
+        members = np.flatnonzero(SYMBOL == s)
+        share = 0.0
+        for i, c in enumerate(members[:-1]):
+            after = plain[members[i + 1:]].sum()
+            p = (plain[c] + 0.5) / (plain[c] + after + 1)
+            out[c] = share + np.log2(p)
+            share += np.log2(1 - p)
+        if len(members):
+            out[members[-1]] = share
+    return out
+
+
+# ------------------------------------------- every context, over all tasks
+
+def turned(key: np.ndarray) -> np.ndarray:
+    """Keys with the nearest symbol highest and the coded one lowest: a
+    context's shorter contexts are its prefixes."""
+    out = key & (SYMBOLS - 1)
+    for back in range(1, DEPTH + 1):
+        out |= ((key >> BITS * back) & (SYMBOLS - 1)) << BITS * (DEPTH + 1 - back)
+    return out
+
+
+def climb(j: int, depth: int, least: int, k: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray | None) -> tuple[list, tuple]:
+    """Weigh decision ``j`` of a symbol's path in the contexts of ``depth``
+    down to ``least`` symbols: estimate, weight and place of the next shorter
+    context, a level each, and (k, zero, one, below) of the level after.
+
+    ``k`` is the context and the ``j`` decisions before, ``below`` the log of
+    the product of the children; the longest contexts have none.
+    """
+    levels = []
+    for _ in range(depth, least - 1, -1):
+        p, log_p = estimate(zero, one)
+        weight = np.ones(len(p))
+        if below is not None:
+            both = np.logaddexp(log_p, below) - np.log(2)
+            weight, log_p = np.exp(log_p - np.log(2) - both), both
+        k, at = np.unique((k >> (j + BITS) << j) | (k & ((1 << j) - 1)), return_inverse=True)
+        levels.append((p, weight, at))
+        zero, one, below = (np.bincount(at, x, len(k)) for x in (zero, one, log_p))
+    return levels, (k, zero, one, below)
+
+
+def descend(levels: list, mixed: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mixture over all shorter contexts, and the weight that is left."""
+    for p, weight, at in reversed(levels):
+        mixed, left = mixed[at] + left[at] * weight * p, left[at] * (1 - weight)
+    return mixed, left
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list]]:
+    """A task's cells in order, those of one longer context than the driver's
+    together, and for each decision its bits, places and levels."""
+    parts = [[c.to_numpy() for c in b.columns] for b in batches]
+    if not parts:
+        return
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    r = turned(columns[0])
+    order = np.argsort(r)
+    r, columns = r[order], [c[order] for c in columns]
+    context = r >> BITS * (DEPTH - TOP)
+    starts = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+    sizes = np.diff(np.append(starts, len(r)))
+    for i, j in slices(sizes.tolist(), RUN):
+        own = slice(starts[i], starts[j - 1] + sizes[j - 1])
+        yield [c[own] for c in columns], list(weighed(r[own], columns[1][own].astype(float)))
+
+
+def weighed(r: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
+    for j in range(BITS):
+        k, bit = r >> (BITS - j), (r >> (BITS - 1 - j)) & 1
+        new = np.append(True, k[1:] != k[:-1])
+        first = np.flatnonzero(new)
+        one = np.add.reduceat(n * bit, first)
+        yield bit == 1, np.cumsum(new) - 1, *climb(j, DEPTH, TOP + 1, k[first], np.add.reduceat(n, first) - one, one, None)
+
+
+def cell_scores(learn: DataFrame, docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(key, n, log) of every cell of ``docs``: how often it occurs there, and
+    the log2 probability of its symbol after all of ``learn``; then
+    ``inner_logs``. Cells that ``learn`` lacks count 0 there."""
+    spark = docs.sparkSession
+    counted = store(count_contexts(learn), "contexts")
+    plain = np.zeros(256)
+    for key, n in counted.where("key < 0").collect():
+        plain[key + 256] = n
+    here = count_contexts(docs).select("key", F.lit(0).cast("long").alias("n"), F.col("n").alias("m"))
+    both = counted.select("key", "n", F.lit(0).cast("long").alias("m")).unionByName(here).where("key >= 0")
+    cells = store(both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "cells")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells.count() // SHARE))
+    dealt = cells.repartition(tasks, F.shiftright("key", BITS).bitwiseAND(F.lit((1 << BITS * (TOP + 1)) - 1)))
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found in runs(batches):
+            for j, (_, _, _, (k, zero, one, below)) in enumerate(found):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), j, np.int32)), pa.array(k), pa.array(zero), pa.array(one), pa.array(below)],
+                                                 names=["j", "k", "zero", "one", "below"])
+    top = (dealt.mapInArrow(short, "j int, k long, zero double, one double, below double").groupBy("j", "k")
+           .agg(*[F.sum(c).alias(c) for c in ("zero", "one", "below")]).toArrow())
+    decision, *columns = (c.to_numpy() for c in top.columns)
+    known = []
+    for j in range(BITS):
+        at = np.flatnonzero(decision == j)
+        k, zero, one, below = (c[at[np.argsort(columns[0][at])]] for c in columns)
+        levels, (ends, *_) = climb(j, TOP, 0, k, zero, one, below)
+        known.append((k, *descend(levels, np.zeros(len(ends)), np.ones(len(ends)))))
+    shared = spark.sparkContext.broadcast(known)
+
+    def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (key, _, m), found in runs(batches):
+            out = np.zeros(len(key))
+            for (bit, at, levels, (k, *_)), (has, mixed, left) in zip(found, shared.value, strict=True):
+                place = np.searchsorted(has, k)
+                p = descend(levels, mixed[place], left[place])[0][at]
+                out += np.log2(np.where(bit, p, 1 - p))
+            kept = m > 0
+            yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(m[kept]), pa.array(out[kept].astype(np.float32))], names=["key", "n", "log"])
+    return store(dealt.mapInArrow(logs, "key long, n long, log float"), "logs"), inner_logs(plain)
+
+
+# ------------------------------------------------- a tree in one process
+
 class ContextTree:
     """Nodes are contexts, the root is 0; ``child`` leads from a node by the
     next symbol back, -1 where that context is not kept."""
@@ -244,18 +380,7 @@ class ContextTree:
                 mixed[own] = m + rest * weight[own] * estimate(*decisions(total[own]))[0]
                 left[own] = rest * (1 - weight[own])
                 self.logs[own] = symbol_logs(mixed[own] + left[own] * estimate(*decisions(counts[own]))[0])
-        # a byte among the bytes of its symbol, one decision after the other
-        self.inner = np.zeros(256, np.float32)
-        for s in range(SYMBOLS):
-            members = np.flatnonzero(SYMBOL == s)
-            share = 0.0
-            for i, c in enumerate(members[:-1]):
-                after = plain[members[i + 1:]].sum()
-                p = (plain[c] + 0.5) / (plain[c] + after + 1)
-                self.inner[c] = share + np.log2(p)
-                share += np.log2(1 - p)
-            if len(members):
-                self.inner[members[-1]] = share
+        self.inner = inner_logs(plain)
 
     def log10(self, texts: list[bytes]) -> np.ndarray:
         """log10 probability of each lower-cased text with its end."""
@@ -265,8 +390,10 @@ class ContextTree:
         return np.add.reduceat(self.logs[node, symbol] + self.inner[data], starts, dtype=np.float64) * np.log10(2)
 
 
-def train(docs: DataFrame, nodes: int = NODES) -> ContextTree:
-    """The tree of all texts of ``docs``; without any it says one half."""
+def train(docs: DataFrame, nodes: int) -> ContextTree:
+    """A tree of the ``nodes`` contexts that all texts of ``docs`` have most,
+    to look at or compare with: ``score`` does without it. Without any text it
+    says one half."""
     spark = docs.sparkSession
     counted = store(count_contexts(docs), "contexts")
     seen, level = counted.where("key >= 0"), None
@@ -305,7 +432,11 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
     learn from, every count is 0 and every decision one half.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(train(learn))
+    cells, inner = cell_scores(learn, docs)
+    most = most_seen(cells, SENT).select("key", "log").toArrow()
+    most_keys, most_logs = (c.to_numpy() for c in most.columns)
+    order = np.argsort(most_keys)
+    shared = spark.sparkContext.broadcast((most_keys[order], most_logs[order]))
     counted = store(count_words(learn), "words")
     n_docs = learn.count()
     total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("word")).first()
@@ -316,14 +447,23 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
     end = float(np.log10(n_docs + PRIOR) - below)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        has, log = shared.value
         logs = {w: float(np.log10(n + PRIOR) - below) for w, n in common_shared.value.items()}
         get, row = logs.get, TaskContext.get().partitionId() << 36
         for b in batches:
             doc_ids, texts = b.column(0).to_pylist(), _lower(b, 1)
             for i, j in slices([len(t) for t in texts], SLICE):
                 part, out = texts[i:j], []
-                for doc, t, s in zip(doc_ids[i:j], part, tree.log10(part).tolist(), strict=True):
+                key, data = keys(part)
+                starts = symbols(part)[1]
+                cell, at = np.unique(key, return_inverse=True)
+                place = np.searchsorted(has, cell)
+                hit = np.append(has, -1)[place] == cell
+                found_logs = np.where(hit, np.append(log, 0)[place], 0)[at] + inner[data]
+                total_logs = np.add.reduceat(found_logs, starts, dtype=np.float64) * np.log10(2)
+                others = np.flatnonzero(~hit[at])
+                cells_of = pa.ListArray.from_arrays(np.searchsorted(others, np.append(starts, len(key))).astype(np.int32), pa.array(key[others]))
+                for doc, t, s in zip(doc_ids[i:j], part, total_logs.tolist(), strict=True):
                     words = t.split()
                     found = [get(w) for w in words]
                     known = [x for x in found if x is not None]
@@ -331,18 +471,21 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
                     out.append((row, doc, len(words) + 1, len(known) + (n_docs > 0), sum(known) + end, s, list(rare.keys()), list(rare.values())))
                     row += 1
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                 names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "times"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)] + [cells_of],
+                                                 names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "times", "cells"])
     rows = store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<binary>, times array<long>"), "scored")
+        run, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<binary>, times array<long>, cells array<long>"), "scored")
     rare = (rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
             .select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")))
     share = F.log10(F.coalesce("n", F.lit(0)) + PRIOR) - F.lit(float(below))
     added = (rare.join(counted, "word", "left").groupBy("row")
              .agg(F.sum(F.col("times") * share).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("also")))
-    return (rows.drop("rare", "times").join(added, "row", "left")
+    further = (rows.select("row", F.explode("cells").alias("key")).join(cells.select("key", "log"), "key").groupBy("row")
+               .agg((F.sum("log") * F.lit(float(np.log10(2)))).alias("further")))
+    return (rows.drop("rare", "times", "cells").join(added, "row", "left").join(further, "row", "left")
             .select("doc_id", "n_tokens", (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score"))
+                    (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+                    (F.col("score") + F.coalesce("further", F.lit(0.0))).alias("score")))
 
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

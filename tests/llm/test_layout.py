@@ -91,6 +91,67 @@ def test_weighted_estimate_of_one_decision(spark):
     assert abs(2.0 ** tree.logs[0, language_model.SYMBOL[97]] - p) < 1e-6
 
 
+def brute_scores(learn, texts):
+    """log10 by context-tree weighting over every context, in plain Python."""
+    m, bits = language_model, language_model.BITS
+
+    def places(t):
+        seq = [m.BLANK] * m.DEPTH + [int(m.SYMBOL[c]) for c in t + b"\xff"]
+        for i in range(m.DEPTH, len(seq)):
+            yield tuple(reversed(seq[i - m.DEPTH:i])), [((seq[i] + m.SYMBOLS) >> (bits - j), seq[i] >> (bits - 1 - j) & 1) for j in range(bits)]
+    seen = [collections.defaultdict(lambda: [0, 0]) for _ in range(m.DEPTH + 1)]
+    plain = np.zeros(256)
+    for t in learn:
+        plain += np.bincount(np.frombuffer(t + b"\xff", np.uint8), minlength=256)
+        for context, path in places(t):
+            for d in range(m.DEPTH + 1):
+                for u, bit in path:
+                    seen[d][context[:d], u][bit] += 1
+    weight, below = [{} for _ in seen], {}
+    for d in range(m.DEPTH, -1, -1):
+        above = collections.Counter()
+        for (context, u), (a, b) in seen[d].items():
+            own = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+            other = below.get((context, u), -math.inf)
+            both = max(own, other) + math.log1p(math.exp(-abs(own - other))) - math.log(2) if d < m.DEPTH else own
+            weight[d][context, u] = math.exp(own - both) / 2 if d < m.DEPTH else 1.0
+            above[context[:-1], u] += both
+        below = above
+    inner, out = m.inner_logs(plain), []
+    for t in texts:
+        total = float(inner[list(t + b"\xff")].sum()) * math.log(2)
+        for context, path in places(t):
+            for u, bit in path:
+                mixed, left = 0.0, 1.0
+                for d in range(m.DEPTH + 1):
+                    if (context[:d], u) not in weight[d]:
+                        break
+                    (a, b), w = seen[d][context[:d], u], weight[d][context[:d], u]
+                    mixed, left = mixed + left * w * (b + 0.5) / (a + b + 1), left * (1 - w)
+                p = mixed + left / 2
+                total += math.log(p if bit else 1 - p)
+        out.append(total / math.log(10))
+    return out
+
+
+def test_every_context_counts(spark, corpus, monkeypatch):
+    """More contexts than any fixed number of them kept, each seen once."""
+    rng = random.Random(3)
+    once = ["".join(rng.choice("abcdefghijklmnopqrst 7") for _ in range(2000)) for _ in range(30)]
+    texts = once + [t for _, t in corpus[:20]] + ["", "Ж7 :", "zzz" + once[0][:50]]
+    learn = [i for i in range(len(texts)) if i < 45]
+    assert len({t[i:i + 6] for t in once for i in range(len(t))}) + len({t[i:i + 5] for t in once for i in range(len(t))}) > 100_000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = brute_scores([texts[i].encode().lower() for i in learn], [t.encode().lower() for t in texts])
+    for sent in (language_model.SENT, 500):
+        monkeypatch.setattr(language_model, "SENT", sent)
+        monkeypatch.setattr(language_model, "RUN", 10_000)
+        got = {r["doc_id"]: r["score"] for r in rows_of(language_model.score(docs, docs.where("doc_id < 45")))}
+        assert len(got) == len(texts)
+        for i, x in enumerate(want):
+            assert abs(got[i] - x) < 1e-4 * max(1, abs(x)), (i, got[i], x)
+
+
 def test_language_model_of_awkward_rows(spark):
     docs = awkward(spark)
     got = rows_of(language_model.score(docs, docs))
