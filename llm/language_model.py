@@ -1,18 +1,15 @@
 """Context-tree weighting over binary-decomposed bytes.
 
-A text is its lower-cased UTF-8 bytes and an end. Each byte is a path of binary
-decisions: six for its symbol (letters, white space, usual signs and
-continuation bytes have symbols of their own; rare bytes share a few), then,
-for the shared symbols, one decision at a time for the byte among its symbol's
-bytes. The context of a symbol's decisions is the path so far and the symbols
-before it, up to DEPTH.
+A text is its lower-cased UTF-8 bytes and an end. Each byte is a path of eight
+binary decisions; the context of each is the path so far and the bytes before
+it, up to DEPTH.
 
 Counts cover the whole training text, and every context of it is kept. Each
 context's Krichevsky-Trofimov estimate is weighted half and half with the
 product of its children, from the deepest contexts up; the weights turn the
-counts into one probability a decision. Cells (a context of DEPTH symbols and
-the symbol after it) are dealt by their nearest symbols, so that a task has all
-longer contexts of those it weighs; the contexts of up to TOP symbols, which
+counts into one probability a decision. Cells (a context of DEPTH bytes and
+the byte after it) are dealt by their nearest bytes, so that a task has all
+longer contexts of those it weighs; the contexts of up to TOP bytes, which
 the alphabet bounds, are weighed on the driver. Texts look up the cells that
 occur most, which every task is sent, and are joined with the others.
 """
@@ -32,11 +29,14 @@ from pyspark.sql import functions as F
 from llm.common import held_out, slices, store, table
 
 FOLDS = 10
-DEPTH, BITS, SYMBOLS = 6, 6, 64
+#: Bytes of context; decisions a byte, and the last byte.
+DEPTH, WIDTH, LAST = 6, 8, 255
+#: The small tree's symbols, which rare bytes share.
+BITS, SYMBOLS = 6, 64
 #: Words whose counts, and cells whose scores every task is sent; the others
 #: are joined.
 WORDS, SENT = 65_536, 1_000_000
-#: Symbols of the contexts that the driver weighs; cells for a task, and those
+#: Bytes of the contexts that the driver weighs; cells for a task, and those
 #: of them that it weighs at a time.
 TOP, SHARE, RUN = 2, 1_000_000, 250_000
 #: Text bytes a worker counts or scores at a time, and keys it gathers before
@@ -64,6 +64,8 @@ def _symbol_table() -> np.ndarray:
 
 SYMBOL = _symbol_table()
 BLANK = int(SYMBOL[32])
+#: What ``score`` takes for symbols: every byte by itself.
+BYTES = np.arange(256)
 
 
 def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,24 +74,24 @@ def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8), starts
 
 
-def before(symbol: np.ndarray, starts: np.ndarray, back: int) -> np.ndarray:
+def before(symbol: np.ndarray, starts: np.ndarray, back: int, blank: int = BLANK) -> np.ndarray:
     """The symbol ``back`` places earlier; a blank before a text's start."""
-    out = np.full(len(symbol), BLANK, symbol.dtype)
+    out = np.full(len(symbol), blank, symbol.dtype)
     out[back:] = symbol[:-back]
     for k in range(back):
         at = starts + k
-        out[at[at < len(out)]] = BLANK
+        out[at[at < len(out)]] = blank
     return out
 
 
-def keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def keys(texts: list[bytes], of: np.ndarray = SYMBOL, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Context and symbol of each place in one number (the nearest symbol in
     the lowest bits of the context, the symbol below it), and the bytes."""
     data, starts = symbols(texts)
-    symbol = SYMBOL[data]
+    symbol = of[data]
     key = symbol.astype(np.int64)
     for back in range(1, DEPTH + 1):
-        key |= before(symbol, starts, back).astype(np.int64) << (BITS * back)
+        key |= before(symbol, starts, back, of[32]).astype(np.int64) << (bits * back)
     return key, data
 
 
@@ -104,14 +106,14 @@ def _lower(b: pa.RecordBatch, i: int) -> list[bytes]:
     return [(t or b"").lower() for t in b.column(i).cast(pa.binary()).to_pylist()]
 
 
-def count_contexts(docs: DataFrame) -> DataFrame:
+def count_contexts(docs: DataFrame, of: np.ndarray = SYMBOL, bits: int = BITS) -> DataFrame:
     """(key, n) over all texts; a negative key counts a byte by itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, plain = [], 0, np.zeros(256, np.int64)
         for b in batches:
             texts = _lower(b, 0)
             for i, j in slices([len(t) for t in texts], SLICE):
-                key, data = keys(texts[i:j])
+                key, data = keys(texts[i:j], of, bits)
                 plain += np.bincount(data, minlength=256)
                 parts.append(np.unique(key, return_counts=True))
                 size += len(parts[-1][0])
@@ -187,37 +189,20 @@ def symbol_logs(p_one: np.ndarray) -> np.ndarray:
     return out[:, SYMBOLS:]
 
 
-def inner_logs(plain: np.ndarray) -> np.ndarray:
-    """log2 probability of a byte among the bytes of its symbol, one decision
-    after the other, from the bytes' counts."""
-    out = np.zeros(256, np.float32)
-    for s in range(SYMBOLS):
-        members = np.flatnonzero(SYMBOL == s)
-        share = 0.0
-        for i, c in enumerate(members[:-1]):
-            after = plain[members[i + 1:]].sum()
-            p = (plain[c] + 0.5) / (plain[c] + after + 1)
-            out[c] = share + np.log2(p)
-            share += np.log2(1 - p)
-        if len(members):
-            out[members[-1]] = share
-    return out
-
-
 # ------------------------------------------- every context, over all tasks
 
 def turned(key: np.ndarray) -> np.ndarray:
-    """Keys with the nearest symbol highest and the coded one lowest: a
+    """Keys with the nearest byte highest and the coded one lowest: a
     context's shorter contexts are its prefixes."""
-    out = key & (SYMBOLS - 1)
+    out = key & LAST
     for back in range(1, DEPTH + 1):
-        out |= ((key >> BITS * back) & (SYMBOLS - 1)) << BITS * (DEPTH + 1 - back)
+        out |= ((key >> WIDTH * back) & LAST) << WIDTH * (DEPTH + 1 - back)
     return out
 
 
 def climb(j: int, depth: int, least: int, k: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray | None) -> tuple[list, tuple]:
-    """Weigh decision ``j`` of a symbol's path in the contexts of ``depth``
-    down to ``least`` symbols: estimate, weight and place of the next shorter
+    """Weigh decision ``j`` of a byte's path in the contexts of ``depth``
+    down to ``least`` bytes: estimate, weight and place of the next shorter
     context, a level each, and (k, zero, one, below) of the level after.
 
     ``k`` is the context and the ``j`` decisions before, ``below`` the log of
@@ -230,7 +215,7 @@ def climb(j: int, depth: int, least: int, k: np.ndarray, zero: np.ndarray, one:
         if below is not None:
             both = np.logaddexp(log_p, below) - np.log(2)
             weight, log_p = np.exp(log_p - np.log(2) - both), both
-        k, at = np.unique((k >> (j + BITS) << j) | (k & ((1 << j) - 1)), return_inverse=True)
+        k, at = np.unique((k >> (j + WIDTH) << j) | (k & ((1 << j) - 1)), return_inverse=True)
         levels.append((p, weight, at))
         zero, one, below = (np.bincount(at, x, len(k)) for x in (zero, one, log_p))
     return levels, (k, zero, one, below)
@@ -253,7 +238,7 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list]]
     r = turned(columns[0])
     order = np.argsort(r)
     r, columns = r[order], [c[order] for c in columns]
-    context = r >> BITS * (DEPTH - TOP)
+    context = r >> WIDTH * (DEPTH - TOP)
     starts = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
     sizes = np.diff(np.append(starts, len(r)))
     for i, j in slices(sizes.tolist(), RUN):
@@ -262,28 +247,27 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list]]
 
 
 def weighed(r: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
-    for j in range(BITS):
-        k, bit = r >> (BITS - j), (r >> (BITS - 1 - j)) & 1
+    for j in range(WIDTH):
+        k, bit = r >> (WIDTH - j), (r >> (WIDTH - 1 - j)) & 1
         new = np.append(True, k[1:] != k[:-1])
         first = np.flatnonzero(new)
         one = np.add.reduceat(n * bit, first)
         yield bit == 1, np.cumsum(new) - 1, *climb(j, DEPTH, TOP + 1, k[first], np.add.reduceat(n, first) - one, one, None)
 
 
-def cell_scores(learn: DataFrame, docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+def cell_scores(learn: DataFrame, docs: DataFrame, others: DataFrame | None = None) -> DataFrame:
     """(key, n, log) of every cell of ``docs``: how often it occurs there, and
-    the log2 probability of its symbol after all of ``learn``; then
-    ``inner_logs``. Cells that ``learn`` lacks count 0 there."""
+    the log2 probability of its byte after all of ``learn``. Cells that
+    ``learn`` lacks count 0 there. If ``docs`` are ``learn`` and ``others``,
+    nothing is counted twice."""
     spark = docs.sparkSession
-    counted = store(count_contexts(learn), "contexts")
-    plain = np.zeros(256)
-    for key, n in counted.where("key < 0").collect():
-        plain[key + 256] = n
-    here = count_contexts(docs).select("key", F.lit(0).cast("long").alias("n"), F.col("n").alias("m"))
-    both = counted.select("key", "n", F.lit(0).cast("long").alias("m")).unionByName(here).where("key >= 0")
+    none = F.lit(0).cast("long")
+    learnt = count_contexts(learn, BYTES, WIDTH).select("key", "n", (none if others is None else F.col("n")).alias("m"))
+    here = count_contexts(docs if others is None else others, BYTES, WIDTH).select("key", none.alias("n"), F.col("n").alias("m"))
+    both = learnt.unionByName(here).where("key >= 0")
     cells = store(both.groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "cells")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells.count() // SHARE))
-    dealt = cells.repartition(tasks, F.shiftright("key", BITS).bitwiseAND(F.lit((1 << BITS * (TOP + 1)) - 1)))
+    dealt = cells.repartition(tasks, F.shiftright("key", WIDTH).bitwiseAND(F.lit((1 << WIDTH * (TOP + 1)) - 1)))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in runs(batches):
@@ -294,7 +278,7 @@ def cell_scores(learn: DataFrame, docs: DataFrame) -> tuple[DataFrame, np.ndarra
            .agg(*[F.sum(c).alias(c) for c in ("zero", "one", "below")]).toArrow())
     decision, *columns = (c.to_numpy() for c in top.columns)
     known = []
-    for j in range(BITS):
+    for j in range(WIDTH):
         at = np.flatnonzero(decision == j)
         k, zero, one, below = (c[at[np.argsort(columns[0][at])]] for c in columns)
         levels, (ends, *_) = climb(j, TOP, 0, k, zero, one, below)
@@ -310,11 +294,28 @@ def cell_scores(learn: DataFrame, docs: DataFrame) -> tuple[DataFrame, np.ndarra
                 out += np.log2(np.where(bit, p, 1 - p))
             kept = m > 0
             yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(m[kept]), pa.array(out[kept].astype(np.float32))], names=["key", "n", "log"])
-    return store(dealt.mapInArrow(logs, "key long, n long, log float"), "logs"), inner_logs(plain)
+    return store(dealt.mapInArrow(logs, "key long, n long, log float"), "logs")
 
 
 # ------------------------------------------------- a tree in one process
 
+def inner_logs(plain: np.ndarray) -> np.ndarray:
+    """log2 probability of a byte among the bytes of its symbol, one decision
+    after the other, from the bytes' counts."""
+    out = np.zeros(256, np.float32)
+    for s in range(SYMBOLS):
+        members = np.flatnonzero(SYMBOL == s)
+        share = 0.0
+        for i, c in enumerate(members[:-1]):
+            after = plain[members[i + 1:]].sum()
+            p = (plain[c] + 0.5) / (plain[c] + after + 1)
+            out[c] = share + np.log2(p)
+            share += np.log2(1 - p)
+        if len(members):
+            out[members[-1]] = share
+    return out
+
+
 class ContextTree:
     """Nodes are contexts, the root is 0; ``child`` leads from a node by the
     next symbol back, -1 where that context is not kept."""
@@ -392,8 +393,8 @@ class ContextTree:
 
 def train(docs: DataFrame, nodes: int) -> ContextTree:
     """A tree of the ``nodes`` contexts that all texts of ``docs`` have most,
-    to look at or compare with: ``score`` does without it. Without any text it
-    says one half."""
+    over folded symbols, to look at or compare with: ``score`` does without it.
+    Without any text it says one half."""
     spark = docs.sparkSession
     counted = store(count_contexts(docs), "contexts")
     seen, level = counted.where("key >= 0"), None
@@ -423,16 +424,17 @@ def train(docs: DataFrame, nodes: int) -> ContextTree:
     return tree
 
 
-def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
+def score(docs: DataFrame, learn: DataFrame, others: DataFrame | None = None) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row
-    of ``docs``, learning from the texts of ``learn``.
+    of ``docs``, learning from the texts of ``learn``. ``others`` may name the
+    rows of ``docs`` besides those of ``learn``, if it has all of these.
 
     Null and empty texts have the end only. Rows are scored one by one, so
     repeated rows and null ids stay; other columns are ignored. With nothing to
     learn from, every count is 0 and every decision one half.
     """
     spark = docs.sparkSession
-    cells, inner = cell_scores(learn, docs)
+    cells = cell_scores(learn, docs, others)
     most = most_seen(cells, SENT).select("key", "log").toArrow()
     most_keys, most_logs = (c.to_numpy() for c in most.columns)
     order = np.argsort(most_keys)
@@ -454,12 +456,12 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
             doc_ids, texts = b.column(0).to_pylist(), _lower(b, 1)
             for i, j in slices([len(t) for t in texts], SLICE):
                 part, out = texts[i:j], []
-                key, data = keys(part)
+                key, _ = keys(part, BYTES, WIDTH)
                 starts = symbols(part)[1]
                 cell, at = np.unique(key, return_inverse=True)
                 place = np.searchsorted(has, cell)
                 hit = np.append(has, -1)[place] == cell
-                found_logs = np.where(hit, np.append(log, 0)[place], 0)[at] + inner[data]
+                found_logs = np.where(hit, np.append(log, 0)[place], 0)[at]
                 total_logs = np.add.reduceat(found_logs, starts, dtype=np.float64) * np.log10(2)
                 others = np.flatnonzero(~hit[at])
                 cells_of = pa.ListArray.from_arrays(np.searchsorted(others, np.append(starts, len(key))).astype(np.int32), pa.array(key[others]))
@@ -491,4 +493,4 @@ def score(docs: DataFrame, learn: DataFrame) -> DataFrame:
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     out = held_out(F.col("doc_id"), FOLDS)
-    return score(docs, docs.where(~out)).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return score(docs, docs.where(~out), docs.where(out)).select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
