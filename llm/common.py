@@ -41,11 +41,16 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder in the shared checkpoint directory."""
+    return f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared checkpoint directory and
     read it back: cuts the lineage, and a lost executor costs no rework."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

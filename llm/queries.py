@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, decontaminate, language_model, license_scan, line_dedup, near_duplicates, packing, quality, sharding, top_k
+from llm import chat_format, decontaminate, language_model, license_scan, line_dedup, near_duplicates, packing, quality, sharding, token_files, top_k
 from tidepool.session import ship_package
 
 
@@ -28,6 +28,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     chat_format.op8_chat_format,
     top_k.op9_top_k,
     near_duplicates.op10_near_duplicates,
+    token_files.op13_token_files,
 )}
 
 ORACLE = {
