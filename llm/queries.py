@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from llm import chat_format, conversation_repair, decontaminate, language_model, license_scan, line_dedup, near_duplicates, packing, quality, sharding, token_files, top_k
+from llm import chat_format, conversation_repair, decontaminate, divergence, language_model, license_scan, line_dedup, near_duplicates, packing, quality, sharding, token_files, top_k
 from tidepool.session import ship_package
 
 
@@ -28,6 +28,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     chat_format.op8_chat_format,
     top_k.op9_top_k,
     near_duplicates.op10_near_duplicates,
+    divergence.op11_source_divergence,
     conversation_repair.op12_conversation_repair,
     token_files.op13_token_files,
 )}
@@ -39,4 +40,5 @@ ORACLE = {
     "op6_decontaminate": decontaminate.ORACLE_SQL,
     "op8_chat_format": chat_format.ORACLE_SQL,
     "op9_top_k": top_k.ORACLE_SQL,
+    "op11_source_divergence": divergence.ORACLE_SQL,
 }
