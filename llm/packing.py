@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from llm.common import slices, store, table
 
 SEQUENCE, SEPARATOR, VOCABULARY = 2048, 1, "word_bpe_49k.json"
-#: Words a worker remembers the ids of before it starts anew.
+#: Words a worker remembers the ids of before it forgets half of them.
 MEMORY = 1_000_000
 #: Text bytes a worker tokenises at a time (one long text more).
 SLICE = 2_000_000
@@ -62,6 +63,14 @@ class WordTokenizer:
         self.first, self.size, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
         self.ids = np.zeros(1 << 20, np.uint32)
 
+    def forget(self) -> None:
+        """Keep the half that was met first: frequent words are met early."""
+        words = list(self.place)[:len(self.place) // 2]
+        first, size = self.first[:len(words)], self.size[:len(words)]
+        ids = self.gather(first, size)
+        self.clear()
+        self.add_all(words, ids, np.cumsum(size))
+
     def learn(self, words: set[bytes]) -> None:
         """A word of letters and then signs is cut there, as the vocabulary's
         own splitting does; letters go in many words at a time, separated by
@@ -71,14 +80,16 @@ class WordTokenizer:
         for w in words - stems:
             m = LETTERS.match(w)
             stem, tail = (m[0], w[m.end():]) if m else (b"", w)
-            if not stem or not SIGNS.fullmatch(tail) or not stem.decode("utf-8", "replace").isalpha():
+            # as the vocabulary's normaliser leaves it: a letter that falls apart
+            # into a letter and a mark changes where the word is cut
+            if not stem or not SIGNS.fullmatch(tail) or not unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha():
                 odd.add(w)
                 continue
             cut.append((w, stem := stem.lower(), tail))
             stems.add(stem)
             if tail:
                 odd.add(tail)
-        todo = sorted(stems - known.keys())
+        todo = sorted(w for w in stems if w not in known)
         for i in range(0, len(todo), 4000):
             part = todo[i:i + 4000]
             ids = np.array(self.encoder.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids)
@@ -87,7 +98,7 @@ class WordTokenizer:
                 self.add_all(part, ids, stops)
             else:  # a letter that the vocabulary's normaliser takes apart
                 odd.update(part)
-        part = sorted(odd - known.keys())
+        part = sorted(w for w in odd if w not in known)
         for w, x in zip(part, self.encoder.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
             ids = np.array(x.ids, np.uint32)
             self.add_all([w], ids, np.array([len(ids)]))
@@ -117,14 +128,15 @@ class WordTokenizer:
 
     def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.place) > MEMORY:
-            self.clear()
+            self.forget()
         # the vocabulary is lower case; only its special tokens tell case apart
         lower = [t if b"<|" in t else t.lower() for t in texts]
         split = [COMMA.sub(rb"\1 \2", t).replace(b"\n", b" ").split(b" ") for t in lower]
-        missing = set().union(*split) - self.place.keys()
+        place = self.place
+        missing = {w for w in set().union(*split) if w not in place}
         if missing:
             self.learn(missing)
-        get = self.place.__getitem__
+        get = place.__getitem__
         for words in split:
             k = np.fromiter(map(get, words), np.int64, len(words))
             yield self.gather(self.first[k], self.size[k])

@@ -180,6 +180,17 @@ def test_word_tokenizer_is_the_tokenizer(monkeypatch):
             assert ids.tolist() == mine.encoder.encode(text, add_special_tokens=False).ids
 
 
+def test_word_tokenizer_on_random_strings(monkeypatch):
+    monkeypatch.setattr(packing, "MEMORY", 500)
+    rng, signs = random.Random(11), ["a", "B", "é", "É", "İ", "ß", "ŉ", "́", "日", "1", "'s", ",", ".", "!", "-", " ", " ", "\n"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(12))) for _ in range(4000)]
+    mine = packing.WordTokenizer(packing.VOCABULARY)
+    for i in range(0, len(texts), 100):
+        part = texts[i:i + 100]
+        for text, ids in zip(part, mine([t.encode() for t in part]), strict=True):
+            assert ids.tolist() == mine.encoder.encode(text, add_special_tokens=False).ids, text
+
+
 def test_placements_fill_sequences():
     rng = random.Random(2)
     counts = {1 + int(256 * rng.random() ** 2): rng.randrange(1, 200) for _ in range(120)}
