@@ -29,7 +29,7 @@ VOCABULARY, END = "byte_bpe_50k.json", 2
 #: Bytes of a row group and of a page.
 ROW_GROUP, PAGE = 32 << 20, 64 << 10
 #: Text bytes a worker tokenises at a time (one long text more), and chunks it
-#: remembers the ids of before it starts anew.
+#: remembers the ids of before it forgets half of them.
 SLICE, MEMORY = 2_000_000, 1_000_000
 
 #: What the cutting below cannot tell apart: longer runs of white space, and
@@ -38,6 +38,20 @@ LONG_RUN = re.compile(rb"\s{3}|\s\s\Z")
 WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
+class Places(dict):
+    """Index of each chunk; a new one gets the next and is noted as unknown."""
+
+    def __init__(self) -> None:
+        self.unknown: list[bytes] = []
+        self.next = 0
+
+    def __missing__(self, chunk: bytes) -> int:
+        self[chunk] = k = self.next
+        self.next += 1
+        self.unknown.append(chunk)
+        return k
+
+
 class ChunkTokenizer:
     """Byte-level token ids of texts, remembering the ids of chunks.
 
@@ -65,42 +79,59 @@ class ChunkTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place = Places()
         self.first, self.size, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
         self.ids = np.zeros(1 << 20, np.int32)
 
-    def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.encoder.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
+    def forget(self) -> None:
+        """Keep the half that was met first: frequent chunks are met early."""
+        old = list(self.place.items())[:len(self.place) // 2]
+        k = np.array([i for _, i in old], np.int64)
+        size = self.size[k]
+        ids = self.gather(self.first[k], size)
+        self.clear()
+        kept = [self.place[c] for c, _ in old]
+        self.place.unknown.clear()
+        self.put(kept, ids, np.cumsum(size))
 
-    def learn(self, chunks: list[bytes]) -> None:
-        groups: dict[bytes, list[bytes]] = {b" ": [], b"\n": []}
+    def gather(self, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return self.ids[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+
+    def put(self, places: list[int], ids: np.ndarray, stops: np.ndarray) -> None:
+        """Remember the ids of entries, which stand one after the other."""
+        while self.place.next > len(self.first):
+            self.first, self.size = np.resize(self.first, 2 * len(self.first)), np.resize(self.size, 2 * len(self.size))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        starts = np.append(0, stops[:-1])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.first[places], self.size[places] = self.used + starts, stops - starts
+        self.used += len(ids)
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.encoder.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.array(x.ids, np.int32) for x in found]
+
+    def learn(self) -> None:
+        """Find the ids of the chunks that are unknown so far."""
+        place = self.place
+        unknown, place.unknown = place.unknown, []
+        together: dict[bytes, list[bytes]] = {b" ": [], b"\n": []}
         odd = []
-        for c in chunks:
-            (groups[c[:1]] if len(c) > 1 and len(c.split()) == 1 and not c[1:2].isspace() and not c[-1:].isspace() else odd).append(c)
-        for byte, found in groups.items():
+        for c in unknown:
+            sure = c[:1] in together and len(c) > 1 and not c[1:2].isspace() and not c[-1:].isspace() and len(c.split()) == 1
+            (together[c[:1]] if sure else odd).append(c)
+        for byte, found in together.items():
             for i in range(0, len(found), 4000):
                 part = found[i:i + 4000]
-                ids = np.array(self.encoder.encode_batch_fast([b"".join(part).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, np.int32)
+                ids = self.encode([b"".join(part)])[0]
                 starts = np.flatnonzero(self.heads[byte][ids])
                 if len(starts) == len(part):
-                    self.add(part, ids, np.append(starts[1:], len(ids)))
+                    self.put([place[c] for c in part], ids, np.append(starts[1:], len(ids)))
                 else:
                     odd += part
-        for c, x in zip(odd, self.encoder.encode_batch_fast([c.decode("utf-8", "replace") for c in odd], add_special_tokens=False), strict=True):
-            self.add([c], np.array(x.ids, np.int32), np.array([len(x.ids)]))
-
-    def add(self, chunks: list[bytes], ids: np.ndarray, stops: np.ndarray) -> None:
-        """Remember chunks whose ids stand one after the other."""
-        k, n, m = len(self.place), len(chunks), len(ids)
-        while k + n > len(self.first):
-            self.first, self.size = np.resize(self.first, 2 * len(self.first)), np.resize(self.size, 2 * len(self.size))
-        while self.used + m > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        starts = np.append(0, stops[:-1])
-        self.ids[self.used:self.used + m] = ids
-        self.first[k:k + n], self.size[k:k + n] = self.used + starts, stops - starts
-        self.place.update(zip(chunks, range(k, k + n), strict=True))
-        self.used += m
+        for c, ids in zip(odd, self.encode(odd), strict=True):
+            self.put([place[c]], ids, np.array([len(ids)]))
 
     def plain(self, text: bytes) -> bool:
         """Whether cutting before each blank and newline is sure."""
@@ -113,23 +144,30 @@ class ChunkTokenizer:
             return False
         return text.isascii() or not any(s in text for s in (b"\xc2", b"\xe1", b"\xe2", b"\xe3")) or not WIDE.search(text)
 
-    def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        if len(self.place) > MEMORY:
-            self.clear()
-        # a newline in front makes the first word a chunk like the others
-        split = [(b"\n" + t).replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0")[1:] if self.plain(t) else None for t in texts]
-        place = self.place
-        missing = {c for chunks in split if chunks for c in chunks if c not in place}
-        if missing:
-            self.learn(list(missing))
-        get = place.__getitem__
-        for text, chunks in zip(texts, split, strict=True):
-            if chunks is None:
-                yield self.whole(text)
-                continue
-            k = np.fromiter(map(get, chunks), np.int64, len(chunks))
-            first, size = self.first[k], self.size[k]
-            yield self.ids[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())][1:]
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts one after the other, and where each text's end."""
+        if len(self.place) > MEMORY or self.used > 16 * MEMORY:
+            self.forget()
+        get, found = self.place.__getitem__, []
+        for t in texts:
+            if self.plain(t):
+                # a newline in front makes the first word a chunk like the others
+                chunks = (b"\n" + t).replace(b" ", b"\0 ").replace(b"\n", b"\0\n").split(b"\0")[1:]
+                found.append(np.fromiter(map(get, chunks), np.int64, len(chunks)))
+            else:  # an entry of its own that nothing finds again
+                ids = np.append(np.int32(0), self.encode([t])[0])
+                found.append(np.array([self.place.next]))
+                self.place.next += 1
+                self.put(found[-1], ids, np.array([len(ids)]))
+        if not found:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.learn()
+        stops = np.cumsum([len(k) for k in found])
+        k = np.concatenate(found)
+        first, size = self.first[k], self.size[k]
+        heads = np.append(0, stops[:-1])
+        first[heads], size[heads] = first[heads] + 1, size[heads] - 1  # without the first newline
+        return self.gather(first, size), np.cumsum(size)[stops - 1]
 
 
 _READY: dict[str, ChunkTokenizer] = {}
@@ -150,15 +188,15 @@ def token_rows(docs: DataFrame, vocabulary: str, end: int | None) -> DataFrame:
     the order of the rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, at = _tokenizer(vocabulary), TaskContext.get().partitionId(), 0
-        tail = np.array([] if end is None else [end], np.int32)
         for b in batches:
             texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
             for i, j in slices([len(t) for t in texts], SLICE):
-                lists = [np.append(x, tail) for x in encode(texts[i:j])]
-                size = np.array([len(x) for x in lists], np.int32)
-                stops = np.append(0, np.cumsum(size, dtype=np.int64))
-                ids = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(np.concatenate(lists)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.full(j - i, part, np.int32)), pa.array(at + stops[:-1]), pa.array(size), ids],
+                ids, stops = encode(texts[i:j])
+                if end is not None:
+                    ids, stops = np.insert(ids, stops, end), stops + np.arange(1, j - i + 1)
+                stops = np.append(0, stops)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(np.full(j - i, part, np.int32)), pa.array(at + stops[:-1]),
+                                                  pa.array(np.diff(stops).astype(np.int32)), pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids))],
                                                  names=["doc_id", "part", "start", "n_tokens", "ids"])
                 at += int(stops[-1])
     return docs.mapInArrow(run, COLUMNS)
