@@ -78,3 +78,57 @@ def test_limb_sum_avg_min_max(spark):
         assert abs(frac(out[g]["a"]) - sum(fs) / len(fs)) < Fraction(1, 10**60)
         assert frac(out[g]["mn"]) == min(fs) and frac(out[g]["mx"]) == max(fs)
     assert out[3]["s"] is None and out[3]["mn"] is None
+
+
+wide = st.builds(lambda m, d, r: f"{m}e{d}b0/{r}e0b0", st.integers(-10**40, 10**40), st.integers(-300, 300), st.sampled_from([1, 2, 7, 3 * 2**200]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(wide)
+def test_blocks_keep_decimals_or_significant_digits(a):
+    v = frac(a)
+    blocks = X.to_blocks(X.parse(a))
+    back = Fraction(*X.from_blocks(blocks.pop(0, [0] * X.N_LIMBS), blocks.items()))
+    assert abs(back - v) <= min(Fraction(1, 10**84), max(abs(v), Fraction(1, 10**400)) / 10**59)
+    near, far = X.limb_arrays([X.parse(a), None])
+    limbs = near.to_pylist()
+    assert limbs[1] is None and Fraction(*X.from_blocks(limbs[0], far[0])) == back
+
+
+@settings(max_examples=300, deadline=None)
+@given(wide, wide)
+def test_order_keys_order_values(a, b):
+    x, y = frac(a), frac(b)
+    kx, ky = X.order_key(X.parse(a)), X.order_key(X.parse(b))
+    assert (kx < ky, kx > ky) == (x < y, x > y)
+
+
+EXTREME = ["3.4e68", "340282366920938463463374607431768211455e-30", "1e80", "3e73", "-1e80b0/3e0b0", "7e-200", "-7e-200", "1e200", "5e0b0/3e200b190",
+           "12345678901234567890.5", "0", None]
+
+
+def test_sums_have_no_limit_of_width(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(g, rnd.choice(EXTREME), rnd.choice(EXTREME)) for g in range(3) for _ in range(40)] + [(7, None, "1"), (None, "1e80", None)]
+    df = spark.createDataFrame(rows, "g int, v string, w string").repartition(4)
+    by_frame = {r["g"]: r for r in X.totals(df, ["g"], {"s": "v", "t": "w"}, {"a": "v"}).collect()}
+    by_column = {r["g"]: r for r in df.groupBy("g").agg(X.exact_sum("v").alias("s"), X.exact_sum("w").alias("t"), X.exact_avg("v").alias("a"),
+                                                        X.exact_min("v").alias("lo"), X.exact_max("v").alias("hi")).collect()}
+    assert by_frame.keys() == by_column.keys() == {0, 1, 2, 7, None}
+    for g, r in by_frame.items():
+        vs, ws = ([frac(x[k]) for x in rows if x[0] == g and x[k] is not None] for k in (1, 2))
+        for got in (r, by_column[g]):
+            for name, want in (("s", sum(vs) if vs else None), ("t", sum(ws) if ws else None), ("a", sum(vs) / len(vs) if vs else None)):
+                if want is None:
+                    assert got[name] is None
+                else:
+                    assert abs(frac(got[name]) - want) < Fraction(1, 10**82)
+        if vs:
+            assert (frac(by_column[g]["lo"]), frac(by_column[g]["hi"])) == (min(vs), max(vs))
+
+
+def test_tiny_values_are_not_lost(spark):
+    df = spark.createDataFrame([("1e80",), ("3e73",), ("-3e73",)], "v string")
+    assert frac(X.totals(df, [], {"s": "v"}).first()["s"]) == Fraction(1, 10**80)
+    assert frac(df.agg(X.exact_sum("v")).first()[0]) == Fraction(1, 10**80)

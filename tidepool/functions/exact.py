@@ -11,7 +11,7 @@ skip nulls, value equality is what counts. Output literals are canonical:
 
 Row functions are Arrow-batched pandas UDFs: one Python loop per Arrow batch
 over plain ``int`` arithmetic. Aggregates stay JVM-side: every value is cut
-into signed base-10^9 fixed-point limbs and the limbs are summed with the
+into signed base-10^6 limbs by place and the limbs are summed with the
 built-in ``sum`` (so partial aggregation happens before any shuffle); one
 UDF recombines the few limb totals per group.
 """
@@ -23,11 +23,13 @@ from decimal import ROUND_HALF_EVEN, Context, Decimal
 from functools import lru_cache
 from math import gcd
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType
+from pyspark.sql.functions import arrow_udf, pandas_udf
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 # ---------------------------------------------------------------------------
 # pure-Python codec (the per-row helper)
@@ -220,51 +222,120 @@ def scale(x, dec, binary):
     return (p, q)
 
 
-# fixed-point limbs for native sums: value ~= sum(limb[i] * 10^(9i)) / 10^FRAC
-LIMB_DIGITS = 9
+# Sums: a value is a row of signed base-10^6 limbs at places around the point.
+# The limbs are kept in blocks of 21: block 0 (84 decimals, values below 10^42)
+# is an array of its own, and the few values that reach further have further
+# blocks, so there is no limit of width. A limb is below 10^6, so the sum of a
+# place stays a bigint over more than 9 x 10^12 rows of a group.
+LIMB_DIGITS = 6
 LIMB_BASE = 10 ** LIMB_DIGITS
-FRAC_LIMBS = 8                      # 72 fractional digits
-INT_LIMBS = 7                       # integer part below 10^63
-N_LIMBS = FRAC_LIMBS + INT_LIMBS
-_FRAC_SCALE = LIMB_BASE ** FRAC_LIMBS
-_LIMIT = LIMB_BASE ** N_LIMBS
-
+FRAC_LIMBS = 14                     # decimals in block 0: 84
+N_LIMBS = 21                        # limbs of a block
+SIGNIFICANT = 60                    # digits kept of a value with more decimals than block 0
+_FRAC = FRAC_LIMBS * LIMB_DIGITS
+_WIDTH = N_LIMBS * LIMB_DIGITS
+_PLACES = 10 ** np.arange(LIMB_DIGITS - 1, -1, -1, dtype=np.int64)
+# denominators 10^d up to the decimals of block 0 -> the factor that fills them
+_FILL = {10 ** d: 10 ** (_FRAC - d) for d in range(_FRAC + 1)}
+
+
+def fixed(x):
+    """(p, q) -> (v, f): the value is v * 10^(-LIMB_DIGITS * f).
+
+    Kept are block 0's decimals or SIGNIFICANT digits, whichever is finer; what
+    lies below is rounded half-even. Decimals that are no longer are exact.
+    """
+    p, q = x
+    fill = _FILL.get(q)
+    size = (abs(p).bit_length() - q.bit_length()) * 30103 // 100000  # within 1 of the power of ten
+    f = max(FRAC_LIMBS, -(-(SIGNIFICANT - size) // LIMB_DIGITS))
+    if fill is not None and f == FRAC_LIMBS:
+        return p * fill, f
+    v, rest = divmod(abs(p) * LIMB_BASE ** f, q)
+    if 2 * rest > q or (2 * rest == q and v & 1):
+        v += 1
+    while f > FRAC_LIMBS and v % LIMB_BASE == 0:
+        v, f = v // LIMB_BASE, f - 1
+    return (-v if p < 0 else v), f
+
+
+def to_blocks(x) -> dict[int, list[int]]:
+    """Blocks with limbs that are not 0, limbs from the highest place down."""
+    v, f = fixed(x)
+    sign, v, out, place = (-1 if v < 0 else 1), abs(v), {}, -f
+    while v:
+        v, limb = divmod(v, LIMB_BASE)
+        if limb:
+            block, at = divmod(place + FRAC_LIMBS, N_LIMBS)
+            out.setdefault(block, [0] * N_LIMBS)[N_LIMBS - 1 - at] = sign * limb
+        place += 1
+    return out
+
+
+def from_blocks(near, far, count=1):
+    """(p, q) of block 0's limb sums and (block, limbs) entries over ``count``."""
+    if near is None or not count:
+        return None
+    blocks = [(0, near), *far]
+    low = min(b for b, _ in blocks)
+    total = 0
+    for b, limbs in blocks:
+        v = 0
+        for limb in limbs:
+            v = v * LIMB_BASE + int(limb)
+        total += v * LIMB_BASE ** (N_LIMBS * (b - low))
+    return reduce(total * LIMB_BASE ** max(0, N_LIMBS * low - FRAC_LIMBS), LIMB_BASE ** max(0, FRAC_LIMBS - N_LIMBS * low) * int(count))
 
-_WIDTH = LIMB_DIGITS * N_LIMBS
-# denominators 10^d (d <= 72) -> d, and the factor that brings them to 10^72
-_POW10 = {10 ** d: d for d in range(FRAC_LIMBS * LIMB_DIGITS + 1)}
-_SCALE_BY = {d: 10 ** (FRAC_LIMBS * LIMB_DIGITS - d) for d in _POW10.values()}
 
+def order_key(x):
+    """Bytes that order as the values do, of any size.
 
-def to_limbs(x):
-    """(p, q) -> N_LIMBS signed limbs, most significant first."""
+    Decimals and binary fractions to 700 places are exact; of other quotients
+    the first 120 digits count.
+    """
     if x is None:
         return None
-    p, q = x
-    d = _POW10.get(q)
-    if d is not None:                       # a terminating decimal: no division
-        v = abs(p) * _SCALE_BY[d]
-    else:
-        v, rem = divmod(abs(p) * _FRAC_SCALE, q)
-        # half-even rounding of the last fractional digit
-        if 2 * rem > q or (2 * rem == q and v & 1):
-            v += 1
-    t = str(v)
-    if len(t) > _WIDTH:
-        raise OverflowError(f"exact value too large for limb sums: {fmt(x)}")
-    t = t.zfill(_WIDTH)
-    if p < 0:
-        return [-int(t[i:i + LIMB_DIGITS]) for i in range(0, _WIDTH, LIMB_DIGITS)]
-    return [int(t[i:i + LIMB_DIGITS]) for i in range(0, _WIDTH, LIMB_DIGITS)]
-
-
-def from_limbs(limbs, count=1):
-    if limbs is None or count is None or count == 0:
-        return None
-    total = 0
-    for li in limbs:
-        total = total * LIMB_BASE + int(li)
-    return (total, _FRAC_SCALE * int(count))
+    p, q = reduce(*x)
+    if p == 0:
+        return b"\x01"
+    twos = (q & -q).bit_length() - 1
+    fives, r = 0, q >> twos
+    while r % 5 == 0:
+        r, fives = r // 5, fives + 1
+    places = max(twos, fives)
+    if r != 1 or places > 700:
+        places = max(0, 121 - (abs(p).bit_length() - q.bit_length()) * 30103 // 100000)
+    digits = str(abs(p) * 10 ** places // q)
+    power = len(digits) - places
+    digits = digits.rstrip("0")
+    body = (power + (1 << 31)).to_bytes(4, "big") + bytes.fromhex(digits + "0" * (len(digits) % 2))
+    return b"\x02" + body if p > 0 else b"\x00" + bytes(255 - c for c in body) + b"\xff"
+
+
+def limb_arrays(values):
+    """Block 0 of many (p, q) as an Arrow list array (null for None), and for
+    each value its further blocks."""
+    width, zero, texts, signs, far = _WIDTH, "0" * _WIDTH, [], [], []
+    for x in values:
+        beyond = ()
+        if x is None:
+            t, negative = zero, False
+        else:
+            v, f = fixed(x)
+            negative, t = v < 0, str(abs(v))
+            if f == FRAC_LIMBS and len(t) <= width:
+                t = t.zfill(width)
+            else:
+                found = to_blocks(x)
+                t = "".join(str(abs(n)).zfill(LIMB_DIGITS) for n in found.pop(0, [0] * N_LIMBS))
+                beyond = tuple(found.items())
+        texts.append(t)
+        signs.append(-1 if negative else 1)
+        far.append(beyond)
+    digits = np.frombuffer("".join(texts).encode(), np.uint8).reshape(-1, N_LIMBS, LIMB_DIGITS) - 48
+    limbs = digits.astype(np.int64) @ _PLACES * np.array(signs, np.int64).reshape(-1, 1)
+    offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * N_LIMBS)
+    return pa.ListArray.from_arrays(offsets, pa.array(limbs.ravel()), mask=pa.array([x is None for x in values], pa.bool_())), far
 
 
 # ---------------------------------------------------------------------------
@@ -335,9 +406,31 @@ def _scale(a: pd.Series, d: pd.Series, k: pd.Series) -> pd.Series:
                      dtype=object)
 
 
-@pandas_udf(ArrayType(LongType()))
-def _limbs(a: pd.Series) -> pd.Series:
-    return pd.Series([to_limbs(parse(x)) for x in a], dtype=object)
+#: Further blocks of a value, and of the named values of a row.
+_ENTRY = [StructField("block", IntegerType()), StructField("limbs", ArrayType(LongType()))]
+FAR_ROWS = ArrayType(StructType(_ENTRY))
+NAMED_FAR_ROWS = ArrayType(StructType([StructField("name", StringType()), *_ENTRY]))
+
+
+_FAR_TYPE = pa.list_(pa.struct([("block", pa.int32()), ("limbs", pa.list_(pa.int64()))]))
+
+
+@arrow_udf(StructType([StructField("near", ArrayType(LongType())), StructField("far", FAR_ROWS)]))
+def _blocks(a: pa.Array) -> pa.Array:
+    near, far = limb_arrays([parse(x) for x in a.to_pylist()])
+    entries = [[{"block": k, "limbs": limbs} for k, limbs in beyond] for beyond in far]
+    return pa.StructArray.from_arrays([near, pa.array(entries, _FAR_TYPE)], names=["near", "far"])
+
+
+@arrow_udf(BinaryType())
+def _order(a: pa.Array) -> pa.Array:
+    return pa.array([order_key(parse(x)) for x in a.to_pylist()], pa.binary())
+
+
+@arrow_udf(StringType())
+def _from_blocks(near: pa.Array, far: pa.Array, n: pa.Array) -> pa.Array:
+    return pa.array([fmt(from_blocks(a, [(e["block"], e["limbs"]) for e in b or ()], c))
+                     for a, b, c in zip(near.to_pylist(), far.to_pylist(), n.to_pylist(), strict=True)], pa.string())
 
 
 def add_(a, b) -> Column:
@@ -402,52 +495,88 @@ def scale_(a, dec, binary=0) -> Column:
     return _scale(_col(a), d.cast("long"), k.cast("long"))
 
 
-def limbs(a) -> Column:
-    """Order-preserving fixed-point limbs (array<bigint>, most significant first)."""
-    return _limbs(_col(a))
+def order_by(a) -> Column:
+    """Key of an exact column that orders as the values do."""
+    return _order(_col(a))
 
 
-def sum_limbs(limb_col: Column) -> list[Column]:
-    return [F.sum(limb_col.getItem(i)) for i in range(N_LIMBS)]
+def _place_sums(limbs: Column) -> Column:
+    return F.array(*[F.sum(limbs.getItem(i)) for i in range(N_LIMBS)])
 
 
 def exact_sum(a) -> Column:
-    """Aggregate: exact sum; null when every input is null."""
-    return exact_sum_of_limbs(limbs(a))
+    """Aggregate: exact sum; null when every input is null.
 
-
-def exact_sum_of_limbs(lc: Column) -> Column:
-    """Aggregate over a precomputed limb column (one UDF pass per value)."""
-    return _unlimb_sum(F.array(*sum_limbs(lc)), F.count(lc))
+    Block 0 is summed place by place, combined before the shuffle. Values that
+    reach beyond it are collected by group: where many can, use ``totals``."""
+    b = _blocks(_col(a))
+    return _from_blocks(_place_sums(b["near"]), F.flatten(F.collect_list(b["far"])), F.least(F.count(b["near"]), F.lit(1)))
 
 
 def exact_avg(a) -> Column:
-    lc = limbs(a)
-    return _unlimb_avg(F.array(*sum_limbs(lc)), F.count(lc))
+    """Aggregate: exact mean, as ``exact_sum``."""
+    b = _blocks(_col(a))
+    return _from_blocks(_place_sums(b["near"]), F.flatten(F.collect_list(b["far"])), F.count(b["near"]))
 
 
-def exact_avg_of_limbs(lc: Column) -> Column:
-    return _unlimb_avg(F.array(*sum_limbs(lc)), F.count(lc))
+def exact_min(a, order: Column | None = None) -> Column:
+    """Aggregate: the literal of the smallest value (exact order)."""
+    return F.min_by(_col(a), order if order is not None else order_by(a))
 
 
-@pandas_udf(StringType())
-def _unlimb_avg(limbs_: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([fmt(from_limbs(l, c)) for l, c in zip(limbs_, n)], dtype=object)
+def exact_max(a, order: Column | None = None) -> Column:
+    return F.max_by(_col(a), order if order is not None else order_by(a))
 
 
-@pandas_udf(StringType())
-def _unlimb_sum(limbs_: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([fmt(from_limbs(l, 1 if c else 0)) for l, c in zip(limbs_, n)],
-                     dtype=object)
+def place_sums(df: DataFrame, group: list[str], near: dict[str, Column], far: Column, aggs=()) -> DataFrame:
+    """``group``, ``aggs``, and what ``total`` and ``mean`` need of each name.
+
+    ``near`` has block 0 of each name, ``far`` (NAMED_FAR_ROWS) the further blocks.
+    A row with further blocks is repeated once for each; those repetitions are
+    groups of their own that sum one block, so every place is summed by the
+    built-in ``sum``, combined before the shuffle, whatever the values' size.
+    One more exchange of a row a group brings a group's blocks together.
+    """
+    none = F.lit(None).cast(NAMED_FAR_ROWS.elementType)
+    rows = df.select("*", F.explode(F.concat(F.array(none), F.coalesce(far, F.array().cast(NAMED_FAR_ROWS)))).alias("__far"))
+    block = F.col("__far.limbs")
+    sums = [c for k, x in near.items() for c in (_place_sums(x).alias(f"__s_{k}"), F.count(x).alias(f"__n_{k}"))]
+    found = rows.groupBy(*group, F.col("__far.name").alias("__name"), F.col("__far.block").alias("__block")).agg(
+        *aggs, *sums, _place_sums(block).alias("__sums"))
+    here = F.col("__name").isNull()
+    kept = [c for c in found.columns if c not in (*group, "__name", "__block", "__sums")]
+    entry = F.struct(F.col("__name").alias("name"), F.col("__block").alias("block"), F.col("__sums").alias("limbs"))
+    return found.groupBy(*group).agg(*[F.first(F.when(here, F.col(c)), ignorenulls=True).alias(c) for c in kept],
+                                     F.collect_list(F.when(~here, entry)).alias("__far"))
+
+
+def _far_of(name: str) -> Column:
+    found = F.filter("__far", lambda e: e["name"] == name)
+    return F.transform(found, lambda e: F.struct(e["block"].alias("block"), e["limbs"].alias("limbs")))
+
+
+def total(name: str) -> Column:
+    """Exact sum of a name after ``place_sums``; null without any value."""
+    return _from_blocks(F.col(f"__s_{name}"), _far_of(name), F.least(F.col(f"__n_{name}"), F.lit(1)))
+
 
+def mean(name: str) -> Column:
+    """Exact mean of a name after ``place_sums``."""
+    return _from_blocks(F.col(f"__s_{name}"), _far_of(name), F.col(f"__n_{name}"))
 
-def exact_min(a, order_limbs: Column | None = None) -> Column:
-    """Aggregate: the literal of the smallest value (exact order via limbs)."""
-    return F.min_by(_col(a), order_limbs if order_limbs is not None else limbs(a))
 
+def totals(df: DataFrame, group: list[str], sums: dict[str, str], means: dict[str, str] | None = None) -> DataFrame:
+    """``group`` and the exact sums and means (output name -> column) of exact
+    columns, of any size and in any number: no group is gathered."""
+    means = means or {}
+    names = sorted({*sums.values(), *means.values()})
+    b = df.withColumns({f"__b_{c}": _blocks(_col(c)) for c in names})
 
-def exact_max(a, order_limbs: Column | None = None) -> Column:
-    return F.max_by(_col(a), order_limbs if order_limbs is not None else limbs(a))
+    def named(c: str) -> Column:
+        far = F.coalesce(F.col(f"__b_{c}.far"), F.array().cast(FAR_ROWS))
+        return F.transform(far, lambda e: F.struct(F.lit(c).alias("name"), e["block"].alias("block"), e["limbs"].alias("limbs")))
+    found = place_sums(b, group, {c: F.col(f"__b_{c}.near") for c in names}, F.concat(*map(named, names)))
+    return found.select(*group, *[total(c).alias(k) for k, c in sums.items()], *[mean(c).alias(k) for k, c in means.items()])
 
 
 def register(spark) -> None:
