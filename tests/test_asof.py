@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidepool.operators.asof import latest_before
+from tidepool.operators import asof
+from tidepool.operators.asof import Lookup, latest_before, look_up
 
 
 def brute(rows, include_current, expiry, self_excluded, keyed):
@@ -33,6 +34,8 @@ def brute(rows, include_current, expiry, self_excluded, keyed):
     dict(include_current=True, expiry=4, self_excluded=False, keyed=True, width=4),
     dict(include_current=True, expiry=None, self_excluded=False, keyed=True, width=6),
     dict(include_current=False, expiry=None, self_excluded=False, keyed=False, width=6),
+    dict(include_current=False, expiry=23, self_excluded=True, keyed=False, width=2),
+    dict(include_current=True, expiry=50, self_excluded=False, keyed=True, width=0.5),
 ])
 def test_against_brute_force(spark, seed, mode):
     rnd = random.Random(seed)
@@ -54,3 +57,49 @@ def test_plan_is_one_shuffle(spark):
                         value=F.struct(F.col("o").alias("o")), out="q", expiry=20, chunk_width=100)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_many_lookups_share_one_carry(spark, monkeypatch):
+    monkeypatch.setattr(asof, "BLOCK", 3)
+    rnd = random.Random(8)
+    rows = [dict(o=o, k=rnd.choice(["a", None, "c"]), cand=rnd.random() < 0.2) for o in rnd.sample(range(400), 200)]
+    df = spark.createDataFrame([(r["o"], r["k"], r["cand"], "mine") for r in rows], "o long, k string, cand boolean, key string")
+    value = F.struct(F.col("o").alias("o"))
+    modes = {"q0": dict(keyed=True, include_current=False, expiry=40, self_excluded=True), "q1": dict(keyed=False, include_current=True, expiry=None, self_excluded=False),
+             "q2": dict(keyed=True, include_current=False, expiry=None, self_excluded=False), "q3": dict(keyed=False, include_current=False, expiry=3, self_excluded=False)}
+    found = look_up(df, [Lookup("k" if m["keyed"] else None, F.col("cand"), value, out, m["include_current"], m["expiry"], m["self_excluded"])
+                         for out, m in modes.items()], order="o", chunk_width=5)
+    got = found.collect()
+    assert found.columns == ["o", "k", "cand", "key", *modes] and len(got) == len(rows)
+    for out, m in modes.items():
+        assert {r["o"]: r[out] and r[out]["o"] for r in got} == brute(rows, m["include_current"], m["expiry"], m["self_excluded"], m["keyed"])
+
+
+def test_narrow_chunks_make_no_single_partition_and_do_not_move_rows_twice(spark):
+    df = spark.range(5000).select(F.col("id").alias("o"), (F.col("id") % 3).alias("k"))
+    for key, expiry in ((None, 200), (None, None), ("k", 200)):
+        out = latest_before(df, key=key, order="o", candidate=F.col("o") % 5 == 0, value=F.struct(F.col("o").alias("o")), out="q", expiry=expiry, chunk_width=10)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and plan.count("Exchange hashpartitioning") <= 2
+        assert out.where("q IS NOT NULL").count() > 4900
+
+
+def test_width_follows_density(spark):
+    df = spark.range(10_000).select((F.col("id") / 100).alias("o"))
+    assert asof.density_width(df, "o", 50, per_chunk=10_000) == 50
+    assert asof.density_width(df, "o", 50, per_chunk=500) == 5
+    assert asof.density_width(df.limit(0), "o", 50) == 50
+
+
+def test_dense_rates_equal_sparse_ones(spark):
+    from tests.conftest import SF001
+    from tidepool.operators import rate
+    from tidepool.plans import catalog
+    from tidepool.plans import views as V
+    from tidepool.sources import sinks
+    prep = sinks.staged(catalog._prepared(spark, SF001), "prep")
+
+    def rated(width):
+        s = rate.delta_and_quotes(prep, base_token=V.BASE_TOKEN, usd_token=V.USD_TOKEN, expiry=100, chunk_width=width)
+        return sorted(map(str, s.select("event_id", "lastPrice0", "priceDelta1", "tickDelta", "base0", "base1", "usdBase").collect()))
+    assert rated(7) == rated(100) == rated(1000)

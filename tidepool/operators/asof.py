@@ -1,33 +1,33 @@
 """Latest earlier row per key, with an optional expiry.
 
 One operator covers the as-of quote joins, the deprecated rolling quotes and
-the previous-swap delta, without any window spanning a whole key.
-
-With an expiry ``X`` (J4-J6, W3) it is a bucketed as-of: cut the order key
-into chunks of width ``W >= X``; copy every candidate that lies in the last
-``X`` of its chunk into the next chunk; one window per (key, chunk), ordered
-by the order key, then finds the latest candidate; copies are dropped and
-values older than ``X`` nulled. Any candidate within ``X`` of a row is in the
-row's chunk or is a copy from the previous one, so this is exact, and it is
-one shuffle: no join, no aggregate, the input is computed once. A key
-holding a third of all rows (or the constant USD key) is split into chunks.
-
-Without an expiry (W1, W2) a carry is needed: the last candidate of each
-(key, chunk) is aggregated, a window over those few summary rows carries it
-to later chunks, and a join brings it back (two passes over the input).
+the previous-swap delta, without any window spanning a whole key. The order key
+is cut into chunks and one window per (key, chunk) finds the latest candidate
+inside the chunk. How candidates of earlier chunks get there depends on the
+chunk's width, which is free: ``density_width`` takes it from the rows.
+
+*Wide chunks* (the expiry or more): every candidate in the last ``expiry`` of
+its chunk is copied into the next chunk in the same pass. One shuffle, no join.
+
+*Narrow chunks* (dense data, or no expiry): the last candidate of every (key,
+chunk) is aggregated from a narrow scan, for all look-ups at once and combined
+before the shuffle, carried to the later chunks that it can still reach, and
+written to scratch; the windows' output is joined with it on (key, chunk), the
+partitioning it has already. With an expiry a candidate reaches a bounded number
+of chunks; without one it is carried through blocks of chunks and then over the
+blocks, so that no window holds more than a block of summary rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _CHUNK = "__chunk"
-_CAND = "__cand"
-_CARRY = "__carry"
-_KEYS = "__k"
 
 
 def _key_cols(key: str | Sequence[str] | None) -> list[str]:
@@ -46,122 +46,149 @@ def _internal_key(keys: list[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat_ws("\u0001", *parts)
 
 
-def latest_before(df: DataFrame, *, key: str | Sequence[str] | None, order: str,
-                  candidate: Column, value: Column, out: str,
-                  include_current: bool = False, expiry: float | None = None,
-                  self_excluded: bool = False, chunk_width: float = 10000) -> DataFrame:
-    """Add ``out``: ``value`` of the latest candidate row of the same key.
+@dataclass(frozen=True)
+class Lookup:
+    """``out``: ``value`` of the latest candidate row of the same key.
 
     ``candidate``: boolean, which rows can be picked.
-    ``value``: struct to carry; it must hold the order key under the name
-    ``order`` so the expiry can be tested.
+    ``value``: struct to carry; it must hold the order key under its own name,
+    so that the expiry can be tested.
     ``include_current``: frame ends at the current row (W1/W2) instead of
     one row before (J4-J6, W3).
     ``expiry``: gap (in order units) above which the value is dropped.
     ``self_excluded``: a candidate row gets null (a quote row shows no quote).
     """
-    if expiry is None:
-        return _latest_with_carry(df, key=key, order=order, candidate=candidate, value=value,
-                                  out=out, include_current=include_current,
-                                  self_excluded=self_excluded, chunk_width=chunk_width)
-    keys = _key_cols(key)
-    cols = [c for c in df.columns if c != out]
-    width = max(float(chunk_width), float(expiry))
-    base = df.withColumns({
-        _KEYS: _internal_key(keys),
-        _CHUNK: F.floor(F.col(order) / F.lit(width)).cast("long"),
-        _CAND: F.when(candidate, value),
-        "__is_cand": F.coalesce(candidate, F.lit(False)),
-        "__orig": F.lit(True),
-    })
-    in_tail = F.col(order) >= (F.col(_CHUNK) + 1) * F.lit(width) - F.lit(expiry)
-    # the copy is made in the same pass (explode), so the input is not read
-    # twice; a copy keeps only what the window needs, other columns are null
-    dup = base.withColumn("__copy", F.explode(
-        F.when(F.col("__is_cand") & in_tail, F.array(F.lit(False), F.lit(True)))
-         .otherwise(F.array(F.lit(False)))))
-    copy = F.col("__copy")
-    rows = dup.select(
-        *[F.when(~copy, F.col(c)).alias(c) if c != order else F.col(order) for c in cols],
-        F.col(_KEYS), (F.col(_CHUNK) + copy.cast("long")).alias(_CHUNK), F.col(_CAND),
-        F.col("__is_cand"), (~copy).alias("__orig"))
-    end = Window.currentRow if include_current else -1
-    w = (Window.partitionBy(F.col(_KEYS), F.col(_CHUNK)).orderBy(F.col(order))
-         .rowsBetween(Window.unboundedPreceding, end))
-    found = (rows
-                 .withColumn(out, F.last(F.col(_CAND), ignorenulls=True).over(w))
-                 .where(F.col("__orig")))
-    result = F.when(F.col(order) - F.col(out)[order] <= F.lit(expiry), F.col(out))
-    if self_excluded:
-        result = F.when(~F.col("__is_cand"), result)
-    return found.select(*cols, result.alias(out))
-
-
-def _latest_with_carry(df: DataFrame, *, key: str | Sequence[str] | None, order: str,
+
+    key: str | Sequence[str] | None
+    candidate: Column
+    value: Column
+    out: str
+    include_current: bool = False
+    expiry: float | None = None
+    self_excluded: bool = False
+
+    def checked(self, order: str, found: Column, is_candidate: Column) -> Column:
+        """``found`` less what the expiry or the row itself rule out."""
+        if self.expiry is not None:
+            found = F.when(F.col(order) - found[order] <= F.lit(self.expiry), found)
+        return F.when(~is_candidate, found) if self.self_excluded else found
+
+
+def latest_before(df: DataFrame, *, key: str | Sequence[str] | None, order: str,
                   candidate: Column, value: Column, out: str,
                   include_current: bool = False, expiry: float | None = None,
                   self_excluded: bool = False, chunk_width: float = 10000) -> DataFrame:
-    """Add ``out``: ``value`` of the latest candidate row of the same key.
+    """Add ``out``; the arguments are ``Lookup``'s."""
+    return look_up(df, [Lookup(key, candidate, value, out, include_current, expiry, self_excluded)],
+                   order=order, chunk_width=chunk_width)
 
-    ``candidate``: boolean, which rows can be picked.
-    ``value``: struct to carry; it must contain the field ``order``'s value
-    under the name given by ``order`` so expiry can be tested.
-    ``include_current``: frame ends at the current row (W1/W2) instead of
-    one row before (J4-J6, W3).
-    ``expiry``: gap (in order units) above which the value is dropped.
-    ``self_excluded``: a candidate row gets null (a quote row shows no quote).
 
-    Plan: one shuffle of the rows on (key, chunk) feeds the window; the chunk
-    summary is aggregated from the window's output (same partitioning, no
-    second shuffle, the upstream runs once), and only the small carry table
-    moves again (broadcast by AQE when its measured size allows).
-    """
-    keys = _key_cols(key)
-    cols = [c for c in df.columns if c != out]
-    end = Window.currentRow if include_current else -1
-    w_in = (Window.partitionBy(F.col(_KEYS), F.col(_CHUNK)).orderBy(F.col(order))
-            .rowsBetween(Window.unboundedPreceding, end))
-
-    base = df.withColumns({
-        _KEYS: _internal_key(keys),
-        _CHUNK: F.floor(F.col(order) / F.lit(chunk_width)).cast("long"),
-        _CAND: F.when(candidate, value),
-        "__is_cand": F.coalesce(candidate, F.lit(False)),
-    })
-    inside = base.withColumn(out, F.last(F.col(_CAND), ignorenulls=True).over(w_in))
-
-    # one row per (key, chunk): the chunk's last candidate, then the carry
-    summary = (inside.groupBy(_KEYS, _CHUNK)
-                     .agg(F.max_by(F.col(_CAND), F.when(F.col(_CAND).isNotNull(), F.col(order)))
-                          .alias("__last")))
-    w_sum = (Window.partitionBy(F.col(_KEYS)).orderBy(F.col(_CHUNK))
-             .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (summary.withColumn(_CARRY, F.last(F.col("__last"), ignorenulls=True).over(w_sum))
-                    .where(F.col(_CARRY).isNotNull())
-                    .select(_KEYS, _CHUNK, _CARRY))
-
-    joined = inside.join(carry, on=[_KEYS, _CHUNK], how="left")
-    result = F.coalesce(F.col(out), F.col(_CARRY))
-    if expiry is not None:
-        result = F.when(F.col(order) - result[order] <= F.lit(expiry), result)
-    if self_excluded:
-        result = F.when(~F.col("__is_cand"), result)
-    return joined.select(*cols, result.alias(out))
-
-
-def previous_row(df: DataFrame, *, key: str | Sequence[str], order: str,
-                 value: Column, out: str, chunk_width: float = 10000) -> DataFrame:
-    """``lag(value)`` per key without a whole-key window (W3's first step)."""
-    return latest_before(df, key=key, order=order, candidate=F.lit(True), value=value,
-                         out=out, include_current=False, expiry=None,
-                         chunk_width=chunk_width)
+def look_up(df: DataFrame, lookups: Sequence[Lookup], *, order: str, chunk_width: float) -> DataFrame:
+    """Add the ``out`` of every look-up. Candidates, values and keys are columns
+    of ``df`` itself, not outputs of other look-ups."""
+    reaching = [i for i, x in enumerate(lookups) if x.expiry is None or x.expiry > chunk_width]
+    carry = _carries(df, lookups, reaching, order, chunk_width) if reaching else None
+    rows = df
+    for i, x in enumerate(lookups):
+        rows = _carried(rows, i, x, carry, order, chunk_width) if i in reaching else _copied(rows, i, x, order, chunk_width)
+    outs = [x.out for x in lookups]
+    return rows.select(*[c for c in df.columns if c not in outs], *[F.col(f"__out{i}").alias(x.out) for i, x in enumerate(lookups)])
+
+
+def _parts(i: int, x: Lookup) -> dict[str, Column]:
+    """A look-up's key, candidate flag and value."""
+    return {f"__key{i}": _internal_key(_key_cols(x.key)), f"__is{i}": F.coalesce(x.candidate, F.lit(False)), f"__value{i}": F.when(x.candidate, x.value)}
+
+
+def _chunk(order: str, width: float) -> Column:
+    return F.floor(F.col(order) / F.lit(float(width))).cast("long")
+
+
+def _frame(i: int, x: Lookup, order: str) -> Window:
+    return (Window.partitionBy(f"__key{i}", _CHUNK).orderBy(F.col(order))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow if x.include_current else -1))
+
+
+def _copied(rows: DataFrame, i: int, x: Lookup, order: str, width: float) -> DataFrame:
+    """Wide chunks: a copy made in the same pass (explode) takes a candidate
+    into the next chunk; it keeps only what the window needs."""
+    kept, parts = rows.columns, _parts(i, x)
+    rows = rows.withColumns(parts)
+    needed = (order, *parts)
+    chunk = _chunk(order, width)
+    in_tail = F.col(order) >= (chunk + 1) * F.lit(float(width)) - F.lit(x.expiry)
+    dup = rows.withColumn("__copy", F.explode(
+        F.when(F.col(f"__is{i}") & in_tail, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    copy = F.col("__copy")
+    both = dup.select(*[F.col(c) if c in needed else F.when(~copy, F.col(c)).alias(c) for c in rows.columns],
+                      (chunk + copy.cast("long")).alias(_CHUNK), (~copy).alias("__orig"))
+    found = both.withColumn("__found", F.last(F.col(f"__value{i}"), ignorenulls=True).over(_frame(i, x, order))).where("__orig")
+    return found.select(*kept, x.checked(order, F.col("__found"), F.col(f"__is{i}")).alias(f"__out{i}"))
+
+
+#: Chunks of a block: look-ups without an expiry are carried by blocks.
+BLOCK = 1024
+
+
+def _carries(df: DataFrame, lookups: Sequence[Lookup], which: list[int], order: str, width: float) -> DataFrame:
+    """lookup, key, chunk and, per look-up, the latest value before the chunk:
+    from one scan, written to scratch. ``lookup`` is a column, so the constant
+    key of a global look-up makes no single-partition window either."""
+    from tidepool.sources.sinks import scratch_path
+    ready = df.withColumns({k: c for i in which for k, c in _parts(i, lookups[i]).items()})
+    entry = {i: F.struct(F.lit(i).alias("lookup"), F.col(f"__key{i}").alias("key")) for i in which}
+    # with an expiry only candidates count; without, every chunk needs its carry
+    wanted = [F.when(F.col(f"__is{i}") | F.lit(lookups[i].expiry is None), entry[i]) for i in which]
+    long = (ready.select(order, _chunk(order, width).alias(_CHUNK), *[f"__value{i}" for i in which],
+                         F.explode(F.array_compact(F.array(*wanted))).alias("__of"))
+            .withColumns({"lookup": F.col("__of.lookup"), "key": F.col("__of.key")}))
+    value = {i: F.when(F.col("lookup") == i, F.col(f"__value{i}")) for i in which}
+    last = long.groupBy("lookup", "key", _CHUNK).agg(
+        *[F.max_by(value[i], F.when(value[i].isNotNull(), F.col(order))).alias(f"__value{i}") for i in which])
+    parts = []
+    expiring = [i for i in which if lookups[i].expiry is not None]
+    if expiring:
+        reach = F.coalesce(*[F.floor((F.col(f"__value{i}")[order] + F.lit(lookups[i].expiry)) / F.lit(float(width))).cast("long") for i in expiring])
+        far = F.when(reach > F.col(_CHUNK), F.sequence(F.col(_CHUNK) + 1, reach))
+        ahead = last.where(F.col("lookup").isin(expiring)).withColumn("__to", F.explode(far))
+        parts.append(ahead.groupBy("lookup", "key", F.col("__to").alias(_CHUNK)).agg(
+            *[F.max_by(F.col(f"__value{i}"), F.when(F.col(f"__value{i}").isNotNull(), F.col(_CHUNK))).alias(f"__value{i}") for i in which]))
+    if len(expiring) < len(which):
+        held = last.where(~F.col("lookup").isin(expiring)).withColumn("__block", F.floor(F.col(_CHUNK) / BLOCK))
+        earlier = lambda c, w: F.last(F.col(c), ignorenulls=True).over(w)
+        inner = Window.partitionBy("lookup", "key", "__block").orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        outer = Window.partitionBy("lookup", "key").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+        of_block = held.groupBy("lookup", "key", "__block").agg(
+            *[F.max_by(F.col(f"__value{i}"), F.when(F.col(f"__value{i}").isNotNull(), F.col(_CHUNK))).alias(f"__value{i}") for i in which])
+        before = of_block.select("lookup", "key", "__block", *[earlier(f"__value{i}", outer).alias(f"__before{i}") for i in which])
+        inside = held.select("lookup", "key", _CHUNK, "__block", *[earlier(f"__value{i}", inner).alias(f"__value{i}") for i in which])
+        parts.append(inside.join(before, ["lookup", "key", "__block"]).select(
+            "lookup", "key", _CHUNK, *[F.coalesce(f"__value{i}", f"__before{i}").alias(f"__value{i}") for i in which]))
+    found = reduce(DataFrame.unionByName, parts)
+    path = scratch_path(df.sparkSession, "carry")
+    found.where(reduce(Column.__or__, [F.col(f"__value{i}").isNotNull() for i in which])).write.parquet(path)
+    return df.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def _carried(rows: DataFrame, i: int, x: Lookup, carry: DataFrame, order: str, width: float) -> DataFrame:
+    """Narrow chunks: the window's own find, else what was carried here."""
+    kept = rows.columns
+    own = rows.withColumns(_parts(i, x) | {_CHUNK: _chunk(order, width)})
+    inside = own.withColumn("__found", F.last(F.col(f"__value{i}"), ignorenulls=True).over(_frame(i, x, order)))
+    mine = carry.where(F.col("lookup") == i).select(F.col("key").alias(f"__key{i}"), _CHUNK, F.col(f"__value{i}").alias("__carry"))
+    found = F.coalesce(F.col("__found"), F.col("__carry"))
+    return inside.join(mine, [f"__key{i}", _CHUNK], "left").select(*kept, x.checked(order, found, F.col(f"__is{i}")).alias(f"__out{i}"))
+
+
+def density_width(rows: DataFrame, order: str, span: float, per_chunk: int = 1_000_000) -> float:
+    """Chunk width with at most about ``per_chunk`` rows in a chunk, at most
+    ``span``: from counts by ``span``, one narrow scan, of which the driver gets
+    the largest."""
+    most = rows.groupBy(F.floor(F.col(order) / F.lit(float(span)))).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    return float(span) if most <= per_chunk else float(span) * per_chunk / most
 
 
 def quote_struct(address: Column, price: Column, is1: Column, log_id: Column) -> Column:
     """The quote carried by the as-of operators: ``Base(poolAddress, price, is1, logId)``."""
     return F.struct(address.alias("poolAddress"), price.alias("price"),
                     is1.alias("is1"), log_id.alias("logId"))
-
-
-def null_quote() -> Column:
-    return F.lit(None).cast("struct<poolAddress:string,price:string,is1:boolean,logId:decimal(38,18)>")

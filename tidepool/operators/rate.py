@@ -15,7 +15,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidepool.functions import exact as X
-from tidepool.operators.asof import latest_before, quote_struct
+from tidepool.operators.asof import Lookup, look_up, quote_struct
 from tidepool.session import BLOCK_EXPIRY, ETH_ADDRESS, USDC_ADDRESS
 
 # window-partition span in blocks: the expiry for quote searches (only quote
@@ -49,17 +49,23 @@ def _delta(p0: pd.Series, p1: pd.Series, l0: pd.Series, l1: pd.Series) -> pd.Dat
                         columns=DELTA_FIELDS)
 
 
+def delta_lookup(key: str = "address", order: str = "logId", expiry: float = BLOCK_EXPIRY) -> Lookup:
+    """The previous swap of the pool; it counts only within the expiry."""
+    value = F.struct(F.col(order).alias(order), F.col("price0").alias("price0"),
+                     F.col("price1").alias("price1"), F.col("tick").alias("tick"))
+    return Lookup(key, F.lit(True), value, "__prev", expiry=expiry)
+
+
 def swap_delta(df: DataFrame, *, key: str = "address", order: str = "logId",
                expiry: float = BLOCK_EXPIRY, chunk_width: float = DELTA_CHUNK) -> DataFrame:
     """lastPrice0/1, priceDelta0/1, priceDeltaPct0/1 (percent of the previous
     price) and tickDelta; null on a pool's first row and when the previous
     swap is more than ``expiry`` older (the previous row is still the state)."""
-    prev = F.struct(F.col(order).alias(order), F.col("price0").alias("price0"),
-                    F.col("price1").alias("price1"), F.col("tick").alias("tick"))
-    # the previous row counts only within the expiry, so the one-shuffle
-    # bucketed search with that expiry is exact (null beyond it)
-    out = latest_before(df, key=key, order=order, candidate=F.lit(True), value=prev, out="__prev",
-                        expiry=expiry, chunk_width=chunk_width)
+    return _with_delta(look_up(df, [delta_lookup(key, order, expiry)], order=order, chunk_width=chunk_width))
+
+
+def _with_delta(out: DataFrame) -> DataFrame:
+    """The delta columns from ``__prev``, the previous row's struct."""
     live = F.col("__prev").isNotNull()
     p = F.col("__prev")
     out = out.withColumns({
@@ -83,28 +89,44 @@ def _quote_value() -> Column:
     return quote_struct(F.col("address"), F.col("price1"), F.col("is1"), F.col("logId"))
 
 
+def base_lookups(base_token: str = ETH_ADDRESS, expiry: float = BLOCK_EXPIRY) -> list[Lookup]:
+    """Base-pool quotes of the paired token of either side."""
+    return [Lookup(f"pairedToken{t}.address", _is_quote(base_token), _quote_value(), f"base{t}", expiry=expiry, self_excluded=True)
+            for t in ("0", "1")]
+
+
+def usd_lookup(usd_token: str = USDC_ADDRESS, expiry: float = BLOCK_EXPIRY) -> Lookup:
+    """Quotes of the base token in US dollars, for every row."""
+    return Lookup(None, _is_quote(usd_token), _quote_value(), "usdBase", expiry=expiry, self_excluded=True)
+
+
 def base_exchange_rate(df: DataFrame, *, base_token: str = ETH_ADDRESS,
                        expiry: float = BLOCK_EXPIRY, chunk_width: float = DEFAULT_CHUNK) -> DataFrame:
     """J4 then J5: latest earlier, non-expired base-pool quote of the paired
     token of side 0 (``base0``) and of side 1 (``base1``), keyed by the paired
     token's address. A quote row gets no quote of its own (B9)."""
-    out = df
-    for t in ("0", "1"):
-        k = f"__key{t}"
-        out = latest_before(out.withColumn(k, F.col(f"pairedToken{t}.address")), key=k,
-                            order="logId", candidate=_is_quote(base_token), value=_quote_value(),
-                            out=f"base{t}", expiry=expiry, self_excluded=True,
-                            chunk_width=chunk_width).drop(k)
-    return out
+    return look_up(df, base_lookups(base_token, expiry), order="logId", chunk_width=chunk_width)
 
 
 def usd_exchange_rate(df: DataFrame, *, usd_token: str = USDC_ADDRESS,
                       expiry: float = BLOCK_EXPIRY, chunk_width: float = DEFAULT_CHUNK) -> DataFrame:
     """Latest earlier ETH/USD quote for every row (one global key, split
     into chunks: no single-task window)."""
-    return latest_before(df, key=None, order="logId", candidate=_is_quote(usd_token),
-                         value=_quote_value(), out="usdBase", expiry=expiry,
-                         self_excluded=True, chunk_width=chunk_width)
+    return look_up(df, [usd_lookup(usd_token, expiry)], order="logId", chunk_width=chunk_width)
+
+
+def delta_and_quotes(df: DataFrame, *, base_token: str = ETH_ADDRESS, usd_token: str = USDC_ADDRESS,
+                     expiry: float = BLOCK_EXPIRY, chunk_width: float = DEFAULT_CHUNK) -> DataFrame:
+    """W3, J4, J5 and J6. Where rows are so dense that a chunk must be narrower
+    than the expiry, what earlier chunks give is found for all four in one
+    narrow scan; ``df`` should then be a table. Else each is one shuffle."""
+    if chunk_width < expiry:
+        lookups = [delta_lookup(expiry=expiry), *base_lookups(base_token, expiry), usd_lookup(usd_token, expiry)]
+        return _with_delta(look_up(df, lookups, order="logId", chunk_width=chunk_width))
+    # the delta copies every row of a chunk's tail, so its chunks are wider
+    s = swap_delta(df, expiry=expiry, chunk_width=max(chunk_width, 4 * expiry))
+    s = base_exchange_rate(s, base_token=base_token, expiry=expiry, chunk_width=chunk_width)
+    return usd_exchange_rate(s, usd_token=usd_token, expiry=expiry, chunk_width=chunk_width)
 
 
 def rolling_quotes(df: DataFrame, *, usd_token: str = USDC_ADDRESS,
@@ -115,15 +137,10 @@ def rolling_quotes(df: DataFrame, *, usd_token: str = USDC_ADDRESS,
     reference's order key is non-null on all rows) unless ``base_candidate``
     narrows it; W2 looks globally at rows of pools holding the USD token."""
     cand = base_candidate if base_candidate is not None else F.lit(True)
-    out = df
-    for t in ("0", "1"):
-        k = f"__rk{t}"
-        out = latest_before(out.withColumn(k, F.col(f"pairedToken{t}.address")), key=k,
-                            order="logId", candidate=cand, value=_quote_value(),
-                            out=f"base{t}", include_current=True, chunk_width=chunk_width).drop(k)
     usd_rows = F.lit(usd_token).isin(F.col("token0.address"), F.col("token1.address"))
-    return latest_before(out, key=None, order="logId", candidate=usd_rows, value=_quote_value(),
-                         out="usdBase", include_current=True, chunk_width=chunk_width)
+    lookups = [Lookup(f"pairedToken{t}.address", cand, _quote_value(), f"base{t}", include_current=True) for t in ("0", "1")]
+    lookups.append(Lookup(None, usd_rows, _quote_value(), "usdBase", include_current=True))
+    return look_up(df, lookups, order="logId", chunk_width=chunk_width)
 
 
 # -- P17-P21: conversions -------------------------------------------------------

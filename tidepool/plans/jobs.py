@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators import daily, enrich, rate
+from tidepool.operators import asof, daily, enrich, rate
 from tidepool.session import BLOCK_EXPIRY, EPOCH_LENGTH, ETH_ADDRESS, USDC_ADDRESS
 from tidepool.sources import events as src
 from tidepool.sources import schemas as S
@@ -39,24 +39,25 @@ def rated_swaps(events: DataFrame, blocks: DataFrame, tokens: DataFrame, *, epoc
                 chunk_width: int | None = None, wei_exponent: int = 18) -> DataFrame:
     """Sources, joins, per-swap enrichment, delta, quotes, amounts and fees.
 
-    Chunk widths (the span of one window partition, so the work of one task
-    for a hot key): quote searches copy only quote rows into the next chunk,
-    so their chunks are as narrow as the expiry; the delta copies every row
-    of a chunk's tail, so its chunks are four expiries wide (25% copies).
+    The chunk width (the span of one window partition, so the work of one task
+    for a hot key) follows the density of the swaps unless it is given: from a
+    narrow count of swap events by block. Where it comes out narrower than the
+    expiry, the enriched rows are written once and the four look-ups share one
+    narrow scan of them.
     """
-    delta_chunk = chunk_width or 4 * block_expiry
-    quote_chunk = chunk_width or block_expiry
+    swaps = _swaps(events, epoch, block_expiry, epoch_length)
+    width = chunk_width or asof.density_width(swaps, "blockNumber", block_expiry)
     pools = src.pools(src.factory_events(events), tokens)
     txs = _transactions(blocks, epoch, block_expiry, epoch_length, wei_exponent)
-    s = enrich.join_swaps(_swaps(events, epoch, block_expiry, epoch_length), txs, pools)
+    s = enrich.join_swaps(swaps, txs, pools)
     s = enrich.with_log_id(s)
     s = enrich.swap_price(s)
     s = enrich.swap_volume(s)
     s = enrich.tick_liquidity(s)
     s = enrich.exchange_rate_prep(s, base_token=base_token)
-    s = rate.swap_delta(s, expiry=block_expiry, chunk_width=delta_chunk)
-    s = rate.base_exchange_rate(s, base_token=base_token, expiry=block_expiry, chunk_width=quote_chunk)
-    s = rate.usd_exchange_rate(s, usd_token=usd_token, expiry=block_expiry, chunk_width=quote_chunk)
+    if width < block_expiry:
+        s = sinks.staged(s, "enriched")
+    s = rate.delta_and_quotes(s, base_token=base_token, usd_token=usd_token, expiry=block_expiry, chunk_width=width)
     if epoch is not None:
         s = s.where(F.col("epoch") == epoch)          # P2: drop the look-back epoch
     s = rate.base_amounts(s, base_token=base_token)
