@@ -11,8 +11,9 @@ Equal sets are one node, so exact copies cost no pairs. Within a band bucket
 every node is first compared with the bucket's smallest node only. Nodes that
 are still in different groups then matter only where a bucket mixes groups; a
 node whose shingles are mostly not found in any other group cannot be linked
-out of its own and is left out, and the pairs across groups that remain are all
-compared. So no link is lost and no group is expanded into all its pairs.
+out of its own and is left out. The nodes that remain are joined exactly on
+their full sets, by prefix tokens with length and position bounds, and only
+across groups. So no link is lost and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -22,16 +23,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.common import components, slices, small, store, table
 
 SHINGLE, SIMILAR = 4, 80
 BUCKETS, MANTISSA, ROWS = 128, 10, 4
-#: Further centers that nodes outside a bucket's group are compared with before
-#: all pairs across groups are.
-CENTERS = 2
 SLICE, MEMORY = 2_000_000, 500_000
 
 #: Where an empty bucket looks for a filled one: an order of its own a bucket.
@@ -100,12 +98,13 @@ def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return (level(np.maximum(n, BUCKETS)) * level(np.maximum(m, BUCKETS))).sum(0) / 2 ** MANTISSA
 
 
-def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, node (null without words), keys,
+def sketches(docs: DataFrame, size: int, bits: int = 63) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node (null without words), check, keys,
     registers, hashes.
 
-    node is the first 63 bits of a 128-bit hash over the set; hashes has the
-    upper six bytes of each shingle's hash, in order.
+    node is the first ``bits`` bits of a 128-bit hash over the set and check its
+    last 63, which tell sets with the same node apart; hashes has the upper six
+    bytes of each shingle's hash, in order.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -115,17 +114,18 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 out = []
                 for doc, h in zip(ids[i:j], shingle_hashes(texts[i:j], size, known), strict=True):
                     if not len(h):
-                        out.append((*doc, 0, None, None, None, None))
+                        out.append((*doc, 0, None, None, None, None, None))
                         continue
                     r = registers(h)
                     band = r.view(np.uint64) + np.arange(BUCKETS // ROWS, dtype=np.uint64) * _K
-                    out.append((*doc, len(h), xxhash.xxh3_128_intdigest(h.tobytes()) >> 65, _mix(band).view(np.int64), r.tobytes(),
+                    whole = xxhash.xxh3_128_intdigest(h.tobytes())
+                    out.append((*doc, len(h), whole >> (128 - bits), whole & ((1 << 63) - 1), _mix(band).view(np.int64), r.tobytes(),
                                 h.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                                                 names=["doc_id", "text_hash", "n_shingles", "node", "keys", "registers", "hashes"])
+                                                 names=["doc_id", "text_hash", "n_shingles", "node", "check", "keys", "registers", "hashes"])
     return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, node long, keys array<long>, registers binary, hashes binary")
+        run, "doc_id long, text_hash long, n_shingles long, node long, check long, keys array<long>, registers binary, hashes binary")
 
 
 def _full(hashes: bytes) -> np.ndarray:
@@ -176,19 +176,23 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(small(store(keys.select("key", "least"), "keys")), "key")
 
 
-def _can_link_out(rows: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
-    """``rows`` without the nodes that no other group's node can be similar
-    to: of n shingles, those in other groups too must reach the share that two
-    sets of n and of the smallest size around need."""
-    own = store(rows.groupBy("node", "component", "n_shingles").agg(F.min("least").alias("m")), "own")
-
+def _shingles(of: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, component, shingle of the nodes in ``of`` (node, component)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for node, component, hashes in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 h = _full(hashes)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), node)), pa.array(np.full(len(h), component)), pa.array(h)], names=["node", "component", "shingle"])
-    shingles = nodes.select("node", "hashes").join(small(own), "node").select("node", "component", "hashes").mapInArrow(run, "node long, component long, shingle long")
-    shingles = store(shingles, "shingles")
+    rows = nodes.select("node", "hashes").join(small(of.select("node", "component")), "node").select("node", "component", "hashes")
+    return store(rows.mapInArrow(run, "node long, component long, shingle long"), "shingles")
+
+
+def _can_link_out(rows: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
+    """``rows`` without the nodes that no other group's node can be similar
+    to: of n shingles, those in other groups too must reach the share that two
+    sets of n and of the smallest size around need."""
+    own = store(rows.groupBy("node", "component", "n_shingles").agg(F.min("least").alias("m")), "own")
+    shingles = _shingles(own, nodes)
     met = store(shingles.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("shingle"), "met")
     common = shingles.join(small(met), "shingle", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("common"))
     # both / (n + m - both) >= s  <=>  both * (100 + s) >= s * (n + m), where
@@ -198,7 +202,68 @@ def _can_link_out(rows: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
     return rows.drop("least").join(small(store(able.select("node"), "able")), "node", "left_semi")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
+#: Sizes are classed by this factor; a prefix is as short as its classes allow.
+STEP = 1.02
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(STEP)))
+
+
+def _least_size(size_class: Column) -> Column:
+    """The smallest size of a class, whatever the logarithm's rounding."""
+    m = F.ceil(F.pow(F.lit(STEP), size_class))
+    return F.when(_size_class(m) < size_class, m + 1).when((m > 1) & (_size_class(m - 1) == size_class), m - 1).otherwise(m)
+
+
+def _prefixes(rows: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
+    """key, node, n_shingles, component, pos, common: the open nodes, keyed
+    anew by the prefix tokens of an exact join on the full sets.
+
+    A node's shingles are ordered by how few open nodes hold them. Two sets of n
+    and m shingles can only be similar if the first n - t + 1 of one and the
+    first m - t + 1 of the other share one, t being the intersection they need;
+    sizes being classed, t is taken for the smallest m of a class. Shingles that
+    no other node holds only take up places, so a copy whose own edits fill its
+    prefix meets nobody. ``common`` is the share of the others.
+    """
+    own = store(rows.select("node", "component", "n_shingles").distinct(), "own")
+    # a few hundred at most: sizes grow by STEP from class to class
+    classes = [r[0] for r in own.select(_size_class(F.col("n_shingles"))).distinct().collect()]
+    of = Window.partitionBy("shingle")
+    counted = _shingles(own, nodes).withColumns({"df": F.count(F.lit(1)).over(of), "out": F.min("component").over(of) != F.max("component").over(of)})
+    held = store(counted.where("df > 1").select("node", "shingle", "df", "out"), "held")
+    n = F.col("n_shingles")
+    order = Window.partitionBy("node").orderBy("df", "shingle")
+    ranked = (held.join(small(own), "node")
+              .withColumns({"held": F.count(F.lit(1)).over(Window.partitionBy("node")), "pos": F.row_number().over(order) - 1})
+              .withColumn("pos", F.col("pos") + n - F.col("held")))
+    least = F.ceil(n * similar / 100)
+    need = lambda q: F.ceil((n + F.greatest(least, _least_size(q))) * similar / (100 + similar))
+    low, high = _size_class(least), _size_class(F.floor(n * 100 / similar))
+    others = F.filter(F.lit(sorted(classes)).cast("array<bigint>"), lambda q: (q >= low) & (q <= high) & (F.col("pos") <= n - need(q)))
+    near = ranked.where(F.col("out") & (F.col("pos") <= n - least)).withColumns({"own": _size_class(n), "other": F.explode(others)})
+    key = F.xxhash64("shingle", F.least("own", "other"), F.greatest("own", "other"))
+    return store(near.select(key.alias("key"), "node", "n_shingles", "component", "pos", (F.col("held") / n).alias("common")), "prefixes")
+
+
+def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows and one row a node. Different sets that share a node's bits (a few
+    among 10^11) are told apart by their other bits and get nodes of their own."""
+    def grouped(rows: DataFrame) -> DataFrame:
+        return store(rows.where("node IS NOT NULL").groupBy("node").agg(
+            F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("keys").alias("keys"),
+            F.min("check").alias("low"), F.max("check").alias("high")), "nodes")
+    nodes = grouped(rows)
+    clash = nodes.where("low <> high").select("node", F.lit(True).alias("clash"))
+    if clash.limit(1).count():
+        own = F.when(F.col("clash"), F.xxhash64("node", "check")).otherwise(F.col("node"))
+        rows = store(rows.join(small(clash), "node", "left").withColumn("node", own).drop("clash"), "sketches")
+        nodes = grouped(rows)
+    return rows, nodes.drop("low", "high")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR, bits: int = 63) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept of each row.
 
     Rows without words are linked with nothing. Rows with equal sets are one
@@ -207,9 +272,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
     has no id at all. Other columns are ignored; rows that repeat an id each
     have their own set.
     """
-    rows = store(sketches(docs, size), "sketches")
-    nodes = store(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("keys").alias("keys")), "nodes")
+    rows, nodes = _nodes(store(sketches(docs, size, bits), "sketches"))
     bands = nodes.select("node", "n_shingles", F.explode("keys").alias("key"))
     shared = store(bands.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "center"), "shared")
     members = store(bands.join(small(shared), "key"), "members")
@@ -219,39 +282,42 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similar: int = SIMILAR
         *[F.any_value(c).alias(c) for c in ("n_shingles", "registers", "hashes")]), "sets")
     star = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     links = verified(store(star, "pairs"), full, similar)
-    members = members.select("key", "node", "n_shingles")
-    open_rows, labels = members, None
+    groups = lambda: store(components(wanted.withColumnRenamed("node", "id"), links), "components")
 
-    def grouped_anew():
-        """The open rows of buckets that still mix groups."""
-        labels = store(components(wanted.withColumnRenamed("node", "id"), links), "components")
-        mixed = _mixed(open_rows.join(small(labels.withColumnRenamed("id", "node")), "node").select("key", "node", "n_shingles", "component"))
-        return labels, store(mixed, "open")
+    def mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows of buckets that still mix groups."""
+        named = rows.join(small(labels.withColumnRenamed("id", "node")), "node")
+        return store(_mixed(named), "open")
 
-    labels, open_rows = grouped_anew()
-    for turn in range(CENTERS):
+    labels = groups()
+    open_rows = mixed(members.select("key", "node", "n_shingles"), labels)
+    for _ in range(2):
         if not open_rows.limit(1).count():
             break
-        # another center a bucket; nodes outside its group meet it
-        ranked = open_rows.withColumn("h", F.xxhash64("node", F.lit(turn)))
-        least = store(ranked.groupBy("key").agg(F.min("h").alias("h")), "least")
-        center = store(ranked.join(small(least), ["key", "h"]).select("key", F.col("node").alias("a"), F.col("component").alias("its")), "centers")
-        met = open_rows.join(small(center), "key").where("component <> its").select("a", F.col("node").alias("b"))
+        open_rows = store(_mixed(_can_link_out(open_rows, full, similar)), "open")
+    if open_rows.limit(1).count():
+        # what is left is joined exactly, first with each prefix token's most common node
+        keyed = store(_mixed(_prefixes(open_rows, full, similar)).drop("least"), "open")
+        most = F.max_by(F.struct(F.col("node").alias("a"), F.col("component").alias("its")), F.struct("common", "node")).alias("c")
+        center = store(keyed.groupBy("key").agg(most).select("key", "c.*"), "centers")
+        met = keyed.join(small(center), "key").where("component <> its").select("a", F.col("node").alias("b"))
         more = verified(store(met.distinct(), "pairs"), full, similar)
         if more.limit(1).count():
             links = store(links.unionByName(more), "links")
-            open_rows = open_rows.select("key", "node", "n_shingles")
-            labels, open_rows = grouped_anew()
-    for _ in range(2):
-        if not open_rows.limit(1).count():
-            break
-        open_rows = store(_mixed(_can_link_out(open_rows, full, similar)), "open")
-    left, right = (open_rows.select("key", F.col("node").alias(k), F.col("component").alias(f"c_{k}"), F.col("n_shingles").alias(f"n_{k}")) for k in "ab")
-    close = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similar
-    across = store(left.join(right, "key").where((F.col("c_a") < F.col("c_b")) & close).select("a", "b").distinct(), "pairs")
-    if across.limit(1).count():
-        links = store(links.unionByName(verified(across, full, similar)), "links")
-        labels = store(components(wanted.withColumnRenamed("node", "id"), links), "components")
+            labels = groups()
+            keyed = mixed(keyed.drop("component"), labels)
+        sides = (keyed.select("key", *[F.col(c).alias(f"{c[0]}_{k}") for c in ("node", "component", "pos")], F.col("n_shingles").alias(f"size_{k}")) for k in "ab")
+        n, m = F.col("size_a"), F.col("size_b")
+        close = F.least(n, m) * 100 >= F.greatest(n, m) * similar
+        # what can still be common from the shared token's places on
+        room = F.least(n - F.col("p_a"), m - F.col("p_b")) * (100 + similar) >= (n + m) * similar
+        left, right = sides
+        across = left.join(right, (left["key"] == right["key"]) & (F.col("c_a") < F.col("c_b")) & close & room)
+        across = store(across.select(F.col("n_a").alias("a"), F.col("n_b").alias("b")).distinct(), "pairs")
+        more = verified(across, full, similar)
+        if more.limit(1).count():
+            links = store(links.unionByName(more), "links")
+            labels = groups()
 
     # most nodes are linked with none: only the others have a group to name
     grouped = nodes.select("node", "first_id").join(small(labels.withColumnRenamed("id", "node")), "node")

@@ -131,6 +131,29 @@ def test_near_duplicates_against_brute_force(spark, near_docs, size):
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"], r["kept"]) for r in got} == {i: (g, len(sets[i]), g == i) for i, g in groups.items()}
 
 
+def test_group_of_near_copies_against_brute_force(spark):
+    """Copies of one text with edits of their own: most pairs share band keys
+    and are not similar; what links is found on the full sets."""
+    rng = random.Random(17)
+    base = [f"w{k}" for k in range(150)]
+    docs = []
+    for i in range(260):
+        words = list(base)
+        for at in rng.sample(range(len(words)), rng.randrange(0, 14)):
+            words[at] = f"x{rng.random()}"
+        docs.append((i, " ".join(words[:rng.choice([150, 150, 147, 120])])))
+    want, sets = near_groups(docs, 4)
+    assert 2 < len(set(want.values())) < len(docs) - 50
+    got = rows_of(near_duplicates.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def test_sets_that_share_a_node_number_stay_apart(spark, near_docs):
+    want, sets = near_groups(near_docs, 4)
+    got = rows_of(near_duplicates.near_duplicates(spark.createDataFrame(near_docs, "doc_id long, text string"), bits=5))
+    assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in got} == {i: (want[i], len(sets[i])) for i, _ in near_docs}
+
+
 def test_register_estimate_is_close():
     rng = np.random.default_rng(0)
     for share in (0.5, 0.8, 0.95):
