@@ -10,9 +10,10 @@ its parent's object, an entry of a leaf its distance to the leaf's object.
 
 A query goes first into the tree whose object is nearest, which bounds its k-th
 distance; after that it visits only the trees that can hold something nearer.
-In a tree the nodes wait in a queue by the least distance they can hold; the
-stored distances to the parent rule out entries before any new distance is
-computed.
+A block of queries searches a tree at once. Its nodes wait in a queue by the
+least distance they can hold for any of them; the stored distances to the parent
+rule out entries and queries before any new distance is computed, and what is
+left of a page is one matrix product.
 """
 
 from __future__ import annotations
@@ -68,6 +69,12 @@ def _distance(points: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
+def _distances(q: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """(queries x points), by one matrix product."""
+    d = (q * q).sum(1)[:, None] + (points * points).sum(1) - 2 * (q @ points.T)
+    return np.sqrt(np.maximum(d, 0))
+
+
 class MTree:
     """Pages of at most PAGE entries over points, made from the top down."""
 
@@ -94,76 +101,107 @@ class MTree:
         self.nodes.append(node)
         return len(self.nodes) - 1
 
-    def search(self, q: np.ndarray, bound: float, found, slack: float) -> None:
-        """Call ``found(entries)`` for every page that may hold a point nearer
-        than the bound, which it returns anew."""
+    def search(self, q: np.ndarray, bound: np.ndarray, found, slack: float) -> None:
+        """Best-first search for a block of queries at once.
+
+        Nodes wait by the least distance that they can hold for any query still
+        interested. ``found(entries, live)`` gets a page's entries that may be
+        near enough for one of the queries ``live``, and lowers their bounds in
+        place. Distances to all children of a node are one matrix product, and
+        only for queries and children that the stored distances do not rule out.
+        """
         center, radius, *_ = self.nodes[self.root]
-        d = float(_distance(center[None], q)[0])
-        queue = [(max(0.0, d - radius), self.root, d)]
+        d = _distances(q, center[None])[:, 0]
+        queue = [(0.0, self.root, np.arange(len(q)), d)]
         while queue:
-            least, k, d = heapq.heappop(queue)
-            if least > bound + slack:
-                return
-            _, _, _, children, members, own = self.nodes[k]
+            least, k, live, d = heapq.heappop(queue)
+            radius, children, members, own = self.nodes[k][1], *self.nodes[k][3:]
+            on = d - radius <= bound[live] + slack
+            live, d = live[on], d[on]
+            if not len(live):
+                continue
+            reach = (bound[live] + slack)[:, None]
             if children is None:
-                near = members[np.abs(own - d) <= bound + slack]
-                if len(near):
-                    bound = found(near)
+                near = np.abs(own - d[:, None]) <= reach
+                some = near.any(0)
+                if some.any():
+                    found(members[some], live[near.any(1)])
+                continue
+            radii = np.array([self.nodes[c][1] for c in children])
+            to_parent = np.array([self.nodes[c][2] for c in children])
+            open_ = np.abs(d[:, None] - to_parent) - radii <= reach
+            some, rows = np.flatnonzero(open_.any(0)), np.flatnonzero(open_.any(1))
+            if not len(some):
                 continue
-            for c in children:
-                center, radius, to_parent, *_ = self.nodes[c]
-                if abs(d - to_parent) - radius > bound + slack:
-                    continue
-                e = float(_distance(center[None], q)[0])
-                if e - radius <= bound + slack:
-                    heapq.heappush(queue, (max(0.0, e - radius), c, e))
+            far = _distances(q[live[rows]], np.stack([self.nodes[children[c]][0] for c in some]))
+            open_ = open_[np.ix_(rows, some)] & (far - radii[some] <= reach[rows])
+            for j, c in enumerate(some):
+                its = np.flatnonzero(open_[:, j])
+                if len(its):
+                    heapq.heappush(queue, (max(0.0, float((far[its, j] - radii[c]).min())), children[c], live[rows[its]], far[its, j]))
+
+
+class _Best:
+    """The k best (score, smaller id first) of each query of a block."""
+
+    def __init__(self, queries: np.ndarray, floor: np.ndarray, k: int) -> None:
+        self.queries, self.k = queries, k
+        #: scores below it are of no use; rises to the k-th best
+        self.floor = floor.copy()
+        self.at = self.ids = np.zeros(0, np.int64)
+        self.scores = np.zeros(0)
+
+    def add(self, live: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Take (live x ids) scores; the queries whose floor rose."""
+        rows, cols = np.nonzero((scores >= self.floor[live, None]) & (ids != self.queries[live, None]))
+        if not len(rows):
+            return rows
+        touched = np.unique(live[rows])
+        mine = np.isin(self.at, touched)
+        at = np.append(self.at[mine], live[rows])
+        score, vec = np.append(self.scores[mine], scores[rows, cols]), np.append(self.ids[mine], ids[cols])
+        order = np.lexsort((vec, -score, at))
+        at, score, vec = at[order], score[order], vec[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        keep = rank < self.k
+        last = rank == self.k - 1
+        self.floor[at[last]] = np.maximum(self.floor[at[last]], score[last])
+        self.at, self.scores, self.ids = (np.append(a[~mine], b[keep]) for a, b in ((self.at, at), (self.scores, score), (self.ids, vec)))
+        return at[last]
 
 
 SCHEMA = "query_id long, vec_id long, score double"
 
 
 def _search(trees: DataFrame, queries: DataFrame, width: int, largest: float, k: int) -> DataFrame:
-    """Each query's k best in each tree it is dealt to, given what its bound is."""
+    """Each query's k best in each tree it is dealt to, given what its bound is;
+    scores below that bound are left out."""
     def run(key, held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(held) and len(asked):
-            x, q = matrix(held["v"], width), matrix(asked["v"], width)
-            ids = [np.sort(np.asarray(a)) for a in held["ids"]]
-            tree = MTree(lift(x, largest))
-            slack = 1e-6 * (1 + np.sqrt(largest))
-            for query, vec, score in zip(asked["query_id"], q, asked["bound"], strict=True):
-                out += _one(tree, x, ids, int(query), vec, score, largest, k, slack)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+        if not len(held) or not len(asked):
+            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        x, q = matrix(held["v"], width), matrix(asked["v"], width)
+        norm = (q * q).sum(1)
+        slack = 1e-6 * (1 + np.sqrt(max(largest, norm.max())))
+        floor = asked["bound"].to_numpy(float, na_value=-np.inf)
+        best = _Best(asked["query_id"].to_numpy(np.int64), floor, k)
+        far = lambda s, n: np.where(np.isneginf(s), np.inf, np.sqrt(np.maximum(0.0, n + largest - 2 * np.where(np.isneginf(s), 0.0, s))))
+        bound = far(floor, norm)
+        sizes = held["ids"].map(len).to_numpy()
+        first = np.cumsum(sizes) - sizes
+        ids = np.concatenate(held["ids"].to_numpy()).astype(np.int64)
+
+        def found(entries: np.ndarray, live: np.ndarray) -> None:
+            n = sizes[entries]
+            every = np.repeat(first[entries] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            scores = np.repeat(q[live] @ x[entries].T, n, axis=1)
+            rose = best.add(live, scores, ids[every])
+            bound[rose] = np.minimum(bound[rose], far(best.floor[rose], norm[rose]))
+        MTree(lift(x, largest)).search(np.hstack([q, np.zeros((len(q), 1))]), bound, found, slack)
+        return pd.DataFrame({"query_id": best.queries[best.at], "vec_id": best.ids, "score": best.scores})
     keys = ("tree", "part", "block")
     return trees.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(run, SCHEMA)
 
 
-def _one(tree: MTree, x, ids, query: int, q, score, largest: float, k: int, slack: float) -> list:
-    """The k best of one tree: a heap of (score, -id), its least first."""
-    best: list[tuple[float, int]] = []
-    norm = float(q @ q)
-    far = lambda s: np.inf if s is None or np.isnan(s) else np.sqrt(max(0.0, norm + largest - 2 * s))
-
-    def found(entries: np.ndarray) -> float:
-        for s, e in zip((x[entries] @ q).tolist(), entries, strict=True):
-            if len(best) == k and s < best[0][0]:
-                continue
-            for i in ids[e]:
-                if i == query:
-                    continue
-                item = (s, -int(i))
-                if len(best) < k:
-                    heapq.heappush(best, item)
-                elif item > best[0]:
-                    heapq.heapreplace(best, item)
-                else:
-                    break
-        return min(far(score), far(best[0][0]) if len(best) == k else np.inf)
-
-    tree.search(np.append(q, 0.0), far(score), found, slack)
-    return [(query, -i, s) for s, i in best]
-
-
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` largest products.
 
@@ -187,7 +225,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     def nearest(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             p = lift(matrix(pdf["v"], width), largest)
-            d = np.stack([_distance(p, r) for r in shared.value], 1) if len(p) else np.zeros((0, 1))
+            d = _distances(p, shared.value)
             yield pdf.assign(tree=d.argmin(1), far=d.min(1))
     dealt = store(points.mapInPandas(nearest, "v array<double>, ids array<long>, first long, tree long, far double"), "dealt")
     size = dealt.groupBy("tree").agg(F.ceil(F.count(F.lit(1)) / TREE).alias("parts"), F.max("far").alias("radius")).collect()
@@ -202,17 +240,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             for pdf in it:
                 q = matrix(pdf["v"], width)
                 p = np.hstack([q, np.zeros((len(q), 1))])
-                d = np.stack([_distance(p, shared.value[t]) for t in names], 1) if len(names) and len(q) else np.zeros((len(q), len(names)))
+                d = _distances(p, shared.value[names]) if len(names) else np.zeros((len(q), 0))
                 home = d.argmin(1) if len(names) else np.zeros(len(q), int)
-                rows = []
-                for i, (query, v, bound) in enumerate(zip(pdf["query_id"], pdf["v"], pdf["bound"], strict=True)):
-                    if first:
-                        go = [home[i]] if len(names) else []
-                    else:
-                        b = np.inf if np.isnan(bound) else np.sqrt(max(0.0, float(q[i] @ q[i]) + largest - 2 * bound))
-                        go = [t for t in np.flatnonzero(d[i] - radius <= b * (1 + 1e-9) + 1e-6 * (1 + np.sqrt(largest))) if t != home[i]]
-                    rows += [(query, v, bound, names[t], part) for t in go for part in range(parts[names[t]][0])]
-                yield pd.DataFrame(rows, columns=["query_id", "v", "bound", "tree", "part"]).astype({"query_id": "int64", "bound": "float64", "tree": "int64", "part": "int64"})
+                at_home = home[:, None] == np.arange(len(names)) if len(names) else np.zeros((len(q), 0), bool)
+                norm, bound = (q * q).sum(1), pdf["bound"].to_numpy(float)
+                reach = np.sqrt(np.maximum(0.0, norm + largest - 2 * np.where(np.isnan(bound), -np.inf, bound)))
+                slack = 1e-6 * (1 + np.sqrt(np.maximum(largest, norm)))
+                go = at_home if first else ~at_home & (d - radius <= (reach * (1 + 1e-9) + slack)[:, None])
+                row, tree = np.nonzero(go)
+                count = np.array([parts[t][0] for t in names], np.int64)[tree] if len(names) else tree
+                row, tree = np.repeat(row, count), np.repeat(tree, count)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                yield pd.DataFrame({"query_id": pdf["query_id"].to_numpy()[row], "v": pdf["v"].to_numpy()[row], "bound": bound[row],
+                                    "tree": names[tree], "part": part}).astype({"query_id": "int64", "bound": "float64", "tree": "int64", "part": "int64"})
         return run
     schema = "query_id long, v array<double>, bound double, tree long, part long"
 

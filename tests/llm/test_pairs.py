@@ -204,15 +204,27 @@ def test_top_k_of_few_and_large_vectors(spark):
 
 def test_m_tree_prunes_nothing_that_counts():
     rng = np.random.default_rng(2)
-    p = rng.normal(size=(2000, 5))
-    tree, q, seen = top_k.MTree(p), rng.normal(size=5), []
-    best = []
-
-    def found(entries):
-        seen.append(len(entries))
-        best.extend(np.sqrt(((p[entries] - q) ** 2).sum(1)).tolist())
-        best.sort()
-        del best[10:]
-        return best[-1] if len(best) == 10 else np.inf
-    tree.search(q, np.inf, found, 1e-9)
-    assert np.allclose(best, np.sort(np.sqrt(((p - q) ** 2).sum(1)))[:10]) and sum(seen) < len(p)
+    p, q = rng.normal(size=(2000, 5)), rng.normal(size=(40, 5))
+    tree, seen, best, bound = top_k.MTree(p), [], [[] for _ in q], np.full(len(q), np.inf)
+
+    def found(entries, live):
+        seen.append(len(entries) * len(live))
+        for i in live:
+            best[i] = sorted(best[i] + np.sqrt(((p[entries] - q[i]) ** 2).sum(1)).tolist())[:10]
+            bound[i] = best[i][-1] if len(best[i]) == 10 else np.inf
+    tree.search(q, bound, found, 1e-9)
+    for i, x in enumerate(q):
+        assert np.allclose(best[i], np.sort(np.sqrt(((p - x) ** 2).sum(1)))[:10])
+    assert sum(seen) < len(p) * len(q)
+
+
+def test_best_scores_of_a_block_keep_ties_by_id():
+    rng = random.Random(4)
+    queries, rows = np.array([7, 7, 100]), [(rng.randrange(6), i) for i in range(90)]
+    best = top_k._Best(queries, np.array([-np.inf, 2.0, -np.inf]), 8)
+    for i in range(0, 90, 30):
+        part = rows[i:i + 30]
+        best.add(np.arange(3), np.array([[s for s, _ in part]] * 3, float), np.array([v for _, v in part]))
+    for row, query in enumerate(queries):
+        want = sorted(((-s, v) for s, v in rows if v != query and (row != 1 or s >= 2)))[:8]
+        assert sorted((-s, v) for a, s, v in zip(best.at, best.scores, best.ids, strict=True) if a == row) == want
