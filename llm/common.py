@@ -32,6 +32,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 #: Rows of a side that a join may broadcast; a larger side is shuffled.
 SMALL = 500_000
 

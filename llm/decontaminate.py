@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import slices, table
+from llm.common import slices, store, table
 
 WINDOW, SHINGLE = 10, 3
 #: Windows of one index that is sent to the executors; a larger benchmark is
@@ -130,10 +130,9 @@ def count_tokens(docs: DataFrame, index) -> DataFrame:
     return docs.select("text").mapInArrow(run, "size int, token long, n long").groupBy("size", "token").agg(F.sum("n").alias("n"))
 
 
-def mark_block(docs: DataFrame, index, last: bool) -> DataFrame:
-    """Add the block's hit spans and items to those found before."""
+def mark_block(docs: DataFrame, index, before: bool) -> DataFrame:
+    """Add the block's hit spans and items, to those found ``before`` if any."""
     fields = {"n_words": "long", "spans": "array<struct<start:long,end:long>>", "items": "array<string>"}
-    before = "spans" in docs.columns
     kept = [f for f in docs.schema.fields if f.name not in fields]
     schema = T.StructType(kept + [T.StructField(k, T._parse_datatype_string(v)) for k, v in fields.items()])
     keep = [f.name for f in kept]
@@ -210,7 +209,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
     benchmark is searched in several passes, each adding its hits to the rows.
     """
     spark = docs.sparkSession
-    win = windows(benchmark, size).cache()
+    docs = docs.drop("n_words", "spans", "items", "n_hit")
+    win = store(windows(benchmark, size), "windows")
     total = win.count()
     blocks = max(1, math.ceil(total / block))
     numbered = win.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
@@ -221,8 +221,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, blo
         for s, token, n in count_tokens(texts, spark.sparkContext.broadcast(ix)).collect():
             counts[s][token] = n
         ix.choose(counts)
-        docs = mark_block(docs, spark.sparkContext.broadcast(ix), k == blocks - 1)
-    win.unpersist()
+        docs = mark_block(docs, spark.sparkContext.broadcast(ix), k > 0)
+        if k < blocks - 1:  # one block's work is done once
+            docs = store(docs, "marked")
     return docs.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]))
 
 

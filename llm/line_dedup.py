@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import components, small, store, table
+from llm.common import components, free, small, store, table
 
 #: Edits between lines that count as one; shorter lines are left alone; lines
 #: that may share a key before it is split.
@@ -233,15 +233,19 @@ def dedup_lines(docs: DataFrame, errors: int = ERRORS, shortest: int = SHORTEST,
         F.count_distinct(F.when((F.col("place") != F.col("first")) & (F.col("place") == F.col("own")), F.col("pos"))).alias("near"),
         F.sum("links").alias("links")).withColumnRenamed("doc_id", "its_id"), "gone")
     outputs = ("n_lines", "n_repeated", "n_near", "n_links")
-    kept = [c for c in docs.columns if c not in outputs]
-    own = docs.select(*kept, F.xxhash64("text").alias("_doc"))
-    joined = own.join(small(gone), (F.col("_doc") == gone["doc"]) & F.col("doc_id").eqNullSafe(F.col("its_id")), "left")
-    parts, lost = F.split("text", "\n"), F.coalesce("gone", F.array().cast("array<int>"))
+    kept = [c for c in docs.columns if c.lower() not in outputs]
+    # one struct under a free name: no column of the caller's is in its way
+    found, doc, its_id = (free(docs, c) for c in ("found", "doc", "its_id"))
+    own = docs.select(*kept, F.xxhash64("text").alias(free(docs, "hash")))
+    hash_ = own.columns[-1]
+    gone = gone.select(F.col("doc").alias(doc), F.col("its_id").alias(its_id), F.struct("gone", "near", "links").alias(found))
+    joined = own.join(small(gone), (F.col(hash_) == F.col(doc)) & F.col("doc_id").eqNullSafe(F.col(its_id)), "left")
+    parts, lost = F.split("text", "\n"), F.coalesce(F.col(found)["gone"], F.array().cast("array<int>"))
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(lost, i)), "\n")
     zero = F.lit(0).cast("long")
     return joined.select(*[F.when(F.size(lost) > 0, left).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in kept],
                          F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"), F.size(lost).cast("long").alias("n_repeated"),
-                         F.coalesce("near", zero).alias("n_near"), F.coalesce("links", zero).alias("n_links"))
+                         F.coalesce(F.col(found)["near"], zero).alias("n_near"), F.coalesce(F.col(found)["links"], zero).alias("n_links"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

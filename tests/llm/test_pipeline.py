@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import DOCUMENTS, SMALL, awkward, near_groups, rows_of, save
@@ -64,6 +65,29 @@ def test_stage_on_awkward_rows(spark, planted, name, stage):
     assert stage(spark, docs.limit(0), planted[0]).count() == 0
 
 
+CLASHING = ["links", "near", "gone", "doc", "its_id", "found", "hash", "text_hash", "_id", "near_id", "near_text", "_score", "own_score", "score", "spans", "items",
+            "n_words", "n_hit", "quality", "label", "node", "component", "component_id", "key", "kept", "n", "times", "word", "id", "place", "pos", "line", "ids",
+            "bucket", "rank", "length", "start", "n_lines", "n_repeated", "Gone", "first", "text_2"]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage_with_clashing_columns(spark, planted, name, stage):
+    folder, _ = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    extra = [c for c in CLASHING if c != "Gone"]
+    wide = docs.select("*", *[F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(5).cast("long").alias("end"))).alias(c) if c == "spans" else F.lit("mine").alias(c) for c in extra])
+    if name != "packing":
+        got = stage(spark, wide, folder)
+        assert got.columns == wide.columns
+        assert sorted(map(tuple, got.select("doc_id", "text").collect())) == sorted(map(tuple, stage(spark, docs, folder).collect()))
+        assert {r["links"] for r in got.select("links").collect()} == {"mine"}
+    else:
+        assert stage(spark, wide, folder).count() == stage(spark, docs, folder).count()
+    if name == "lines":
+        named = stage(spark, docs.withColumn("Gone", F.lit("mine")), folder)
+        assert named.columns == ["doc_id", "text", "Gone"] and {r["Gone"] for r in named.collect()} == {"mine"}
+
+
 def test_pipeline_runs(spark):
     got = rows_of(corpus_pipeline.run(spark, SMALL))
     assert got and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(got[0])
