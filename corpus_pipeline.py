@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import small, store, table
+from llm.common import free, small, store, table
 from llm.decontaminate import decontaminate
 from llm.line_dedup import dedup_lines
 from llm.near_duplicates import near_duplicates
@@ -25,9 +25,12 @@ SHINGLE = 5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with score >= THRESHOLD; null text is scored as empty text."""
+    """Documents with score >= THRESHOLD; null text is scored as empty text.
+    Columns beside doc_id and text pass through, whatever their names."""
     model = train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
-    return score(docs.withColumnRenamed("score", "_score"), model).where(F.col("score") >= THRESHOLD).drop("score").withColumnRenamed("_score", "score")
+    own = free(docs, "own_score")
+    found = score(docs.withColumnRenamed("score", own), model).where(F.col("score") >= THRESHOLD).drop("score")
+    return found.withColumnRenamed(own, "score").select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,11 +43,12 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group, and documents without
     words. Rows that repeat id and text are one document; rows without an id
     stay where no row of their group has one."""
-    found = store(near_duplicates(docs, SHINGLE).select(F.col("doc_id").alias("_id"), "text_hash", "kept", "n_shingles"), "found")
-    each = found.groupBy("_id", "text_hash").agg(F.min("kept").alias("kept"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("times"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("text_hash"))
-    again = each.where("kept AND times > 1 AND n > 0 AND _id IS NOT NULL").select("_id", "text_hash")
-    left = docs.join(small(each.where("NOT kept").select("_id", "text_hash").unionByName(again)), same, "left_anti")
+    near_id, near_text = free(docs, "near_id"), free(docs, "near_text")
+    found = store(near_duplicates(docs, SHINGLE).select(F.col("doc_id").alias(near_id), F.col("text_hash").alias(near_text), "kept", "n_shingles"), "found")
+    each = found.groupBy(near_id, near_text).agg(F.min("kept").alias("kept"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("times"))
+    same = F.col("doc_id").eqNullSafe(F.col(near_id)) & F.xxhash64("text").eqNullSafe(F.col(near_text))
+    again = each.where("kept AND times > 1 AND n > 0").where(F.col(near_id).isNotNull()).select(near_id, near_text)
+    left = docs.join(small(each.where("NOT kept").select(near_id, near_text).unionByName(again)), same, "left_anti")
     if again.limit(1).count():
         left = left.unionByName(docs.join(small(again), same, "left_semi").dropDuplicates(["doc_id", "text"]))
     return left
