@@ -132,3 +132,39 @@ def test_tiny_values_are_not_lost(spark):
     df = spark.createDataFrame([("1e80",), ("3e73",), ("-3e73",)], "v string")
     assert frac(X.totals(df, [], {"s": "v"}).first()["s"]) == Fraction(1, 10**80)
     assert frac(df.agg(X.exact_sum("v")).first()[0]) == Fraction(1, 10**80)
+
+
+def test_resolve_reads_decimals_and_fractions(spark):
+    import random
+    rnd = random.Random(12)
+    vals = [f"{rnd.randint(-10**k, 10**k)}e{rnd.randint(-25, 40)}" + rnd.choice(["", "b0/1e0b0"]) for k in (1, 9, 17, 30, 70) for _ in range(60)]
+    vals += ["0.5", "-12", "123e18", "5e-2", "5e1b0/3e0b0", "7e0b3", "1/3", "0e0b0/1e0b0", "1e400", "1e-400", "0.25e1", None, "", "-0", "+7", " 8 "]
+    rows = spark.createDataFrame([(v,) for v in vals], "v string").select("v", X.resolve("v").alias("d")).collect()
+    for r in rows:
+        want = X.to_float(X.parse(r["v"]))
+        assert r["d"] == want or (r["d"] is None and want is None), (r, want)
+    doubles = [1.5e10, 2.5e-7, 0.1, None, -3.0]
+    got = spark.createDataFrame([(v,) for v in doubles], "v double").select(X.resolve("v").alias("d")).collect()
+    assert [r["d"] for r in got] == doubles
+
+
+def test_swap_volume_lanes_agree(spark):
+    """Whole amounts that fit are built-in decimals, all others exact in Python."""
+    from tidepool.operators import enrich
+    rows = []
+    for a, b in [("123456789", "-5"), ("-" + "9" * 28, "9" * 28), ("1" + "0" * 60, "-1" + "0" * 40), ("0", "0"), (None, "7"), ("12.5", "-3"), ("-" + "7" * 78, "7" * 29)]:
+        for fee in (3000, 0, None):
+            for dec in (18, 0, None):
+                rows.append((a, b, fee, dec))
+    df = spark.createDataFrame([(a, b, f, (d,), (6,)) for a, b, f, d in rows], "amount0 string, amount1 string, fee int, token0 struct<decimals:int>, token1 struct<decimals:int>")
+    for (a, b, fee, dec), r in zip(rows, enrich.swap_volume(df).collect(), strict=True):
+        for t, raw, d in (("0", a, dec), ("1", b, 6)):
+            literal = "e".join(str(x) for x in (raw, d) if x is not None)
+            assert r[f"amount{t}"] == literal
+            value = None if raw is None and d is None else frac(literal) if raw is not None else Fraction(d)
+            taken = value * fee / 10**6 if value is not None and fee is not None and value > 0 else Fraction(0)
+            assert frac(r[f"fee{t}"]) == taken
+            if value is None:
+                assert r[f"netAmount{t}"] is None and r[f"volume{t}"] is None
+            else:
+                assert frac(r[f"netAmount{t}"]) == value - taken and frac(r[f"volume{t}"]) == abs(value - taken)

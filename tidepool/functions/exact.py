@@ -359,6 +359,8 @@ def lit(v) -> Column:
 
 def _map2(fn):
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        if a.isna().all() or b.isna().all():
+            return pd.Series([None] * len(a), dtype=object)
         return pd.Series([fmt(fn(parse(x), parse(y))) for x, y in zip(a, b)], dtype=object)
     return run
 
@@ -392,6 +394,8 @@ def _neg(a: pd.Series) -> pd.Series:
 
 @pandas_udf(DoubleType())
 def _to_double(a: pd.Series) -> pd.Series:
+    if a.isna().all():
+        return pd.Series([None] * len(a), dtype="float64")
     return pd.Series([to_float(parse(x)) for x in a], dtype="float64")
 
 
@@ -433,6 +437,14 @@ def _from_blocks(near: pa.Array, far: pa.Array, n: pa.Array) -> pa.Array:
                      for a, b, c in zip(near.to_pylist(), far.to_pylist(), n.to_pylist(), strict=True)], pa.string())
 
 
+_SUFFIX = "b0/1e0b0"
+
+
+def decimal_literal(m: Column, d: Column) -> Column:
+    """The literal of ``m`` (whole) with ``d`` decimals."""
+    return F.concat(m.cast("string"), F.lit("e"), d.cast("string"), F.lit(_SUFFIX))
+
+
 def add_(a, b) -> Column:
     return _add(_col(a), _col(b))
 
@@ -462,8 +474,13 @@ def normalize(a) -> Column:
 
 
 def resolve(a) -> Column:
-    """Exact -> double (correctly rounded)."""
-    return _to_double(_col(a))
+    """Exact -> double (correctly rounded). A decimal's exponent is turned round
+    and the built-in cast reads it, which rounds correctly too; what that cannot
+    read, fractions and binary scales, goes through Python."""
+    a = _col(a).cast("string")
+    turned = F.regexp_replace(a, rf"^(-?[0-9.]+)e(-?[0-9]+)({_SUFFIX})?$", "$1E-$2")
+    lane = F.replace(turned, F.lit("E--"), F.lit("E")).try_cast("double")
+    return F.coalesce(lane, _to_double(F.when(lane.isNull(), a)))
 
 
 def resolve_text(a) -> Column:

@@ -91,8 +91,7 @@ def look_up(df: DataFrame, lookups: Sequence[Lookup], *, order: str, chunk_width
     rows = df
     for i, x in enumerate(lookups):
         rows = _carried(rows, i, x, carry, order, chunk_width) if i in reaching else _copied(rows, i, x, order, chunk_width)
-    outs = [x.out for x in lookups]
-    return rows.select(*[c for c in df.columns if c not in outs], *[F.col(f"__out{i}").alias(x.out) for i, x in enumerate(lookups)])
+    return rows.drop(*[x.out for x in lookups]).withColumnsRenamed({f"__out{i}": x.out for i, x in enumerate(lookups)})
 
 
 def _parts(i: int, x: Lookup) -> dict[str, Column]:
@@ -112,18 +111,19 @@ def _frame(i: int, x: Lookup, order: str) -> Window:
 def _copied(rows: DataFrame, i: int, x: Lookup, order: str, width: float) -> DataFrame:
     """Wide chunks: a copy made in the same pass (explode) takes a candidate
     into the next chunk; it keeps only what the window needs."""
-    kept, parts = rows.columns, _parts(i, x)
+    parts = _parts(i, x)
     rows = rows.withColumns(parts)
     needed = (order, *parts)
     chunk = _chunk(order, width)
     in_tail = F.col(order) >= (chunk + 1) * F.lit(float(width)) - F.lit(x.expiry)
-    dup = rows.withColumn("__copy", F.explode(
-        F.when(F.col(f"__is{i}") & in_tail, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
-    copy = F.col("__copy")
-    both = dup.select(*[F.col(c) if c in needed else F.when(~copy, F.col(c)).alias(c) for c in rows.columns],
-                      (chunk + copy.cast("long")).alias(_CHUNK), (~copy).alias("__orig"))
+    dup = rows.withColumns({_CHUNK: chunk, "__copy": F.explode(
+        F.when(F.col(f"__is{i}") & in_tail, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))})
+    # as text: one call for all columns
+    name = {c: "`" + c.replace("`", "``") + "`" for c in rows.columns}
+    both = dup.selectExpr(*[n if c in needed else f"IF(__copy, NULL, {n}) AS {n}" for c, n in name.items()],
+                          f"{_CHUNK} + CAST(__copy AS BIGINT) AS {_CHUNK}", "NOT __copy AS __orig")
     found = both.withColumn("__found", F.last(F.col(f"__value{i}"), ignorenulls=True).over(_frame(i, x, order))).where("__orig")
-    return found.select(*kept, x.checked(order, F.col("__found"), F.col(f"__is{i}")).alias(f"__out{i}"))
+    return found.withColumn(f"__out{i}", x.checked(order, F.col("__found"), F.col(f"__is{i}"))).drop(*parts, _CHUNK, "__orig", "__found")
 
 
 #: Chunks of a block: look-ups without an expiry are carried by blocks.
@@ -172,12 +172,13 @@ def _carries(df: DataFrame, lookups: Sequence[Lookup], which: list[int], order:
 
 def _carried(rows: DataFrame, i: int, x: Lookup, carry: DataFrame, order: str, width: float) -> DataFrame:
     """Narrow chunks: the window's own find, else what was carried here."""
-    kept = rows.columns
-    own = rows.withColumns(_parts(i, x) | {_CHUNK: _chunk(order, width)})
+    parts = _parts(i, x)
+    own = rows.withColumns(parts | {_CHUNK: _chunk(order, width)})
     inside = own.withColumn("__found", F.last(F.col(f"__value{i}"), ignorenulls=True).over(_frame(i, x, order)))
     mine = carry.where(F.col("lookup") == i).select(F.col("key").alias(f"__key{i}"), _CHUNK, F.col(f"__value{i}").alias("__carry"))
+    joined = inside.join(mine, [f"__key{i}", _CHUNK], "left")
     found = F.coalesce(F.col("__found"), F.col("__carry"))
-    return inside.join(mine, [f"__key{i}", _CHUNK], "left").select(*kept, x.checked(order, found, F.col(f"__is{i}")).alias(f"__out{i}"))
+    return joined.withColumn(f"__out{i}", x.checked(order, found, F.col(f"__is{i}"))).drop(*parts, _CHUNK, "__found", "__carry")
 
 
 def density_width(rows: DataFrame, order: str, span: float, per_chunk: int = 1_000_000) -> float:

@@ -6,11 +6,11 @@ P11-P15, J2-J3. Only ``swap_price`` / ``swap_volume`` touch exact literals
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidepool.functions import exact as X
 from tidepool.functions.columns import per_side
@@ -48,56 +48,71 @@ def join_swaps(swaps: DataFrame, transactions: DataFrame, pools: DataFrame) -> D
                  .join(pools, ["address"], "left"))
 
 
-def swap_price(df: DataFrame, sqrt_col: str = "sqrtPriceX96") -> DataFrame:
-    """price1 = sqrtP^2 * 10^(dec0-dec1) / 2^192, price0 = 1 / price1,
-    resolvedSqrtPrice = sqrtP / 2^96 as a double."""
-    sq = F.col(sqrt_col)
-    dec = (F.col("token1.decimals") - F.col("token0.decimals")).cast("long")
-    return (df.withColumn("price1", X.scale_(X.mul_(sq, sq), dec, 192))
-              .withColumn("price0", X.div_(X.lit(1), F.col("price1")))
-              .withColumn("resolvedSqrtPrice", X.resolve(X.div_(sq, X.lit(TWO_POW_96)))))
+@arrow_udf(StructType([StructField("price1", StringType()), StructField("price0", StringType()), StructField("root", DoubleType())]))
+def _prices(root: pa.Array, decimals: pa.Array) -> pa.Array:
+    one, roots = (1, 1), [X.parse(r) for r in root.to_pylist()]
+    price1 = [X.scale(X.mul(r, r), d, 192) for r, d in zip(roots, decimals.to_pylist(), strict=True)]
+    return pa.StructArray.from_arrays([
+        pa.array(map(X.fmt, price1), pa.string()), pa.array([X.fmt(X.div(one, p)) for p in price1], pa.string()),
+        pa.array([X.to_float(X.div(r, (TWO_POW_96, 1))) for r in roots], pa.float64())], names=["price1", "price0", "root"])
 
 
-VOLUME_FIELDS = ["amount0", "amount1", "fee0", "fee1", "netAmount0", "netAmount1", "volume0", "volume1"]
+def swap_price(df: DataFrame, sqrt_col: str = "sqrtPriceX96") -> DataFrame:
+    """price1 = sqrtP^2 * 10^(dec0-dec1) / 2^192, price0 = 1 / price1,
+    resolvedSqrtPrice = sqrtP / 2^96 as a double. One Arrow pass."""
+    found = _prices(F.col(sqrt_col), (F.col("token1.decimals") - F.col("token0.decimals")).cast("long"))
+    return (df.withColumn("__p", found)
+              .withColumns({"price1": F.col("__p.price1"), "price0": F.col("__p.price0"), "resolvedSqrtPrice": F.col("__p.root")}).drop("__p"))
 
 
-def _volume_row(a0, d0, a1, d1, fee):
-    fee_rate = None if fee is None else X.parse(f"{fee}e6")
-    amounts, fees, nets, vols = [], [], [], []
-    for a, d in ((a0, d0), (a1, d1)):
-        # concat_ws skips nulls, as the column version does
-        lit = "e".join(str(v) for v in (a, d) if v is not None)
-        v = X.parse(lit) if lit else None
-        f = (X.mul(v, fee_rate) if X.sign(v) is not None and X.sign(v) > 0 else (0, 1)) \
-            if v is not None else (0, 1)
-        n = X.sub(v, f)
-        amounts.append(lit)
-        fees.append("0" if f == (0, 1) and (v is None or X.sign(v) <= 0) else X.fmt(f))
-        nets.append(X.fmt(n))
-        vols.append(None if n is None else X.fmt((abs(n[0]), n[1])))
-    return amounts + fees + nets + vols
+#: A pool's fee is in millionths.
+FEE_DECIMALS = 6
+PARTS = ("amount", "fee", "netAmount", "volume")
+VOLUME_FIELDS = [f"{part}{t}" for part in PARTS for t in "01"]
 
 
-def _none(v):
-    return None if v is None or (isinstance(v, float) and v != v) else v
+def _side_parts(amount: str | None, fee) -> tuple:
+    """fee, net amount and volume of one side's amount literal."""
+    value = X.parse(amount)
+    taken = X.mul(value, fee) if value is not None and fee is not None and value[0] > 0 else (0, 1)
+    net = X.sub(value, taken)
+    return X.fmt(taken) if taken[0] else "0", X.fmt(net), X.fmt(None if net is None else (abs(net[0]), net[1]))
 
 
-@pandas_udf(StructType([StructField(f, StringType()) for f in VOLUME_FIELDS]))
-def _swap_volume(a0: pd.Series, d0: pd.Series, a1: pd.Series, d1: pd.Series,
-                 fee: pd.Series) -> pd.DataFrame:
-    rows = [_volume_row(_none(x0), _none(y0), _none(x1), _none(y1), _none(f))
-            for x0, y0, x1, y1, f in zip(a0, d0, a1, d1, fee)]
-    return pd.DataFrame(rows, columns=VOLUME_FIELDS)
+@arrow_udf(StructType([StructField(f, StringType()) for f in VOLUME_FIELDS[2:]]))
+def _wide_volume(amount0: pa.Array, amount1: pa.Array, fee: pa.Array) -> pa.Array:
+    """The parts of amounts too wide for the decimal lane (null elsewhere)."""
+    out = []
+    if amount0.null_count + amount1.null_count < 2 * len(fee):
+        rates = [X.parse(f"{f}e{FEE_DECIMALS}") if f is not None else None for f in fee.to_pylist()]
+        sides = [[_side_parts(a, r) if a is not None else (None,) * 3 for a, r in zip(x.to_pylist(), rates, strict=True)] for x in (amount0, amount1)]
+        out = [pa.array([row[k] for row in side], pa.string()) for k in range(3) for side in sides]
+    return pa.StructArray.from_arrays(out or [pa.nulls(len(fee), pa.string())] * 6, names=VOLUME_FIELDS[2:])
 
 
 def swap_volume(df: DataFrame) -> DataFrame:
     """P14 (fused, P16's single-pass form): scaled amounts; the pool fee
     applies to the incoming (positive) side only (B13); net amount; absolute
-    volume. One Arrow pass computes all eight columns."""
-    dec = [F.col(f"token{t}.decimals").cast("long").cast("string") for t in "01"]
-    v = _swap_volume(F.col("amount0").cast("string"), dec[0], F.col("amount1").cast("string"), dec[1],
-                     F.col("fee").cast("long").cast("string"))
-    return df.withColumn("__vol", v).withColumns({f: F.col(f"__vol.{f}") for f in VOLUME_FIELDS}).drop("__vol")
+    volume. Amounts of up to 28 digits are whole-number arithmetic on built-in
+    decimals; one Arrow pass takes the others of both sides."""
+    rate = F.col("fee").cast("long")
+    fits_rate = rate.between(0, 10 ** 9 - 1)
+    lane, literal = {}, {}
+    for t in "01":
+        raw, decimals = F.col(f"amount{t}").cast("string"), F.col(f"token{t}.decimals").cast("long")
+        literal[t] = F.nullif(F.concat_ws("e", raw, decimals.cast("string")), F.lit(""))
+        whole = F.when((F.translate(raw, "0123456789-", "") == "") & (F.length(raw) <= 28) & decimals.isNotNull() & fits_rate, raw.try_cast("decimal(28,0)"))
+        taken = F.when(whole > 0, whole * rate.cast("decimal(9,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
+        net = (whole * F.lit(10 ** FEE_DECIMALS).cast("decimal(7,0)") - taken).cast("decimal(38,0)")
+        form = lambda v, d=decimals: X.decimal_literal(v, d + FEE_DECIMALS)
+        lane[t] = {"in": whole.isNotNull(), "fee": F.when(taken == 0, "0").otherwise(form(taken)), "netAmount": form(net), "volume": form(F.abs(net))}
+    df = df.withColumn("__wide", _wide_volume(*[F.when(~lane[t]["in"], literal[t]) for t in "01"], rate))
+    # an amount that is null altogether takes no fee
+    parts = {f"{part}{t}": F.when(lane[t]["in"], lane[t][part]).when(literal[t].isNotNull(), F.col(f"__wide.{part}{t}")).otherwise(F.lit("0") if part == "fee" else F.lit(None))
+             for part in PARTS[1:] for t in "01"}
+    kept = [c for c in df.columns if c not in VOLUME_FIELDS and c != "__wide"]
+    made = {f"amount{t}": F.coalesce(literal[t], F.lit("")) for t in "01"} | parts
+    return df.select(*kept, *[made[f].alias(f) for f in VOLUME_FIELDS])
 
 
 TICK_BASE = 1.0001  # fixed value: price step of one tick

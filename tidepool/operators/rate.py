@@ -8,11 +8,14 @@ does not evaluate four UDF branches for every row).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.functions import arrow_udf, pandas_udf
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from tidepool.functions import exact as X
 from tidepool.operators.asof import Lookup, look_up, quote_struct
@@ -144,41 +147,32 @@ def rolling_quotes(df: DataFrame, *, usd_token: str = USDC_ADDRESS,
 
 
 # -- P17-P21: conversions -------------------------------------------------------
-
-def _convert_value(amount, is_base_pool, is1, price1, base_price, base_is1):
-    """By the row's own price for a base pool without a quote, else by
-    the quote: multiply when the quote's base is token 1, divide otherwise.
-    Works on (p, q) pairs; ``amount`` may be a literal or a pair."""
-    a = X.parse(amount)
-    if a is None:
-        return None
-    if base_price is None and is_base_pool is True:
-        p = X.parse(price1)
-        return X.mul(a, p) if is1 is True else X.div(a, p)
-    q = X.parse(base_price)
-    return X.mul(a, q) if base_is1 is True else X.div(a, q)
+# A price as a row's quote gives it: ``times`` (of the quote's base is token 1)
+# says whether an amount is multiplied by it or divided. Without a quote a base
+# pool's own price serves.
 
 
-def _convert_one(amount, is_base_pool, is1, price1, base_price, base_is1):
-    return X.fmt(_convert_value(amount, is_base_pool, is1, price1, base_price, base_is1))
+def _priced(amount, price, times):
+    """``amount`` (p, q) by a price literal; null without one of them."""
+    if amount is None or price is None:
+        return None
+    return X.mul(amount, X.parse(price)) if times is True else X.div(amount, X.parse(price))
 
 
-def _nullable(v):
-    return None if v is None or (isinstance(v, float) and v != v) or v is pd.NA else v
+def _quote_or_own(base: Column) -> tuple[Column, Column]:
+    """Price and direction of a quote struct, else of the base pool itself."""
+    own = base["price"].isNull() & F.coalesce(F.col("isBasePool"), F.lit(False))
+    return F.when(own, F.col("price1")).otherwise(base["price"]), F.when(own, F.col("is1")).otherwise(base["is1"])
 
 
-@pandas_udf(StringType())
-def _convert(amount: pd.Series, is_base_pool: pd.Series, is1: pd.Series, price1: pd.Series,
-             base_price: pd.Series, base_is1: pd.Series) -> pd.Series:
-    return pd.Series([_convert_one(a, _nullable(b), _nullable(c), d, e, _nullable(f))
-                      for a, b, c, d, e, f in zip(amount, is_base_pool, is1, price1,
-                                                  base_price, base_is1)], dtype=object)
+@arrow_udf(StringType())
+def _convert(amount: pa.Array, price: pa.Array, times: pa.Array) -> pa.Array:
+    return pa.array([X.fmt(_priced(X.parse(a), p, t)) for a, p, t in zip(amount.to_pylist(), price.to_pylist(), times.to_pylist(), strict=True)], pa.string())
 
 
 def convert(amount: Column, base: Column) -> Column:
     """``convert(amount, base)`` with ``base`` a quote struct column."""
-    return _convert(amount, F.col("isBasePool"), F.col("is1"), F.col("price1"),
-                    base["price"], base["is1"])
+    return _convert(amount, *_quote_or_own(base))
 
 
 def convert_by_suffix(name: str) -> Column:
@@ -186,106 +180,81 @@ def convert_by_suffix(name: str) -> Column:
     return convert(F.col(name), F.col("base" + name[-1]))
 
 
-BASE_FIELDS = ["cv0", "cv1", "cf0", "cf1", "fee0_cf1", "cf0_fee1", "cf0_cf1"]
+#: What the base amounts are called. Fixed values (keys of the published map).
+BASE_KEYS = ("volume", "volumeBis", "fee")
 
 
-def _base_row(v0, v1, f0, f1, is_base_pool, is1, price1, b0p, b0is1, b1p, b1is1):
-    cv0 = _convert_value(v0, is_base_pool, is1, price1, b0p, b0is1)
-    cv1 = _convert_value(v1, is_base_pool, is1, price1, b1p, b1is1)
-    cf0 = _convert_value(f0, is_base_pool, is1, price1, b0p, b0is1)
-    cf1 = _convert_value(f1, is_base_pool, is1, price1, b1p, b1is1)
-    p = X.parse
-    return [X.fmt(cv0), X.fmt(cv1), X.fmt(cf0), X.fmt(cf1), X.fmt(X.add(p(f0), cf1)),
-            X.fmt(X.add(cf0, p(f1))), X.fmt(X.add(cf0, cf1))]
-
-
-@pandas_udf(StructType([StructField(f, StringType()) for f in BASE_FIELDS]))
-def _base_candidates(v0: pd.Series, v1: pd.Series, f0: pd.Series, f1: pd.Series, ibp: pd.Series,
-                     is1: pd.Series, price1: pd.Series, b0p: pd.Series, b0is1: pd.Series,
-                     b1p: pd.Series, b1is1: pd.Series) -> pd.DataFrame:
-    rows = [_base_row(a, b, c, d, _nullable(e), _nullable(f), g, h, _nullable(i), j, _nullable(k))
-            for a, b, c, d, e, f, g, h, i, j, k in zip(v0, v1, f0, f1, ibp, is1, price1, b0p, b0is1,
-                                                        b1p, b1is1)]
-    return pd.DataFrame(rows, columns=BASE_FIELDS)
+@arrow_udf(StructType([StructField(k, StringType()) for k in BASE_KEYS]))
+def _base_worths(lead: pa.Array, lead_price: pa.Array, lead_times: pa.Array, other: pa.Array, other_price: pa.Array,
+                 other_times: pa.Array, lead_fee: pa.Array, other_fee: pa.Array) -> pa.Array:
+    """Volume of the leading side, of the other side, and both fees together,
+    in the base token. A direction of null is an amount in that token already."""
+    out = []
+    for v, p, t, w, q, u, f, g in zip(*(c.to_pylist() for c in (lead, lead_price, lead_times, other, other_price, other_times, lead_fee, other_fee)), strict=True):
+        worth = lambda x, price, times: x if price == "" else _priced(x, price, times)
+        out.append((X.fmt(worth(X.parse(v), p, t)), X.fmt(worth(X.parse(w), q, u)), X.fmt(X.add(worth(X.parse(f), p, t), worth(X.parse(g), q, u)))))
+    columns = list(zip(*out, strict=True)) or [()] * 3
+    return pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], names=list(BASE_KEYS))
 
 
 def base_amounts(df: DataFrame, base_token: str = ETH_ADDRESS) -> DataFrame:
     """Map of volume, volumeBis and fee in the base token.
 
-    A pool holding the base token uses its own side; otherwise the side with
-    the newest quote wins (B4: a missing quote is a null ``logId``). The
-    candidate amounts come from one Arrow pass; the branch is chosen JVM-side.
+    One side leads: the side that is the base token, whose amounts need no
+    price, else the side with the newer quote (B4: a missing quote is a null
+    ``logId``; side 0 on a tie or without any). ``volume`` is the leading side's,
+    ``volumeBis`` the other's, ``fee`` what both sides' fees are worth. The side
+    is chosen JVM-side; one Arrow pass works out the three values.
     """
-    c = _base_candidates(F.col("volume0"), F.col("volume1"), F.col("fee0"), F.col("fee1"),
-                         F.col("isBasePool"), F.col("is1"), F.col("price1"),
-                         F.col("base0.price"), F.col("base0.is1"), F.col("base1.price"), F.col("base1.is1"))
-    tmp = df.withColumn("__b", c)
-
-    def amounts(volume, volume_bis, fee):
-        return F.create_map(F.lit("volume"), volume, F.lit("volumeBis"), volume_bis,
-                            F.lit("fee"), fee)
-
-    b = F.col("__b")
-    b0, b1 = F.col("base0.logId"), F.col("base1.logId")
-    base = F.lit(base_token)
-    m = (F.when(F.col("token0.address") == base, amounts(F.col("volume0"), b["cv1"], b["fee0_cf1"]))
-          .when(F.col("token1.address") == base, amounts(F.col("volume1"), b["cv0"], b["cf0_fee1"]))
-          .when((b0 >= b1) | b1.isNull(), amounts(b["cv0"], b["cv1"], b["cf0_cf1"]))
-          .when((b0 < b1) | b0.isNull(), amounts(b["cv1"], b["cv0"], b["cf0_cf1"])))
-    return tmp.withColumn("baseAmounts", m).drop("__b")
-
-
-def _usd_one(v, usd_pool, is1, price1, usd_price, usd_is1):
-    a = X.parse(v)
-    if a is None:
-        return None
-    if usd_pool is True:
-        p = X.parse(price1)
-        return X.fmt(X.div(a, p) if is1 is True else X.mul(a, p))
-    q = X.parse(usd_price)
-    return X.fmt(X.div(a, q) if usd_is1 is True else X.mul(a, q))
-
-
-@pandas_udf(StringType())
-def _usd(v: pd.Series, usd_pool: pd.Series, is1: pd.Series, price1: pd.Series,
-         usd_price: pd.Series, usd_is1: pd.Series) -> pd.Series:
-    return pd.Series([_usd_one(a, _nullable(b), _nullable(c), d, e, _nullable(f))
-                      for a, b, c, d, e, f in zip(v, usd_pool, is1, price1, usd_price, usd_is1)],
-                     dtype=object)
-
-
-USD_KEYS = ("volume", "volumeBis", "fee", "gasFees", "tip", "baseFeePerGas")
-
-
-@pandas_udf(StructType([StructField(k, StringType()) for k in USD_KEYS + ("totalFeesUsd",)]))
-def _usd_all(vol: pd.Series, vbis: pd.Series, fee: pd.Series, gas: pd.Series, tip: pd.Series,
-             bf: pd.Series, usd_pool: pd.Series, is1: pd.Series, price1: pd.Series,
-             usd_price: pd.Series, usd_is1: pd.Series) -> pd.DataFrame:
-    rows = []
-    for a, b, c, d, e, f, up, i1, p1, q, qi in zip(vol, vbis, fee, gas, tip, bf, usd_pool, is1, price1,
-                                                   usd_price, usd_is1):
-        up, i1, qi = _nullable(up), _nullable(i1), _nullable(qi)
-        conv = [_usd_one(x, up, i1, p1, q, qi) for x in (a, b, c, d, e, f)]
-        rows.append(conv + [X.fmt(X.add(X.parse(conv[3]), X.parse(conv[2])))])
-    return pd.DataFrame(rows, columns=list(USD_KEYS) + ["totalFeesUsd"])
-
-
-def usd_amounts(df: DataFrame, usd_token: str = USDC_ADDRESS) -> DataFrame:
-    """P20: base amounts plus gas fees, tip and base fee, each converted to USD
-    (inverse of the base conversion: USD is a paired token in ETH base);
-    ``totalFeesUsd`` = gas fees + pool fee in USD. One Arrow pass."""
-    usd_pool = F.coalesce(F.col("isBasePool"), F.lit(False)) & (
-        (F.col("token0.address") == F.lit(usd_token)) | (F.col("token1.address") == F.lit(usd_token)))
-    m = F.col("baseAmounts")
-    u = _usd_all(m["volume"], m["volumeBis"], m["fee"], F.col("gasFees"), F.col("tip"),
-                 F.col("baseFeePerGas"), usd_pool, F.col("is1"), F.col("price1"),
-                 F.col("usdBase.price"), F.col("usdBase.is1"))
-    kv = []
-    for k in USD_KEYS:
-        kv += [F.lit(k), F.col(f"__u.{k}")]
-    out = df.withColumn("__u", u)
-    out = out.withColumn("usdAmounts", F.when(F.col("baseAmounts").isNotNull(), F.create_map(*kv)))
-    return out.withColumn("totalFeesUsd", F.col("__u.totalFeesUsd")).drop("__u")
+    in_base = [F.coalesce(F.col(f"token{t}.address") == F.lit(base_token), F.lit(False)) for t in "01"]
+    newer = F.col("base1.logId").isNotNull() & (F.col("base0.logId").isNull() | (F.col("base0.logId") < F.col("base1.logId")))
+    second = ~in_base[0] & (in_base[1] | newer)
+    inputs = []
+    for leads in (True, False):
+        pick = lambda zero, one, leads=leads: F.when(second if leads else ~second, one).otherwise(zero)
+        price = [_quote_or_own(F.col(f"base{t}")) for t in "01"]
+        own = pick(in_base[0], in_base[1] & ~in_base[0])
+        inputs.append((pick(F.col("volume0"), F.col("volume1")), F.when(own, F.lit("")).otherwise(pick(price[0][0], price[1][0])),
+                       pick(price[0][1], price[1][1]), pick(F.col("fee0"), F.col("fee1"))))
+    (v, p, t, f), (w, q, u, g) = inputs
+    out = df.withColumn("__b", _base_worths(v, p, t, w, q, u, f, g))
+    entries = [c for k in BASE_KEYS for c in (F.lit(k), F.col(f"__b.{k}"))]
+    return out.withColumn("baseAmounts", F.create_map(*entries)).drop("__b")
+
+
+@arrow_udf(ArrayType(StringType()))
+def _convert_values(values: pa.Array, price: pa.Array, times: pa.Array) -> pa.Array:
+    """Every value of a row's list by the row's one price."""
+    rows = [None if vs is None else [X.fmt(_priced(X.parse(v), p, t)) for v in vs]
+            for vs, p, t in zip(values.to_pylist(), price.to_pylist(), times.to_pylist(), strict=True)]
+    return pa.array(rows, pa.list_(pa.string()))
+
+
+def convert_map(amounts: Column, price: Column, times: Column) -> Column:
+    """the values of a map of exact amounts, of any keys, converted in one
+    Arrow pass; a null map stays null."""
+    return F.map_from_arrays(F.map_keys(amounts), _convert_values(F.map_values(amounts), price, times))
+
+
+#: Gas amounts that join the base amounts before they are converted. Fixed values.
+GAS_KEYS = ("gasFees", "tip", "baseFeePerGas")
+
+
+def usd_amounts(df: DataFrame, usd_token: str = USDC_ADDRESS, gas_keys: Sequence[str] = GAS_KEYS) -> DataFrame:
+    """P20: the base amounts with the row's gas amounts (F17; columns of these
+    names), each converted to USD: by the own price of a pool of both tokens,
+    else by the USD quote, the other way round than into the base token, which
+    USD is paired with. ``totalFeesUsd`` = gas fees + pool fee in USD, where the
+    map has both."""
+    in_usd = (F.col("token0.address") == F.lit(usd_token)) | (F.col("token1.address") == F.lit(usd_token))
+    own = F.coalesce(F.col("isBasePool") & in_usd, F.lit(False))
+    quote = F.col("usdBase")
+    price = F.when(own, F.col("price1")).otherwise(quote["price"])
+    times = ~F.coalesce(F.when(own, F.col("is1")).otherwise(quote["is1"]), F.lit(False))
+    gas = F.create_map(*[c for k in gas_keys for c in (F.lit(k), F.col(k).cast("string"))])
+    out = df.withColumn("usdAmounts", convert_map(F.map_concat("baseAmounts", gas), price, times))
+    fees = [F.col("usdAmounts").getItem(k) for k in ("gasFees", "fee")]
+    return out.withColumn("totalFeesUsd", X.add_(*fees) if "gasFees" in gas_keys else F.lit(None).cast("string"))
 
 
 def _fees_row(gas, fee, vol):
