@@ -36,3 +36,29 @@ def test_null_group_keys_and_one_hot_value(spark):
     df = spark.createDataFrame(rows, "day string, pool string, v double").repartition(5)
     got = {r["pool"]: r["m"] for r in exact_quantiles(df, ["day", "pool"], {"v": F.col("v")}, {"m": ("v", 0.5)}).collect()}
     assert got == {None: 2.0, "p": 7.0}
+
+
+def test_positions_of_a_hot_group(spark):
+    from tidepool.operators.quantiles import positions
+    rows = [("hot" if k % 3 else None if k % 2 else f"g{k % 7}", (k * 7919) % 5003, k) for k in range(5003)]
+    df = spark.createDataFrame(rows, "g string, o long, v long").repartition(6)
+    got = positions(df, ["g"], "o").collect()
+    by = {}
+    for g, o, v in rows:
+        by.setdefault(g, []).append(o)
+    place = {(g, o): k for g, os in by.items() for k, o in enumerate(sorted(os))}
+    assert len(got) == len(rows) and all(r["pos"] == place[r["g"], r["o"]] for r in got)
+
+
+def test_fingerprints_and_differences(spark):
+    from tidepool.operators import checks
+    a = [(1, "x", None), (1, "x", None), (2, "y", 1), (3, None, 2), (None, "z", 3), (4, "only", 4)]
+    b = [(1, "x", None), (2, "y", 1), (3, 2, None), (None, "z", 3), (5, "new", 5)]
+    kind = "period int, t string, n int"
+    left, right = spark.createDataFrame(a, kind), spark.createDataFrame([(p, None if t == 2 else t, n) for p, t, n in b], kind)
+    same = {r["period"]: (r["benchmarkRows"], r["challengerRows"], r["identical"]) for r in checks.fingerprints(left, right, "period").collect()}
+    assert same == {1: (2, 1, "false"), 2: (1, 1, "true"), 3: (1, 1, "false"), None: (1, 1, "true"), 4: (1, 0, "false"), 5: (0, 1, "false")}
+    found = sorted(map(tuple, checks.differences(left, right, "period").collect()), key=str)
+    assert found == sorted([(1, "x", None, 2, 1), (3, None, 2, 1, 0), (3, None, None, 0, 1), (4, "only", 4, 1, 0), (5, "new", 5, 0, 1)], key=str)
+    rep = {r["period"]: (r["benchmarkRows"], r["challengerRows"], r["distinctRows"], r["identical"]) for r in checks.reconcile(left, right, "period").collect()}
+    assert rep[1] == (2, 1, 1, "false") and rep[2] == (1, 1, 1, "true") and rep[4] == (1, None, 1, "false") and rep[None] == (1, 1, 1, "true")

@@ -120,3 +120,16 @@ def test_upsert_loses_no_row_or_column(spark):
     two = spark.createDataFrame([("2024-01-01", 3, "d"), ("2024-01-01", 3, "e")], "date string, logId long, v string")
     with pytest.raises(ValueError):
         sinks.upsert(two, path)
+
+
+def test_publish_in_order_deals_every_range_to_as_many_files(spark, tmp_path):
+    df = spark.range(3000).select(F.col("id").alias("logId"), F.lit("A").alias("address"), (F.col("id") * 2).alias("v"))
+    path = str(tmp_path / "log")
+    assert sinks.publish_in_order(df, path, batches=3, files=8) == 8
+    rows = spark.read.parquet(path).select("order", F.input_file_name().alias("f"))
+    ranges = [(r["lo"], r["hi"]) for r in rows.groupBy("f").agg(F.min("order").alias("lo"), F.max("order").alias("hi")).collect()]
+    assert len(ranges) == 24 and rows.count() == 3000
+    assert sorted(lo // 1000 for lo, _ in ranges) == sorted(hi // 1000 for _, hi in ranges) == [0] * 8 + [1] * 8 + [2] * 8
+    few = str(tmp_path / "few")
+    n = sinks.publish_in_order(df.limit(6), few, batches=3, files=8)
+    assert n in (1, 2) and spark.read.parquet(few).select(F.input_file_name()).distinct().count() == 3 * n

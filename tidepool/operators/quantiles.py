@@ -80,3 +80,23 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], metrics: dict[str, Colu
                   .otherwise((hi_m - position) * v_lo + (position - lo_m) * v_hi))
         aggs.append(value.alias(out))
     return picks.groupBy(*group).agg(*aggs)
+
+
+def positions(df: DataFrame, group: Sequence[str], order: str, out: str = "pos") -> DataFrame:
+    """``df`` with each row's place (from 0) in its group by ``order``, without
+    gathering a group: one global sort, which range partitioning splits inside a
+    hot group, written to scratch with the rows' running numbers; a row's place
+    is its number less the first of its group in that partition, plus the rows
+    of the group in earlier partitions."""
+    from tidepool.sources.sinks import staged
+    group = list(group)
+    numbered = df.orderBy(*group, order).withColumns({"__pid": F.spark_partition_id(), "__no": F.monotonically_increasing_id()})
+    rows = staged(numbered, "sorted")
+    parts = rows.groupBy("__pid", *group).agg(F.count("*").alias("__c"), F.min("__no").alias("__first"))
+    earlier = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("__pid").alias("__p"), *[F.col(g).alias(f"__p_{g}") for g in group],
+                         (F.coalesce(F.sum("__c").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
+    same = F.col("__pid") == F.col("__p")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__p_{g}"))
+    return rows.join(parts, same).withColumn(out, F.col("__no") + F.col("__shift")).select(*df.columns, out)

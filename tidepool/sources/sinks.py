@@ -44,35 +44,46 @@ def ordered_publish(df: DataFrame, path: str | None = None, *, key: str = "addre
 
 
 def publish_in_order(df: DataFrame, path: str, *, order: str = "logId", batches: int = 4,
-                     key: str = "address", as_json: bool = True) -> None:
-    """Replayable ordered buffer without a broker: ``batches`` appends, each
-    one file holding the next range of the order key, so a file stream with
-    ``maxFilesPerTrigger=1`` replays the rows in order, range by range.
-
-    This is the local replay harness (one file, so one writing task, per
-    range): a file source orders files only by modification time, so a range
-    cannot be split over files written in parallel. At scale the transport
-    is the Kafka path of ``ordered_publish`` / ``read_published``.
+                     key: str = "address", as_json: bool = True, files: int = 8) -> int:
+    """Replayable ordered buffer without a broker: ``batches`` appends, each of
+    the next range of the order key in the same number of files, written in
+    parallel. Returns that number: a file stream with as many
+    ``maxFilesPerTrigger`` replays the rows range by range, since a file source
+    takes files by modification time; inside a range their order is free.
+
+    Rows are dealt to ``files`` by a hash of the order key. A file source cannot
+    tell where a range ends, so the number of files must be the same in every
+    range: it is halved while some range would leave one of them empty, which
+    only tiny ranges do. At scale the transport is the Kafka path of
+    ``ordered_publish`` / ``read_published``.
 
     The input is computed once: it is written as a table under the shared
     checkpoint folder (cutting its lineage) and the ranges are read back from
     it with pushed-down filters.
     """
-    spark = df.sparkSession
-    staged_path = scratch_path(spark, "publish-stage")
-    df.write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
-    lo, hi = staged.agg(F.min(order), F.max(order)).first()
+    rows = staged(df, "publish-stage")
+    lo, hi = rows.agg(F.min(order), F.max(order)).first()
     if lo is None:
-        return
+        return 1
     step = (hi - lo) // batches + 1
+    part = F.floor((F.col(order) - F.lit(lo)) / F.lit(step))
+    bucket = lambda n: F.pmod(F.xxhash64(order), F.lit(n))
+    halves = [files >> k for k in range(files.bit_length())]
+    dealt = rows.groupBy(part).agg(*[F.count_distinct(bucket(n)).alias(f"f{n}") for n in halves]).collect()
+    files = next(n for n in halves if all(r[f"f{n}"] == n for r in dealt))
+    # one number for every partition that repartition() would deal it to
+    partition = F.pmod(F.hash("id"), F.lit(files))
+    found = rows.sparkSession.range(64 * files).groupBy(partition.alias("p")).agg(F.min("id").alias("id")).orderBy("p").collect()
+    numbers = F.array(*[F.lit(r["id"]).cast("long") for r in found])
     for i in range(batches):
-        part = staged.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
+        now = rows.where((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
+        now = now.repartition(files, F.get(numbers, bucket(files).cast("int"))).sortWithinPartitions(order)
         if as_json:
-            part = part.select(F.col(key).cast("string").alias("key"),
-                               F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
-                               F.col(order).cast("long").alias("order"))
-        part.coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
+            now = now.select(F.col(key).cast("string").alias("key"),
+                             F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
+                             F.col(order).cast("long").alias("order"))
+        now.write.mode("append").parquet(path)
+    return files
 
 
 def read_published(spark: SparkSession, path: str, schema, *, stream: bool = False,
