@@ -62,3 +62,23 @@ def test_fingerprints_and_differences(spark):
     assert found == sorted([(1, "x", None, 2, 1), (3, None, 2, 1, 0), (3, None, None, 0, 1), (4, "only", 4, 1, 0), (5, "new", 5, 0, 1)], key=str)
     rep = {r["period"]: (r["benchmarkRows"], r["challengerRows"], r["distinctRows"], r["identical"]) for r in checks.reconcile(left, right, "period").collect()}
     assert rep[1] == (2, 1, 1, "false") and rep[2] == (1, 1, 1, "true") and rep[4] == (1, None, 1, "false") and rep[None] == (1, 1, 1, "true")
+
+
+def test_quartile_numbers():
+    import pytest
+
+    from tidepool.operators.daily import QUANTILES, quartile
+    assert [QUANTILES[f"tipQ{k}"] for k in (1, 2, 3)] == [("tip", 0.25), ("tip", 0.5), ("tip", 0.75)]
+    for wrong in (0, 4, 1.5, None):
+        with pytest.raises(ValueError):
+            quartile("tip", wrong)
+
+
+def test_json_round_trip_sees_blanks_inside_texts(spark):
+    from tidepool.operators import checks
+    rows = [('{"a": 1, "t": "x y"}',), ('{"t":"x y","a":1}',), ('{"a":1,"t":"xy"}',), ('{"a":1,"t":"x","extra":2}',), ("no json",), (None,)]
+    df = spark.createDataFrame(rows, "j string")
+    got = [r["same"] for r in checks.json_round_trip(df, "j", "a int, t string").collect()]
+    assert got == ["true", "true", "true", "false", "false", None]
+    cut = checks.json_round_trip(df.limit(1), "j", "a int").first()
+    assert cut["same"] == "false"

@@ -86,11 +86,14 @@ def uninitialised(created: DataFrame, initialised: DataFrame, key: str) -> DataF
 
 
 def json_round_trip(df: DataFrame, col: str, schema) -> DataFrame:
-    """Q4: decode then encode; ``same`` tells whether the text comes back
-    (keys in schema order, no spaces)."""
+    """Q4: decode then encode; ``same`` tells whether the same JSON comes back.
+    Both are compared as parsed values, so neither blanks between tokens nor the
+    order of keys count, while blanks inside a text do. Text that is no JSON is
+    not the same."""
     back = F.to_json(F.from_json(F.col(col), schema))
-    compact = F.regexp_replace(F.col(col), r"\s", "")
-    return df.withColumn("reencoded", back).withColumn("same", (back == compact).cast("string"))
+    canonical = lambda c: F.to_json(F.try_parse_json(c))
+    same = F.coalesce(canonical(back) == canonical(F.col(col)), F.lit(False))
+    return df.withColumn("reencoded", back).withColumn("same", F.when(F.col(col).isNotNull(), same).cast("string"))
 
 
 def tolerance_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str,

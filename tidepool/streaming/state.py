@@ -140,7 +140,8 @@ class RatedStream:
                              .agg(F.max(self.order).alias("__seen")))
                 rows = rows.join(seen, F.col(self.pool_key).eqNullSafe(F.col("__pool")), "left")
                 late = F.col("__seen").isNotNull() & (F.col(self.order) <= F.col("__seen"))
-                rows.where(late).select(*batch.columns).write.mode("append").parquet(f"{self.root}/rejected")
+                # a folder a batch: a replayed batch writes its rejects anew, not twice
+                rows.where(late).select(*batch.columns).write.mode("overwrite").parquet(f"{self.root}/rejected/batch={batch_id}")
                 rows = (rows.where(~late).select(*batch.columns, "__state")
                             .unionByName(state.drop("__last").withColumn("__state", F.lit(True))))
             rows = rows.persist()
@@ -166,13 +167,13 @@ class RatedStream:
         ``expiry`` before the newest row (T5); an order key is one row."""
         o = F.col(self.order)
         cols = [c for c in rows.columns if c != "__state"]
-        newest = rows.agg(F.max(o).alias("__newest"))
+        newest = rows.agg(F.max(o)).first()[0]
         last = rows.groupBy(F.col(self.pool_key).alias("__pool")).agg(F.max(o).alias("__at"))
         quote = F.coalesce(self.is_quote, F.lit(False)) | F.coalesce(self.is_usd_quote, F.lit(False))
         kept = (rows.join(last, F.col(self.pool_key).eqNullSafe(F.col("__pool")) & (o == F.col("__at")), "left")
                     .withColumn("__last", F.col("__at").isNotNull())
                     .where(F.col("__last") | quote)
-                    .join(newest, o >= F.col("__newest") - F.lit(self.expiry)))
+                    .where(o >= F.lit(newest) - F.lit(self.expiry)))
         kept.select(*cols, "__last").write.mode("overwrite").parquet(self._state_path(batch_id))
 
 
