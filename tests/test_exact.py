@@ -168,3 +168,15 @@ def test_swap_volume_lanes_agree(spark):
                 assert r[f"netAmount{t}"] is None and r[f"volume{t}"] is None
             else:
                 assert frac(r[f"netAmount{t}"]) == value - taken and frac(r[f"volume{t}"]) == abs(value - taken)
+
+
+def test_gas_amounts_lanes_agree(spark):
+    from tidepool.sources.events import with_gas_amounts
+    rows = [(21000, "50000000000e18", "30000000000e18"), (21000, "3e18", None), (None, "3e18", "5e18"), (2**40, "9" * 30 + "e18", "1e18"), (7, "0.5e18", "1e9"),
+            (1, None, None), (5, "12e18", "7" * 25 + "e18")]
+    got = with_gas_amounts(spark.createDataFrame(rows, "gas long, gasPrice string, baseFeePerGas string"), 18).collect()
+    for (gas, price, base), r in zip(rows, got, strict=True):
+        fees = gas * frac(price) if gas is not None and price else None
+        tip = frac(price) - frac(base) if price and base else None
+        assert (r["gasFees"] and frac(r["gasFees"])) == fees and (r["tip"] and frac(r["tip"])) == tip
+    assert got[0]["gasFees"] == "1050000000000000e18b0/1e0b0"

@@ -97,9 +97,9 @@ def with_price0(df: DataFrame) -> DataFrame:
 
 
 def with_gas_amounts(df: DataFrame) -> DataFrame:
-    """S6's exact gas columns on the view: gas fees and tip."""
-    return (df.withColumn("gasFees", X.mul_(F.col("gas").cast("string"), F.col("gasPrice")))
-              .withColumn("tip", X.sub_(F.col("gasPrice"), F.col("baseFeePerGas"))))
+    """S6's exact gas columns on the view (prices in thousandths)."""
+    from tidepool.sources import events
+    return events.with_gas_amounts(df, 3)
 
 
 def blocks(spark: SparkSession, sf_dir: str, london_block: int = 5000) -> DataFrame:

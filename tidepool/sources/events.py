@@ -114,8 +114,26 @@ def expand(blocks: DataFrame, wei_exponent: int = 18) -> DataFrame:
         F.col("transaction.gas").alias("gas"),
         F.concat(F.col("transaction.gasPrice").cast("string"), suffix).alias("gasPrice"),
         F.concat(F.col("baseFeePerGas").cast("string"), suffix).alias("baseFeePerGas"))
-    return (out.withColumn("gasFees", X.mul_(F.col("gas").cast("string"), F.col("gasPrice")))
-               .withColumn("tip", X.sub_(F.col("gasPrice"), F.col("baseFeePerGas"))))
+    return with_gas_amounts(out, wei_exponent)
+
+
+def with_gas_amounts(df: DataFrame, wei_exponent: int) -> DataFrame:
+    """Gas fees (gas times gas price) and tip (gas price less base fee). Prices
+    of whole wei (``<digits>e<wei_exponent>``) of up to 18 digits are built-in
+    decimal arithmetic; only others go through Python."""
+    suffix = F.lit(f"e{wei_exponent}")
+    wei = lambda c: F.when(F.endswith(c, suffix) & (F.length(c) <= 18 + len(f"e{wei_exponent}")),
+                           F.left(F.col(c), F.length(c) - len(f"e{wei_exponent}")).try_cast("decimal(18,0)"))
+    plain = lambda c: F.translate(c, "0123456789e", "") == ""
+    price, base = (F.when(plain(c), wei(c)) for c in ("gasPrice", "baseFeePerGas"))
+    gas = F.col("gas").cast("string")
+    amount = F.when((F.translate(gas, "0123456789", "") == "") & (F.length(gas) <= 18), gas.try_cast("decimal(18,0)"))
+    lanes = df.withColumns({"__fees": X.decimal_literal(amount * price, F.lit(wei_exponent)), "__tip": X.decimal_literal(price - base, F.lit(wei_exponent))})
+    fees, tip = F.col("__fees"), F.col("__tip")
+    rest = lambda lane, c: F.when(lane.isNull(), c)
+    return (lanes.withColumn("gasFees", F.coalesce(fees, X.mul_(rest(fees, gas), rest(fees, F.col("gasPrice")))))
+                 .withColumn("tip", F.coalesce(tip, X.sub_(rest(tip, F.col("gasPrice")), rest(tip, F.col("baseFeePerGas")))))
+                 .drop("__fees", "__tip"))
 
 
 def blocks_with_lookback(blocks: DataFrame, epoch: int, block_expiry: int,
