@@ -32,6 +32,12 @@ def test_typed_event_views_decode_every_kept_event(spark):
     assert views[("Pool", "Initialize")].first()["sqrtPriceX96"] == BIG     # lossless
     assert views[("Pool", "Mint")].first()["tickLower"] == -10
     assert views[("Factory", "PoolCreated")].first()["fee"] == 3000
+    typed = src.typed_structs(df)
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    for r in typed.collect():  # one struct a row, that of its event
+        assert [f"{c}_{e}" for c, e in S.EVENT_ARGS if r[f"{c}_{e}"] is not None] == [f"{r['contract']}_{r['event']}"]
+        if r["event"] == "Initialize":
+            assert r["Pool_Initialize"].asDict() == {"sqrtPriceX96": BIG, "tick": -887271}
 
 
 def test_sql_path_scan_and_lookback(spark):
