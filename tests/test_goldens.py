@@ -1,4 +1,5 @@
-"""Golden values of the reference's unit suites, as value equality."""
+"""Golden values, as value equality. Literals, addresses, prices and results in
+this file are fixed values: results must equal them."""
 
 from decimal import Decimal
 

@@ -1,6 +1,7 @@
 """Declared schemas: raw events, blocks, tokens, typed event args, outputs.
 
-Everything is explicit; no schema is inferred from a first row.
+Everything is explicit; no schema is inferred from a first row. Contract, event
+and field names and their types are fixed values: the data has them.
 """
 
 from __future__ import annotations

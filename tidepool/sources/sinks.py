@@ -232,6 +232,7 @@ def update_partitions(spark: SparkSession, table: str, today: str, days_ahead: i
     return new_days
 
 
+# Names, types and order of the published table's columns.
 DAY_SWAPS_DDL = """
 address STRING, pool STRING, pair STRING, swapCount BIGINT,
 firstPrice0 DOUBLE, firstPrice1 DOUBLE, lastPrice0 DOUBLE, lastPrice1 DOUBLE,
