@@ -15,6 +15,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,9 @@ MEMORY = 1_000_000
 SLICE = 2_000_000
 
 
-#: Letters at a word's start (non-ASCII bytes are looked at as text), then ASCII signs.
 #: A single comma or full stop after a plain letter is a token of its own.
-COMMA = re.compile(rb"([a-z])([,.])(?=[ \n])")
+BLANK, COMMA, STOP, A, Z = b" ,.az"
+#: Letters at a word's start (non-ASCII bytes are looked at as text), then ASCII signs.
 LETTERS, SIGNS = re.compile(rb"[A-Za-z\x80-\xff]+"), re.compile(rb"[!-/:-@\[-`{-~]*")
 
 
@@ -82,7 +83,7 @@ class WordTokenizer:
             stem, tail = (m[0], w[m.end():]) if m else (b"", w)
             # as the vocabulary's normaliser leaves it: a letter that falls apart
             # into a letter and a mark changes where the word is cut
-            if not stem or not SIGNS.fullmatch(tail) or not unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha():
+            if not stem or not SIGNS.fullmatch(tail) or not (stem.isalpha() or unicodedata.normalize("NFC", stem.decode("utf-8", "replace")).lower().isalpha()):
                 odd.add(w)
                 continue
             cut.append((w, stem := stem.lower(), tail))
@@ -126,20 +127,36 @@ class WordTokenizer:
     def gather(self, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         return self.ids[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
+    def split(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The distinct words of all texts, which of them stands at each place,
+        and the first place of each text."""
+        # the vocabulary is lower case; only its special tokens tell case apart
+        data = b" " + b" ".join([t if b"<|" in t else t.lower() for t in texts]).replace(b"\n", b" ")
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+        byte = np.frombuffer(data, np.uint8)
+        opens = byte == BLANK
+        after = opens[2:].copy()  # a text's end is no blank
+        after[starts[starts >= 2] - 2] = False
+        signs = 1 + np.flatnonzero(after & ((byte[1:-1] == COMMA) | (byte[1:-1] == STOP)))
+        opens[signs[(byte[signs - 1] >= A) & (byte[signs - 1] <= Z)]] = True
+        at = np.flatnonzero(opens)
+        offsets = np.append(at, len(data)).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        return [w.removeprefix(b" ") for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()], found.indices.to_numpy(), np.searchsorted(at, starts)
+
     def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.place) > MEMORY:
             self.forget()
-        # the vocabulary is lower case; only its special tokens tell case apart
-        lower = [t if b"<|" in t else t.lower() for t in texts]
-        split = [COMMA.sub(rb"\1 \2", t).replace(b"\n", b" ").split(b" ") for t in lower]
+        words, which, starts = self.split(texts)
         place = self.place
-        missing = {w for w in set().union(*split) if w not in place}
+        missing = {w for w in words if w not in place}
         if missing:
             self.learn(missing)
-        get = place.__getitem__
-        for words in split:
-            k = np.fromiter(map(get, words), np.int64, len(words))
-            yield self.gather(self.first[k], self.size[k])
+        k = np.fromiter(map(place.__getitem__, words), np.int64, len(words))[which]
+        size = self.size[k]
+        ids, stops = self.gather(self.first[k], size), np.append(0, np.cumsum(size))
+        for i, j in pairwise(stops[np.append(starts, len(k))].tolist()):
+            yield ids[i:j]
 
 
 _READY: dict[str, WordTokenizer] = {}

@@ -191,6 +191,16 @@ def test_word_tokenizer_on_random_strings(monkeypatch):
             assert ids.tolist() == mine.encoder.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_slice_looks_each_distinct_word_up_once():
+    mine = packing.WordTokenizer(packing.VOCABULARY)
+    words, which, starts = mine.split([b"the cat, the\ncat.", b"", b"The cat,  ,", b"x1, " + b"the " * 1000])
+    assert len(words) <= 10
+    found = [words[k] for k in which]
+    assert [found[i:j] for i, j in zip(starts, starts[1:])] == [[b"the", b"cat", b",", b"the", b"cat."], [b""], [b"the", b"cat", b",", b"", b","]]
+    assert found[starts[3]:] == [b"x1,"] + [b"the"] * 1000 + [b""]
+    assert [x.tolist() for x in mine([b"", b""])] == [[], []] and list(mine([])) == []
+
+
 def test_placements_fill_sequences():
     rng = random.Random(2)
     counts = {1 + int(256 * rng.random() ** 2): rng.randrange(1, 200) for _ in range(120)}
