@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,14 @@ def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def distinct(data: bytes, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct pieces of ``data``, cut before each place of ``at`` (the
+    first is 0), and which of them stands at each place."""
+    offsets = np.append(at, len(data)).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+    return found.dictionary, found.indices.to_numpy()
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over the undirected links.
 

@@ -19,14 +19,16 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import held_out, slices, store, table
+from llm.common import distinct, held_out, slices, store, table
 
 FOLDS = 10
 #: Bytes of context; decisions a byte, and the last byte.
@@ -95,6 +97,20 @@ def keys(texts: list[bytes], of: np.ndarray = SYMBOL, bits: int = BITS) -> tuple
     return key, data
 
 
+def byte_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``keys`` over bytes, and where each text starts: a place's key is the
+    big-endian number of the bytes up to it."""
+    blanks = b" " * DEPTH
+    data = blanks + b" " + (b"\xff" + blanks).join(texts) + b"\xff"
+    wide = np.empty(len(data) - 7, np.int64)  # all eight bytes from each place on
+    for k in range(min(8, len(wide))):
+        wide[k::8] = np.frombuffer(data, ">i8", -(-(len(wide) - k) // 8), k)
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+    kept = np.ones(len(wide), bool)
+    kept[((starts + DEPTH * np.arange(len(starts)))[1:, None] - 1 - np.arange(DEPTH)).ravel()] = False
+    return wide[kept] & ((1 << WIDTH * (DEPTH + 1)) - 1), starts
+
+
 def add_up(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(key)
     key, n = key[order], n[order]
@@ -106,14 +122,20 @@ def _lower(b: pa.RecordBatch, i: int) -> list[bytes]:
     return [(t or b"").lower() for t in b.column(i).cast(pa.binary()).to_pylist()]
 
 
+def _lists(bounds: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
+
+
 def count_contexts(docs: DataFrame, of: np.ndarray = SYMBOL, bits: int = BITS) -> DataFrame:
     """(key, n) over all texts; a negative key counts a byte by itself."""
+    whole = of is BYTES and (lambda texts: (key := byte_keys(texts)[0], key & LAST))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, plain = [], 0, np.zeros(256, np.int64)
         for b in batches:
             texts = _lower(b, 0)
             for i, j in slices([len(t) for t in texts], SLICE):
-                key, data = keys(texts[i:j], of, bits)
+                key, data = whole(texts[i:j]) if whole else keys(texts[i:j], of, bits)
                 plain += np.bincount(data, minlength=256)
                 parts.append(np.unique(key, return_counts=True))
                 size += len(parts[-1][0])
@@ -128,6 +150,20 @@ def count_contexts(docs: DataFrame, of: np.ndarray = SYMBOL, bits: int = BITS) -
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
+
+
+def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of all texts and an empty one, which of them stands
+    at each word's place, and the first place of each text, with their end."""
+    data = b" " + b" ".join(texts).translate(SPACES)
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+    at = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    words, which = distinct(data, at)
+    full = np.diff(at, append=len(data)) > 1
+    return [w[1:] for w in words.to_numpy(zero_copy_only=False).tolist()], which[full], np.append(np.searchsorted(at[full], starts), full.sum())
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +171,12 @@ def count_words(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
         counts: Counter = Counter()
         for b in batches:
-            for t in _lower(b, 0):
-                counts.update(t.split())
+            texts = _lower(b, 0)
+            for i, j in slices([len(t) for t in texts], SLICE):
+                words, which, _ = words_of(texts[i:j])
+                for w, n in zip(words, np.bincount(which, minlength=len(words)).tolist(), strict=True):
+                    if n:
+                        counts[w] += n
                 if len(counts) > GATHER // 8:
                     yield rows()
                     counts.clear()
@@ -449,32 +489,31 @@ def score(docs: DataFrame, learn: DataFrame, others: DataFrame | None = None) ->
     end = float(np.log10(n_docs + PRIOR) - below)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        has, log = shared.value
+        has, log = pd.Index(shared.value[0]), np.append(shared.value[1], 0)
         logs = {w: float(np.log10(n + PRIOR) - below) for w, n in common_shared.value.items()}
-        get, row = logs.get, TaskContext.get().partitionId() << 36
+        row = TaskContext.get().partitionId() << 36
         for b in batches:
-            doc_ids, texts = b.column(0).to_pylist(), _lower(b, 1)
+            doc_ids, texts = b.column(0), _lower(b, 1)
             for i, j in slices([len(t) for t in texts], SLICE):
-                part, out = texts[i:j], []
-                key, _ = keys(part, BYTES, WIDTH)
-                starts = symbols(part)[1]
-                cell, at = np.unique(key, return_inverse=True)
-                place = np.searchsorted(has, cell)
-                hit = np.append(has, -1)[place] == cell
-                found_logs = np.where(hit, np.append(log, 0)[place], 0)[at]
-                total_logs = np.add.reduceat(found_logs, starts, dtype=np.float64) * np.log10(2)
-                others = np.flatnonzero(~hit[at])
-                cells_of = pa.ListArray.from_arrays(np.searchsorted(others, np.append(starts, len(key))).astype(np.int32), pa.array(key[others]))
-                for doc, t, s in zip(doc_ids[i:j], part, total_logs.tolist(), strict=True):
-                    words = t.split()
-                    found = [get(w) for w in words]
-                    known = [x for x in found if x is not None]
-                    rare = Counter([w for w, x in zip(words, found, strict=True) if x is None]) if len(known) < len(words) else {}
-                    out.append((row, doc, len(words) + 1, len(known) + (n_docs > 0), sum(known) + end, s, list(rare.keys()), list(rare.values())))
-                    row += 1
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)] + [cells_of],
-                                                 names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "times", "cells"])
+                part = texts[i:j]
+                key, starts = byte_keys(part)
+                place = has.get_indexer(key)  # -1: not among them
+                total_logs = np.add.reduceat(log[place], starts, dtype=np.float64) * np.log10(2)
+                others = np.flatnonzero(place < 0)
+                cells_of = _lists(np.searchsorted(others, np.append(starts, len(key))), pa.array(key[others]))
+                words, which, ends = words_of(part)
+                value = np.array([logs.get(w, np.nan) for w in words])[which]
+                rare = np.isnan(value)
+                heard, until = value[~rare].tolist(), np.append(0, np.cumsum(~rare))[ends]
+                base = [sum(heard[x:y]) + end for x, y in pairwise(until.tolist())]
+                at = np.flatnonzero(rare)
+                pair, times = np.unique((np.searchsorted(ends, at, "right") - 1) * len(words) + which[at], return_counts=True)
+                bounds = np.searchsorted(pair, np.arange(len(part) + 1) * len(words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(part))), doc_ids[i:j], pa.array(np.diff(ends) + 1), pa.array(np.diff(until) + (n_docs > 0)), pa.array(base, pa.float64()), pa.array(total_logs),
+                     _lists(bounds, pa.array(words, pa.binary()).take(pa.array(pair % len(words)))), _lists(bounds, pa.array(times)), cells_of],
+                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "times", "cells"])
+                row += len(part)
     rows = store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<binary>, times array<long>, cells array<long>"), "scored")
     rare = (rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import slices, store, table
+from llm.common import distinct, slices, store, table
 
 SEQUENCE, SEPARATOR, VOCABULARY = 2048, 1, "word_bpe_49k.json"
 #: Words a worker remembers the ids of before it forgets half of them.
@@ -140,9 +140,8 @@ class WordTokenizer:
         signs = 1 + np.flatnonzero(after & ((byte[1:-1] == COMMA) | (byte[1:-1] == STOP)))
         opens[signs[(byte[signs - 1] >= A) & (byte[signs - 1] <= Z)]] = True
         at = np.flatnonzero(opens)
-        offsets = np.append(at, len(data)).astype(np.int32)
-        found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        return [w.removeprefix(b" ") for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()], found.indices.to_numpy(), np.searchsorted(at, starts)
+        found, which = distinct(data, at)
+        return [w.removeprefix(b" ") for w in found.to_numpy(zero_copy_only=False).tolist()], which, np.searchsorted(at, starts)
 
     def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.place) > MEMORY:

@@ -159,6 +159,17 @@ def test_bytes_of_any_script_have_contexts(spark):
         assert -r["score"] * math.log2(10) / len(t.encode()) < 0.3, t[:4]
 
 
+def test_keys_and_words_of_a_slice_by_arrays():
+    m, rng = language_model, random.Random(5)
+    for _ in range(200):
+        texts = [bytes(rng.choices(b"ab \n\t\r\x0b\x0c\x1c\x85\xc3\x00", k=rng.choice([0, 0, 1, 2, 6, 7, 8, 30]))) for _ in range(rng.randrange(1, 9))]
+        key, starts = m.byte_keys(texts)
+        assert key.tolist() == m.keys(texts, m.BYTES, m.WIDTH)[0].tolist() and starts.tolist() == m.symbols(texts)[1].tolist()
+        words, which, ends = m.words_of(texts)
+        assert len(words) == len(set(words))
+        assert [[words[k] for k in which[i:j]] for i, j in zip(ends, ends[1:])] == [t.split() for t in texts]
+
+
 def test_language_model_of_awkward_rows(spark):
     docs = awkward(spark)
     got = rows_of(language_model.score(docs, docs))
