@@ -38,3 +38,19 @@ def test_top_k_is_take_ordered(spark):
 def test_roll_up_has_no_single_partition_stage(spark):
     plan = _plan(spark, "pool_day_stats")
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan
+
+
+def test_volume_and_resolve_read_an_amount_once(spark):
+    from pyspark.sql import functions as F
+
+    from tidepool.functions import exact as X
+    from tidepool.operators import enrich
+    wide = "1" + "0" * 30
+    token = "struct('C' AS symbol, cast(2 AS decimal(38,0)) AS decimals)"
+    df = spark.createDataFrame([("200", "-3", 3000), (wide, "7.5", 500), ("1", "2", None)], "amount0 string, amount1 string, fee long")
+    df = df.withColumns({"token0": F.expr(token), "token1": F.expr(token)})
+    out = enrich.swap_volume(df).select(*[X.resolve(c).alias(c) for c in enrich.VOLUME_FIELDS[2:]])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as decimal(28,0)") == 2 and plan.count("regexp_replace(fee0") <= 2
+    assert [tuple(r) for r in out.collect()] == [
+        (0.006, 0.0, 1.994, -0.03, 1.994, 0.03), (5e24, 3.75e-05, 9.995e27, 0.0749625, 9.995e27, 0.0749625), (0.0, 0.0, 0.01, 0.02, 0.01, 0.02)]

@@ -399,6 +399,14 @@ def _to_double(a: pd.Series) -> pd.Series:
     return pd.Series([to_float(parse(x)) for x in a], dtype="float64")
 
 
+@arrow_udf(DoubleType())
+def _resolved(lane: pa.Array, a: pa.Array) -> pa.Array:
+    """``lane``, and the value of ``a`` where that is not null."""
+    if a.null_count == len(a):
+        return lane
+    return pa.array([x if t is None else to_float(parse(t)) for x, t in zip(lane.to_pylist(), a.to_pylist(), strict=True)], pa.float64())
+
+
 @pandas_udf(StringType())
 def _to_text(a: pd.Series) -> pd.Series:
     return pd.Series([to_text(parse(x)) for x in a], dtype=object)
@@ -476,11 +484,12 @@ def normalize(a) -> Column:
 def resolve(a) -> Column:
     """Exact -> double (correctly rounded). A decimal's exponent is turned round
     and the built-in cast reads it, which rounds correctly too; what that cannot
-    read, fractions and binary scales, goes through Python."""
+    read, fractions and binary scales, goes through Python. What it has read goes
+    along, so that it is read once a row."""
     a = _col(a).cast("string")
     turned = F.regexp_replace(a, rf"^(-?[0-9.]+)e(-?[0-9]+)({_SUFFIX})?$", "$1E-$2")
     lane = F.replace(turned, F.lit("E--"), F.lit("E")).try_cast("double")
-    return F.coalesce(lane, _to_double(F.when(lane.isNull(), a)))
+    return _resolved(lane, F.when(lane.isNull(), a))
 
 
 def resolve_text(a) -> Column:

@@ -95,22 +95,26 @@ def swap_volume(df: DataFrame) -> DataFrame:
     applies to the incoming (positive) side only (B13); net amount; absolute
     volume. Amounts of up to 28 digits are whole-number arithmetic on built-in
     decimals; one Arrow pass takes the others of both sides."""
+    kept = [c for c in df.columns if c not in VOLUME_FIELDS]
     rate = F.col("fee").cast("long")
     fits_rate = rate.between(0, 10 ** 9 - 1)
-    lane, literal = {}, {}
+    zero, unit = F.lit(0).cast("decimal(38,0)"), F.lit(10 ** FEE_DECIMALS).cast("decimal(7,0)")
+    whole, taken, net, literal, lane = {}, {}, {}, {}, {}
     for t in "01":
         raw, decimals = F.col(f"amount{t}").cast("string"), F.col(f"token{t}.decimals").cast("long")
         literal[t] = F.nullif(F.concat_ws("e", raw, decimals.cast("string")), F.lit(""))
-        whole = F.when((F.translate(raw, "0123456789-", "") == "") & (F.length(raw) <= 28) & decimals.isNotNull() & fits_rate, raw.try_cast("decimal(28,0)"))
-        taken = F.when(whole > 0, whole * rate.cast("decimal(9,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
-        net = (whole * F.lit(10 ** FEE_DECIMALS).cast("decimal(7,0)") - taken).cast("decimal(38,0)")
-        form = lambda v, d=decimals: X.decimal_literal(v, d + FEE_DECIMALS)
-        lane[t] = {"in": whole.isNotNull(), "fee": F.when(taken == 0, "0").otherwise(form(taken)), "netAmount": form(net), "volume": form(F.abs(net))}
+        whole[t] = F.when((F.translate(raw, "0123456789-", "") == "") & (F.length(raw) <= 28) & decimals.isNotNull() & fits_rate, raw.try_cast("decimal(28,0)"))
+        w, fee, rest, form = F.col(f"__whole{t}"), F.col(f"__taken{t}"), F.col(f"__net{t}"), lambda v, d=decimals: X.decimal_literal(v, d + FEE_DECIMALS)
+        taken[t] = F.when(w > 0, w * rate.cast("decimal(9,0)")).otherwise(zero)
+        net[t] = (w * unit - fee).cast("decimal(38,0)")
+        lane[t] = {"in": w.isNotNull(), "fee": F.when(fee == 0, "0").otherwise(form(fee)), "netAmount": form(rest), "volume": form(F.abs(rest))}
+    # columns of their own, so that a row's casts and products are made once
+    for name, made in (("__whole", whole), ("__taken", taken), ("__net", net)):
+        df = df.withColumns({f"{name}{t}": made[t] for t in "01"})
     df = df.withColumn("__wide", _wide_volume(*[F.when(~lane[t]["in"], literal[t]) for t in "01"], rate))
     # an amount that is null altogether takes no fee
     parts = {f"{part}{t}": F.when(lane[t]["in"], lane[t][part]).when(literal[t].isNotNull(), F.col(f"__wide.{part}{t}")).otherwise(F.lit("0") if part == "fee" else F.lit(None))
              for part in PARTS[1:] for t in "01"}
-    kept = [c for c in df.columns if c not in VOLUME_FIELDS and c != "__wide"]
     made = {f"amount{t}": F.coalesce(literal[t], F.lit("")) for t in "01"} | parts
     return df.select(*kept, *[made[f].alias(f) for f in VOLUME_FIELDS])
 
