@@ -51,6 +51,20 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
+#: Bytes of rows that Spark hands to a Python worker at a time.
+BATCH, BATCH_SETTING = 2_000_000, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def by_bytes(df: DataFrame) -> DataFrame:
+    """``df``, whose session cuts the batches for Python workers by bytes too:
+    10,000 rows of long texts at a time are many copies in the executor and its
+    workers. A setting of the caller's own stands."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH))
+    return df
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """Path of a new folder in the shared checkpoint directory."""
     return f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import distinct, held_out, slices, store, table
+from llm.common import by_bytes, distinct, held_out, slices, store, table
 
 FOLDS = 10
 #: Bytes of context; decisions a byte, and the last byte.
@@ -44,6 +44,8 @@ TOP, SHARE, RUN = 2, 1_000_000, 250_000
 #: Text bytes a worker counts or scores at a time, and keys it gathers before
 #: it adds up equal ones.
 SLICE, GATHER = 2_000_000, 4_000_000
+#: Bits for a count below its key while a worker gathers keys, and the largest.
+TALLY, MOST = 7, 127
 END = 255  # never a byte of UTF-8
 PRIOR = 0.1
 
@@ -118,6 +120,21 @@ def add_up(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[first], np.add.reduceat(n, first) if len(key) else n
 
 
+def tally(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adds up, in their own memory, numbers of a key and a count below it:
+    sorted distinct ones, and keys and counts of what is above MOST."""
+    packed.sort()
+    first = np.flatnonzero(np.append(True, (packed[1:] ^ packed[:-1]) > MOST)) if len(packed) else np.zeros(0, int)
+    key = packed[first] >> TALLY
+    packed &= MOST
+    n = np.add.reduceat(packed, first) if len(first) else packed
+    above = np.flatnonzero(n > MOST)
+    rest = key[above], n[above] - MOST
+    key <<= TALLY
+    key |= np.minimum(n, MOST, out=n)
+    return key, *rest
+
+
 def _lower(b: pa.RecordBatch, i: int) -> list[bytes]:
     return [(t or b"").lower() for t in b.column(i).cast(pa.binary()).to_pylist()]
 
@@ -131,23 +148,43 @@ def count_contexts(docs: DataFrame, of: np.ndarray = SYMBOL, bits: int = BITS) -
     whole = of is BYTES and (lambda texts: (key := byte_keys(texts)[0], key & LAST))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size, plain = [], 0, np.zeros(256, np.int64)
+        def rows(key, n):
+            for i in range(0, len(key), RUN):
+                yield pa.RecordBatch.from_arrays([pa.array(key[i:i + RUN]), pa.array(n[i:i + RUN])], names=["key", "n"])
+
+        def merge():
+            packed = np.concatenate(parts)
+            parts.clear()
+            packed, *more = tally(packed)
+            parts.append(packed)
+            above.append(more)
+
+        parts, above, size, plain = [], [], 0, np.zeros(256, np.int64)
         for b in batches:
             texts = _lower(b, 0)
             for i, j in slices([len(t) for t in texts], SLICE):
                 key, data = whole(texts[i:j]) if whole else keys(texts[i:j], of, bits)
                 plain += np.bincount(data, minlength=256)
-                parts.append(np.unique(key, return_counts=True))
-                size += len(parts[-1][0])
+                key <<= TALLY
+                key |= 1
+                packed, *more = tally(key)
+                del key, data
+                parts.append(packed)
+                above.append(more)
+                size += len(packed)
                 if size > GATHER:
-                    parts = [add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))]
-                    size = 0
-                    if len(parts[0][0]) > GATHER // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts.pop()], names=["key", "n"])
-        parts.append((np.arange(256) - 256, plain))
-        key, n = add_up(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+                    merge()
+                    size = len(parts[0])
+                    if size > GATHER // 2:
+                        packed, size = parts.pop(), 0
+                        yield from rows(packed >> TALLY, packed & MOST)
+                    above = [add_up(*(np.concatenate(x) for x in zip(*above, strict=True)))]
+        if parts:
+            merge()
+            yield from rows(parts[0] >> TALLY, parts[0] & MOST)
+        above.append((np.arange(256) - 256, plain))
+        yield from rows(*add_up(*(np.concatenate(x) for x in zip(*above, strict=True))))
+    return by_bytes(docs).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)
@@ -181,7 +218,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                     yield rows()
                     counts.clear()
         yield rows()
-    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return by_bytes(docs).select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def most_seen(counted: DataFrame, most: int) -> DataFrame:
@@ -514,7 +551,7 @@ def score(docs: DataFrame, learn: DataFrame, others: DataFrame | None = None) ->
                      _lists(bounds, pa.array(words, pa.binary()).take(pa.array(pair % len(words)))), _lists(bounds, pa.array(times)), cells_of],
                     names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "times", "cells"])
                 row += len(part)
-    rows = store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    rows = store(by_bytes(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "row long, doc_id long, n_tokens long, known long, base double, score double, rare array<binary>, times array<long>, cells array<long>"), "scored")
     rare = (rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
             .select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times")))

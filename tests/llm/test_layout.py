@@ -4,9 +4,11 @@ import collections
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +172,50 @@ def test_keys_and_words_of_a_slice_by_arrays():
         assert [[words[k] for k in which[i:j]] for i, j in zip(ends, ends[1:])] == [t.split() for t in texts]
 
 
+def _counter(spark, monkeypatch):
+    """What a worker runs to count contexts of bytes."""
+    docs, found = spark.createDataFrame([(1, "a")], "doc_id long, text string"), []
+    kept = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: found.append(f) or kept(self, f, schema))
+    language_model.count_contexts(docs, language_model.BYTES, language_model.WIDTH)
+    return found[0]
+
+
+def test_contexts_are_counted_in_bounded_memory(spark, monkeypatch):
+    count = _counter(spark, monkeypatch)
+    rng = np.random.default_rng(1)
+    batches = [pa.RecordBatch.from_arrays([pa.array([rng.integers(97, 123, 5000, np.uint8).tobytes().decode() for _ in range(400)])], names=["text"]) for _ in range(4)]
+    tracemalloc.start()
+    try:
+        rows = [(b.num_rows, b.column(1).to_numpy().sum()) for b in count(iter(batches))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(n for _, n in rows) == 2 * 4 * 400 * 5001  # each place by its context, and by itself
+    assert max(n for n, _ in rows) <= language_model.RUN and peak < 300e6
+
+
+@pytest.mark.parametrize("gather", [200, 4_000_000])
+def test_contexts_of_any_count(spark, monkeypatch, gather):
+    m, rng = language_model, random.Random(4)
+    count = _counter(spark, monkeypatch)
+    monkeypatch.setattr(m, "GATHER", gather)
+    monkeypatch.setattr(m, "SLICE", 3000)
+    monkeypatch.setattr(m, "RUN", 70)
+    texts = ["", None, "a" * 127, "b" * 133, "é" * 700, "a" * 9000] + ["".join(rng.choices("ab ", k=rng.randrange(400))) for _ in range(60)]
+    got, want = collections.Counter(), collections.Counter()
+    for b in count(iter([pa.RecordBatch.from_arrays([pa.array(x, pa.string())], names=["text"]) for x in (texts[:20], texts[20:])])):
+        assert b.num_rows <= 70
+        for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            got[k] += n
+    for t in texts:
+        data = b" " * 6 + (t or "").encode() + b"\xff"
+        for i in range(6, len(data)):
+            want[int.from_bytes(data[i - 6:i + 1])] += 1
+            want[data[i] - 256] += 1
+    assert +got == want
+
+
 def test_language_model_of_awkward_rows(spark):
     docs = awkward(spark)
     got = rows_of(language_model.score(docs, docs))
