@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import slices, store, table
+from llm.common import by_bytes, slices, store, table
 
 WINDOW, SHINGLE = 10, 3
 #: Windows of one index that is sent to the executors; a larger benchmark is
@@ -127,7 +127,7 @@ def count_tokens(docs: DataFrame, index) -> DataFrame:
         for s, c in counts.items():
             k = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), s, np.int32)), pa.array(k), pa.array(c[k])], names=["size", "token", "n"])
-    return docs.select("text").mapInArrow(run, "size int, token long, n long").groupBy("size", "token").agg(F.sum("n").alias("n"))
+    return by_bytes(docs).select("text").mapInArrow(run, "size int, token long, n long").groupBy("size", "token").agg(F.sum("n").alias("n"))
 
 
 def mark_block(docs: DataFrame, index, before: bool) -> DataFrame:
@@ -153,7 +153,7 @@ def mark_block(docs: DataFrame, index, before: bool) -> DataFrame:
                    pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                    pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([b.column(b.schema.names.index(c)) for c in keep] + new, names=[*keep, *fields])
-    return docs.mapInArrow(run, schema)
+    return by_bytes(docs).mapInArrow(run, schema)
 
 
 def _search(ix: Index, texts: list[bytes]) -> Iterator[tuple[int, list, set]]:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.common import components, slices, small, store, table
+from llm.common import by_bytes, components, slices, small, store, table
 
 SHINGLE, SIMILAR = 4, 80
 BUCKETS, MANTISSA, ROWS = 128, 10, 4
@@ -124,7 +124,7 @@ def sketches(docs: DataFrame, size: int, bits: int = 63) -> DataFrame:
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                                                  names=["doc_id", "text_hash", "n_shingles", "node", "check", "keys", "registers", "hashes"])
-    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(
+    return by_bytes(docs).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(
         run, "doc_id long, text_hash long, n_shingles long, node long, check long, keys array<long>, registers binary, hashes binary")
 
 

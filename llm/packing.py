@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import distinct, slices, store, table
+from llm.common import by_bytes, distinct, slices, store, table
 
 SEQUENCE, SEPARATOR, VOCABULARY = 2048, 1, "word_bpe_49k.json"
 #: Words a worker remembers the ids of before it forgets half of them.
@@ -99,10 +99,11 @@ class WordTokenizer:
                 self.add_all(part, ids, stops)
             else:  # a letter that the vocabulary's normaliser takes apart
                 odd.update(part)
-        part = sorted(w for w in odd if w not in known)
-        for w, x in zip(part, self.encoder.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-            ids = np.array(x.ids, np.uint32)
-            self.add_all([w], ids, np.array([len(ids)]))
+        todo = sorted(w for w in odd if w not in known)
+        for i in range(0, len(todo), 4000):
+            part = todo[i:i + 4000]
+            found = [x.ids for x in self.encoder.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+            self.add_all(part, np.array([k for ids in found for k in ids], np.uint32), np.cumsum([len(ids) for ids in found]))
         new = [(w, known[stem], known[tail] if tail else -1) for w, stem, tail in cut if w not in known]
         if new:
             names, a, b = zip(*new, strict=True)
@@ -192,7 +193,7 @@ def pieces(docs: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY)
                         seen[length] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), columns, strict=True)],
                                                  names=[n for n, _ in columns])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return by_bytes(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, bucket long, rank long")
 
 

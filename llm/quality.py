@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import held_out, table
+from llm.common import by_bytes, held_out, table
 
 #: At most so many labelled documents are learnt from (the smallest hashes of
 #: their ids); the model's size does not depend on the data.
@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, fold
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(_vectors(b)), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
-    rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "y", "text")
+    rows = (by_bytes(docs).select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "y", "text")
             .mapInArrow(run, "doc_id long, y double, x array<double>")
             .groupBy("doc_id", "y").agg(F.min("x").alias("x")).collect())
     rows.sort(key=lambda r: r["doc_id"])
@@ -168,7 +168,7 @@ def score(docs: DataFrame, model: PairwiseGam) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(b.schema.names.index(c)) for c in names] + [pa.array(shared.value.score(_vectors(b)))], names=[*names, "score"])
-    return docs.mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
+    return by_bytes(docs).mapInArrow(run, T.StructType([*kept, T.StructField("score", T.DoubleType())]))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
