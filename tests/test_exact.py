@@ -180,3 +180,22 @@ def test_gas_amounts_lanes_agree(spark):
         tip = frac(price) - frac(base) if price and base else None
         assert (r["gasFees"] and frac(r["gasFees"])) == fees and (r["tip"] and frac(r["tip"])) == tip
     assert got[0]["gasFees"] == "1050000000000000e18b0/1e0b0"
+
+
+def test_a_batch_is_summed_before_its_limbs_are_made():
+    """Rows of a group in one Arrow batch give one entry a name, in its first row."""
+    import pyarrow as pa
+    numbers, first = X.row_groups([pa.array(["a", None, "a", "b", None]), pa.array([1, None, 1, 1, None])], 5)
+    assert len(first) == 3 and numbers[0] == numbers[2] != numbers[3] and numbers[1] == numbers[4]
+    literals = {"v": ["1e80", None, "3e73", "7e-200", "0.5"], "w": ["1", "2", "-3e0b0/3e0b0", None, "1e0b0/3e0b0"]}
+    entries = X.group_sums({n: [X.parse(t) for t in texts] for n, texts in literals.items()}, numbers, first).to_pylist()
+    assert [bool(e) for e in entries] == [True, True, False, True, False]
+    for g, at in enumerate(first):
+        for n, texts in literals.items():
+            want = [frac(t) for t, k in zip(texts, numbers) if k == g and t is not None]
+            found = [e for e in entries[at] if e["name"] == n]
+            assert sum(e["n"] for e in found) == len(want)
+            if want:
+                got = X.from_blocks([0] * X.N_LIMBS, [(e["block"], e["limbs"]) for e in found])
+                assert abs(Fraction(*got) - sum(want)) < Fraction(1, 10**83)
+    assert X.extremes([X.parse(t) for t in ("1", "2", "1.5", None, "1e0b0")], [0, 0, 0, 1, 1], 2) == [True, True, False, False, True]

@@ -13,7 +13,8 @@ Row functions are Arrow-batched pandas UDFs: one Python loop per Arrow batch
 over plain ``int`` arithmetic. Aggregates stay JVM-side: every value is cut
 into signed base-10^6 limbs by place and the limbs are summed with the
 built-in ``sum`` (so partial aggregation happens before any shuffle); one
-UDF recombines the few limb totals per group.
+UDF recombines the few limb totals per group. ``place_sums`` adds an Arrow
+batch's rows of a group first, so that limbs are made once a group and batch.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 import re
 from decimal import ROUND_HALF_EVEN, Context, Decimal
 from functools import lru_cache
-from math import gcd
+from math import gcd, isfinite
 
 import numpy as np
 import pandas as pd
@@ -84,10 +85,12 @@ def _part(s: str):
 
 def parse(s):
     """Literal -> (p, q) with q > 0, or None for null / zero denominator."""
+    if isinstance(s, str):
+        return _parse_plain(s)
     if s is None:
         return None
-    if isinstance(s, str):
-        return _parse_text(s)
+    if type(s) is float:
+        return _parse_other(s)
     if isinstance(s, tuple):
         return s
     if isinstance(s, int):
@@ -97,17 +100,50 @@ def parse(s):
 
 def _parse_other(s):
     if isinstance(s, float):  # a double column: the value of its shortest decimal text
-        if s != s or s in (float("inf"), float("-inf")):
+        if not isfinite(s):
             return None
-        return Decimal(repr(float(s))).as_integer_ratio()
+        text = repr(float(s))
+        whole, _, decimals = text.partition(".")
+        if decimals.isdigit():
+            return int(whole + decimals), _TEN[len(decimals)]
+        return Decimal(text).as_integer_ratio()
     if not isinstance(s, str):  # Decimal, numpy integer
         return Decimal(str(s)).as_integer_ratio()
     return _parse_text(s)
 
 
+#: What a literal of a decimal ends with, as ``fmt`` writes it.
+_SUFFIX = "b0/1e0b0"
+_TEN = [10 ** d for d in range(100)]
+
+
+def _parse_plain(s: str):
+    """Text literal -> (p, q): decimals as ``fmt`` and SQL write them at once."""
+    if s.endswith(_SUFFIX):
+        m, _, d = s[:-len(_SUFFIX)].partition("e")
+        if len(d) < 3 and d.isdigit() and (m.isdigit() or (m[:1] == "-" and m[1:].isdigit())):
+            return int(m), _TEN[int(d)]
+    else:
+        whole, _, decimals = s.partition(".")
+        if whole.isdigit():
+            if decimals.isdigit() and len(decimals) < 100:
+                return int(whole + decimals), _TEN[len(decimals)]
+            if len(whole) == len(s):
+                return int(s), 1
+    return _parse_text(s)
+
+
 @lru_cache(maxsize=1 << 16)
 def _parse_text(s: str):
-    """Text literal -> (p, q); cached: prices, quotes and rates repeat a lot."""
+    """Any text literal -> (p, q); cached: prices, quotes and rates repeat a lot."""
+    m, _, rest = s.partition("e")
+    low, _, r = rest.partition("/")
+    if r.endswith("e0b0"):  # as fmt writes fractions
+        d, _, k = low.partition("b")
+        r = r[:-4]
+        if d.isdigit() and k.isdigit() and r.isdigit() and (m.isdigit() or (m[:1] == "-" and m[1:].isdigit())):
+            q = (10 ** int(d) << int(k)) * int(r)
+            return (int(m), q) if q else None
     if not s.strip():
         return None  # an empty literal (e.g. concat_ws of nulls) is no number
     if "/" in s:
@@ -129,19 +165,31 @@ def reduce(p: int, q: int):
     return (p // g, q // g) if g > 1 else (p, q)
 
 
+#: Powers of ten as denominators, and of five, by their value.
+_TENS = {10 ** d: d for d in range(_DECIMAL_FORM_MAX_SHIFT + 1)}
+_FIVES = {5 ** d: d for d in range(_DECIMAL_FORM_MAX_SHIFT + 1)}
+_MOST_FIVES = 5 ** _DECIMAL_FORM_MAX_SHIFT
+
+
 def fmt(v) -> str | None:
     """(p, q) -> canonical literal."""
     if v is None:
         return None
-    p, q = reduce(*v)
+    p, q = v
     if p == 0:
         return "0e0b0/1e0b0"
+    d = _TENS.get(q)
+    if d is not None:  # a decimal: as few places as it needs
+        m = str(p)
+        cut = min(len(m) - len(m.rstrip("0")), d)
+        return f"{m[:-cut]}e{d - cut}b0/1e0b0" if cut else f"{m}e{d}b0/1e0b0"
+    p, q = reduce(p, q)
     a = (q & -q).bit_length() - 1
     r = q >> a
     b = 0
-    while r % 5 == 0:
-        r //= 5
-        b += 1
+    while (fives := gcd(r, _MOST_FIVES)) > 1:
+        r //= fives
+        b += _FIVES[fives]
     # value = p / (2^a 5^b r)
     if a <= b:
         m, d, k = p << (b - a), b, 0
@@ -155,12 +203,16 @@ def fmt(v) -> str | None:
 def add(x, y):
     if x is None or y is None:
         return None
+    if x[1] == y[1]:
+        return (x[0] + y[0], x[1])
     return (x[0] * y[1] + y[0] * x[1], x[1] * y[1])
 
 
 def sub(x, y):
     if x is None or y is None:
         return None
+    if x[1] == y[1]:
+        return (x[0] - y[0], x[1])
     return (x[0] * y[1] - y[0] * x[1], x[1] * y[1])
 
 
@@ -261,7 +313,10 @@ def fixed(x):
 
 def to_blocks(x) -> dict[int, list[int]]:
     """Blocks with limbs that are not 0, limbs from the highest place down."""
-    v, f = fixed(x)
+    return _blocks_of(*fixed(x))
+
+
+def _blocks_of(v: int, f: int) -> dict[int, list[int]]:
     sign, v, out, place = (-1 if v < 0 else 1), abs(v), {}, -f
     while v:
         v, limb = divmod(v, LIMB_BASE)
@@ -338,6 +393,68 @@ def limb_arrays(values):
     return pa.ListArray.from_arrays(offsets, pa.array(limbs.ravel()), mask=pa.array([x is None for x in values], pa.bool_())), far
 
 
+def rows_of(a: pa.Array) -> list:
+    """The values of an Arrow array, None for null. ``to_pylist`` makes an object
+    a value on the way, which for texts takes longer than to read them."""
+    kind = a.type
+    if pa.types.is_string(kind) or pa.types.is_large_string(kind) or (not a.null_count and (pa.types.is_floating(kind) or pa.types.is_integer(kind) or pa.types.is_boolean(kind))):
+        return a.to_numpy(zero_copy_only=False).tolist()
+    return a.to_pylist()
+
+
+def row_groups(columns, rows: int) -> tuple[list[int], list[int]]:
+    """A number for each of ``rows``, the same only for rows that are equal in
+    every column (null equals null), and the first row of each number."""
+    numbers = np.zeros(rows, np.int64)
+    for c in columns:
+        if pa.types.is_nested(c.type):
+            c = pa.array(map(repr, c.to_pylist()), pa.string())
+        codes = c.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        numbers = np.unique(numbers * (codes.max(initial=0) + 1) + codes, return_inverse=True)[1].reshape(-1)
+    _, first, numbers = np.unique(numbers, return_index=True, return_inverse=True)
+    return numbers.reshape(-1).tolist(), first.tolist()
+
+
+def group_sums(values: dict[str, list], numbers: list[int], first: list[int]) -> pa.Array:
+    """The sums of many (p, q) by name and group (``row_groups``) as an Arrow
+    array of SUM_ROWS: a group's at its first row, none at the others. Added as
+    whole numbers, the values keep all that ``fixed`` keeps of each."""
+    found = [[] for _ in first]
+    for name, column in values.items():
+        near, counts, finer = [0] * len(first), [0] * len(first), {}
+        for g, x in zip(numbers, column, strict=True):
+            if x is not None:
+                v, f = fixed(x)
+                counts[g] += 1
+                if f == FRAC_LIMBS:
+                    near[g] += v
+                else:
+                    finer[g, f] = finer.get((g, f), 0) + v
+        sums = {g: (near[g], FRAC_LIMBS) for g, n in enumerate(counts) if n}
+        for (g, f), v in finer.items():
+            held, at = sums[g]
+            most = max(at, f)
+            sums[g] = held * LIMB_BASE ** (most - at) + v * LIMB_BASE ** (most - f), most
+        for g, held in sums.items():
+            blocks = _blocks_of(*held)
+            found[g].append({"name": name, "block": 0, "limbs": blocks.pop(0, [0] * N_LIMBS), "n": counts[g]})
+            found[g] += [{"name": name, "block": k, "limbs": limbs, "n": 0} for k, limbs in blocks.items()]
+    rows = [()] * len(numbers)
+    for at, entries in zip(first, found, strict=True):
+        rows[at] = entries
+    return pa.array(rows, _SUMS_TYPE)
+
+
+def extremes(values: list, numbers: list[int], groups: int) -> list[bool]:
+    """Which values can be the least or the most of their group: those whose
+    double, which orders as the value does, is."""
+    d = np.array([to_float(x) for x in values], np.float64)
+    least, most = np.full(groups, np.inf), np.full(groups, -np.inf)
+    np.fmin.at(least, numbers, d)
+    np.fmax.at(most, numbers, d)
+    return ((d == least[numbers]) | (d == most[numbers])).tolist()
+
+
 # ---------------------------------------------------------------------------
 # Arrow-batched column functions
 # ---------------------------------------------------------------------------
@@ -357,46 +474,33 @@ def lit(v) -> Column:
     return F.lit(str(v))
 
 
-def _map2(fn):
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        if a.isna().all() or b.isna().all():
-            return pd.Series([None] * len(a), dtype=object)
-        return pd.Series([fmt(fn(parse(x), parse(y))) for x, y in zip(a, b)], dtype=object)
+def _map1(fn):
+    def run(a: pa.Array) -> pa.Array:
+        return pa.array([fmt(fn(parse(x))) for x in rows_of(a)], pa.string())
     return run
 
 
-_add = pandas_udf(_map2(add), StringType())
-_sub = pandas_udf(_map2(sub), StringType())
-_mul = pandas_udf(_map2(mul), StringType())
-_div = pandas_udf(_map2(div), StringType())
-
-
-@pandas_udf(StringType())
-def _norm(a: pd.Series) -> pd.Series:
-    return pd.Series([fmt(parse(x)) for x in a], dtype=object)
-
-
-@pandas_udf(StringType())
-def _abs(a: pd.Series) -> pd.Series:
-    def f(x):
-        v = parse(x)
-        return None if v is None else fmt((abs(v[0]), v[1]))
-    return pd.Series([f(x) for x in a], dtype=object)
+def _map2(fn):
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        if len(a) in (a.null_count, b.null_count):
+            return pa.nulls(len(a), pa.string())
+        return pa.array([None if x is None or y is None else fmt(fn(parse(x), parse(y)))
+                         for x, y in zip(rows_of(a), rows_of(b), strict=True)], pa.string())
+    return run
 
 
-@pandas_udf(StringType())
-def _neg(a: pd.Series) -> pd.Series:
-    def f(x):
-        v = parse(x)
-        return None if v is None else fmt((-v[0], v[1]))
-    return pd.Series([f(x) for x in a], dtype=object)
+_add = arrow_udf(_map2(add), StringType())
+_sub = arrow_udf(_map2(sub), StringType())
+_mul = arrow_udf(_map2(mul), StringType())
+_div = arrow_udf(_map2(div), StringType())
+_norm = arrow_udf(_map1(lambda v: v), StringType())
+_abs = arrow_udf(_map1(lambda v: None if v is None else (abs(v[0]), v[1])), StringType())
+_neg = arrow_udf(_map1(lambda v: None if v is None else (-v[0], v[1])), StringType())
 
 
-@pandas_udf(DoubleType())
-def _to_double(a: pd.Series) -> pd.Series:
-    if a.isna().all():
-        return pd.Series([None] * len(a), dtype="float64")
-    return pd.Series([to_float(parse(x)) for x in a], dtype="float64")
+@arrow_udf(DoubleType())
+def _to_double(a: pa.Array) -> pa.Array:
+    return pa.array([to_float(parse(x)) for x in rows_of(a)], pa.float64())
 
 
 @arrow_udf(DoubleType())
@@ -404,7 +508,7 @@ def _resolved(lane: pa.Array, a: pa.Array) -> pa.Array:
     """``lane``, and the value of ``a`` where that is not null."""
     if a.null_count == len(a):
         return lane
-    return pa.array([x if t is None else to_float(parse(t)) for x, t in zip(lane.to_pylist(), a.to_pylist(), strict=True)], pa.float64())
+    return pa.array([x if t is None else to_float(parse(t)) for x, t in zip(rows_of(lane), rows_of(a), strict=True)], pa.float64())
 
 
 @pandas_udf(StringType())
@@ -418,25 +522,27 @@ def _scale(a: pd.Series, d: pd.Series, k: pd.Series) -> pd.Series:
                      dtype=object)
 
 
-#: Further blocks of a value, and of the named values of a row.
+#: Further blocks of a value, and the sums of named values with their number
+#: (counted with block 0).
 _ENTRY = [StructField("block", IntegerType()), StructField("limbs", ArrayType(LongType()))]
 FAR_ROWS = ArrayType(StructType(_ENTRY))
-NAMED_FAR_ROWS = ArrayType(StructType([StructField("name", StringType()), *_ENTRY]))
+SUM_ROWS = ArrayType(StructType([StructField("name", StringType()), *_ENTRY, StructField("n", LongType())]))
 
 
 _FAR_TYPE = pa.list_(pa.struct([("block", pa.int32()), ("limbs", pa.list_(pa.int64()))]))
+_SUMS_TYPE = pa.list_(pa.struct([("name", pa.string()), ("block", pa.int32()), ("limbs", pa.list_(pa.int64())), ("n", pa.int64())]))
 
 
 @arrow_udf(StructType([StructField("near", ArrayType(LongType())), StructField("far", FAR_ROWS)]))
 def _blocks(a: pa.Array) -> pa.Array:
-    near, far = limb_arrays([parse(x) for x in a.to_pylist()])
+    near, far = limb_arrays([parse(x) for x in rows_of(a)])
     entries = [[{"block": k, "limbs": limbs} for k, limbs in beyond] for beyond in far]
     return pa.StructArray.from_arrays([near, pa.array(entries, _FAR_TYPE)], names=["near", "far"])
 
 
 @arrow_udf(BinaryType())
 def _order(a: pa.Array) -> pa.Array:
-    return pa.array([order_key(parse(x)) for x in a.to_pylist()], pa.binary())
+    return pa.array([order_key(parse(x)) for x in rows_of(a)], pa.binary())
 
 
 @arrow_udf(StringType())
@@ -445,9 +551,6 @@ def _from_blocks(near: pa.Array, far: pa.Array, n: pa.Array) -> pa.Array:
                      for a, b, c in zip(near.to_pylist(), far.to_pylist(), n.to_pylist(), strict=True)], pa.string())
 
 
-_SUFFIX = "b0/1e0b0"
-
-
 def decimal_literal(m: Column, d: Column) -> Column:
     """The literal of ``m`` (whole) with ``d`` decimals."""
     return F.concat(m.cast("string"), F.lit("e"), d.cast("string"), F.lit(_SUFFIX))
@@ -554,41 +657,48 @@ def exact_max(a, order: Column | None = None) -> Column:
     return F.max_by(_col(a), order if order is not None else order_by(a))
 
 
-def place_sums(df: DataFrame, group: list[str], near: dict[str, Column], far: Column, aggs=()) -> DataFrame:
-    """``group``, ``aggs``, and what ``total`` and ``mean`` need of each name.
+def place_sums(df: DataFrame, group: list[str], sums: Column, aggs=()) -> DataFrame:
+    """``group``, ``aggs``, and ``__sums``, of which ``total`` and ``mean`` make
+    the sum and the mean of each name.
 
-    ``near`` has block 0 of each name, ``far`` (NAMED_FAR_ROWS) the further blocks.
-    A row with further blocks is repeated once for each; those repetitions are
-    groups of their own that sum one block, so every place is summed by the
-    built-in ``sum``, combined before the shuffle, whatever the values' size.
-    One more exchange of a row a group brings a group's blocks together.
+    ``sums`` has SUM_ROWS (``group_sums``), of any names and blocks, in some row
+    of the group. A row is repeated once for each entry; those repetitions are
+    groups of their own that sum one block of one name, so every place is summed
+    by the built-in ``sum``, combined before the shuffle, whatever the values'
+    size. One more exchange of a row a group brings a group's blocks together.
     """
-    none = F.lit(None).cast(NAMED_FAR_ROWS.elementType)
-    rows = df.select("*", F.explode(F.concat(F.array(none), F.coalesce(far, F.array().cast(NAMED_FAR_ROWS)))).alias("__far"))
-    block = F.col("__far.limbs")
-    sums = [c for k, x in near.items() for c in (_place_sums(x).alias(f"__s_{k}"), F.count(x).alias(f"__n_{k}"))]
-    found = rows.groupBy(*group, F.col("__far.name").alias("__name"), F.col("__far.block").alias("__block")).agg(
-        *aggs, *sums, _place_sums(block).alias("__sums"))
+    none = F.lit(None).cast(SUM_ROWS.elementType)
+    rows = df.select("*", F.explode(F.concat(F.array(none), F.coalesce(sums, F.array().cast(SUM_ROWS)))).alias("__sum"))
+    found = rows.groupBy(*group, F.col("__sum.name").alias("__name"), F.col("__sum.block").alias("__block")).agg(
+        *aggs, _place_sums(F.col("__sum.limbs")).alias("__limbs"), F.sum("__sum.n").alias("__n"))
     here = F.col("__name").isNull()
-    kept = [c for c in found.columns if c not in (*group, "__name", "__block", "__sums")]
-    entry = F.struct(F.col("__name").alias("name"), F.col("__block").alias("block"), F.col("__sums").alias("limbs"))
+    kept = [c for c in found.columns if c not in (*group, "__name", "__block", "__limbs", "__n")]
+    entry = F.struct(F.col("__name").alias("name"), F.col("__block").alias("block"), F.col("__limbs").alias("limbs"), F.col("__n").alias("n"))
     return found.groupBy(*group).agg(*[F.first(F.when(here, F.col(c)), ignorenulls=True).alias(c) for c in kept],
-                                     F.collect_list(F.when(~here, entry)).alias("__far"))
+                                     F.collect_list(F.when(~here, entry)).alias("__sums"))
+
+
+@arrow_udf(StringType())
+def _from_sums(entries: pa.Array, mean: pa.Array) -> pa.Array:
+    out = []
+    for found, over in zip(entries.to_pylist(), mean.to_pylist(), strict=True):
+        n = sum(e["n"] for e in found)
+        out.append(fmt(from_blocks([0] * N_LIMBS, [(e["block"], e["limbs"]) for e in found], n if over else min(n, 1))))
+    return pa.array(out, pa.string())
 
 
-def _far_of(name: str) -> Column:
-    found = F.filter("__far", lambda e: e["name"] == name)
-    return F.transform(found, lambda e: F.struct(e["block"].alias("block"), e["limbs"].alias("limbs")))
+def _sums_of(name: str) -> Column:
+    return F.filter("__sums", lambda e: e["name"] == name)
 
 
 def total(name: str) -> Column:
     """Exact sum of a name after ``place_sums``; null without any value."""
-    return _from_blocks(F.col(f"__s_{name}"), _far_of(name), F.least(F.col(f"__n_{name}"), F.lit(1)))
+    return _from_sums(_sums_of(name), F.lit(False))
 
 
 def mean(name: str) -> Column:
     """Exact mean of a name after ``place_sums``."""
-    return _from_blocks(F.col(f"__s_{name}"), _far_of(name), F.col(f"__n_{name}"))
+    return _from_sums(_sums_of(name), F.lit(True))
 
 
 def totals(df: DataFrame, group: list[str], sums: dict[str, str], means: dict[str, str] | None = None) -> DataFrame:
@@ -596,12 +706,12 @@ def totals(df: DataFrame, group: list[str], sums: dict[str, str], means: dict[st
     columns, of any size and in any number: no group is gathered."""
     means = means or {}
     names = sorted({*sums.values(), *means.values()})
-    b = df.withColumns({f"__b_{c}": _blocks(_col(c)) for c in names})
 
-    def named(c: str) -> Column:
-        far = F.coalesce(F.col(f"__b_{c}.far"), F.array().cast(FAR_ROWS))
-        return F.transform(far, lambda e: F.struct(F.lit(c).alias("name"), e["block"].alias("block"), e["limbs"].alias("limbs")))
-    found = place_sums(b, group, {c: F.col(f"__b_{c}.near") for c in names}, F.concat(*map(named, names)))
+    @arrow_udf(SUM_ROWS)
+    def added(*inputs: pa.Array) -> pa.Array:
+        values = {n: [parse(v) for v in rows_of(x)] for n, x in zip(names, inputs)}
+        return group_sums(values, *row_groups(inputs[len(names):], len(inputs[0])))
+    found = place_sums(df.withColumn("__of", added(*map(_col, names), *map(_col, group))), group, F.col("__of"))
     return found.select(*group, *[total(c).alias(k) for k, c in sums.items()], *[mean(c).alias(k) for k, c in means.items()])
 
 

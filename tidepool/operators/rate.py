@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf, pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from tidepool.functions import exact as X
@@ -32,24 +32,17 @@ DELTA_CHUNK = 4 * BLOCK_EXPIRY
 DELTA_FIELDS = ["priceDelta0", "priceDelta1", "priceDeltaPct0", "priceDeltaPct1"]
 
 
-def _delta_row(p0, p1, l0, l1):
-    out = []
-    pct = []
-    for p, last in ((p0, l0), (p1, l1)):
-        lv = X.parse(last)
-        d = X.sub(X.parse(p), lv)
-        out.append(X.fmt(d))
-        q = X.div(d, lv)
-        pct.append(None if q is None else X.to_float(q) * 100)
-    return out + pct
-
-
-@pandas_udf(StructType([StructField("priceDelta0", StringType()), StructField("priceDelta1", StringType()),
-                        StructField("priceDeltaPct0", DoubleType()),
-                        StructField("priceDeltaPct1", DoubleType())]))
-def _delta(p0: pd.Series, p1: pd.Series, l0: pd.Series, l1: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_delta_row(a, b, c, d) for a, b, c, d in zip(p0, p1, l0, l1)],
-                        columns=DELTA_FIELDS)
+@arrow_udf(StructType([StructField("priceDelta0", StringType()), StructField("priceDelta1", StringType()),
+                       StructField("priceDeltaPct0", DoubleType()), StructField("priceDeltaPct1", DoubleType())]))
+def _delta(p0: pa.Array, p1: pa.Array, l0: pa.Array, l1: pa.Array) -> pa.Array:
+    deltas, percents = [], []
+    for price, before in ((p0, l0), (p1, l1)):
+        was = [X.parse(x) for x in X.rows_of(before)]
+        moved = [X.sub(X.parse(x), y) for x, y in zip(X.rows_of(price), was, strict=True)]
+        parts = [X.to_float(X.div(d, y)) for d, y in zip(moved, was, strict=True)]
+        deltas.append(pa.array(map(X.fmt, moved), pa.string()))
+        percents.append(pa.array([None if x is None else x * 100 for x in parts], pa.float64()))
+    return pa.StructArray.from_arrays([*deltas, *percents], names=DELTA_FIELDS)
 
 
 def delta_lookup(key: str = "address", order: str = "logId", expiry: float = BLOCK_EXPIRY) -> Lookup:
@@ -167,7 +160,7 @@ def _quote_or_own(base: Column) -> tuple[Column, Column]:
 
 @arrow_udf(StringType())
 def _convert(amount: pa.Array, price: pa.Array, times: pa.Array) -> pa.Array:
-    return pa.array([X.fmt(_priced(X.parse(a), p, t)) for a, p, t in zip(amount.to_pylist(), price.to_pylist(), times.to_pylist(), strict=True)], pa.string())
+    return pa.array([X.fmt(_priced(X.parse(a), p, t)) for a, p, t in zip(X.rows_of(amount), X.rows_of(price), X.rows_of(times), strict=True)], pa.string())
 
 
 def convert(amount: Column, base: Column) -> Column:
@@ -189,11 +182,20 @@ def _base_worths(lead: pa.Array, lead_price: pa.Array, lead_times: pa.Array, oth
                  other_times: pa.Array, lead_fee: pa.Array, other_fee: pa.Array) -> pa.Array:
     """Volume of the leading side, of the other side, and both fees together,
     in the base token. A direction of null is an amount in that token already."""
-    out = []
-    for v, p, t, w, q, u, f, g in zip(*(c.to_pylist() for c in (lead, lead_price, lead_times, other, other_price, other_times, lead_fee, other_fee)), strict=True):
-        worth = lambda x, price, times: x if price == "" else _priced(x, price, times)
-        out.append((X.fmt(worth(X.parse(v), p, t)), X.fmt(worth(X.parse(w), q, u)), X.fmt(X.add(worth(X.parse(f), p, t), worth(X.parse(g), q, u)))))
-    columns = list(zip(*out, strict=True)) or [()] * 3
+    def worths(amount, fee, price, times):
+        """Amounts and fees of one side of every row."""
+        found = []
+        for a, f, p, t in zip(X.rows_of(amount), X.rows_of(fee), X.rows_of(price), X.rows_of(times), strict=True):
+            a, f = X.parse(a), X.parse(f)
+            if p is None:
+                a = f = None
+            elif p != "":
+                by, one = X.parse(p), X.mul if t is True else X.div
+                a, f = one(a, by), one(f, by)
+            found.append((a, f))
+        return found
+    leads, others = worths(lead, lead_fee, lead_price, lead_times), worths(other, other_fee, other_price, other_times)
+    columns = [[X.fmt(a) for a, _ in leads], [X.fmt(a) for a, _ in others], [X.fmt(X.add(f, g)) for (_, f), (_, g) in zip(leads, others, strict=True)]]
     return pa.StructArray.from_arrays([pa.array(c, pa.string()) for c in columns], names=list(BASE_KEYS))
 
 
@@ -222,12 +224,33 @@ def base_amounts(df: DataFrame, base_token: str = ETH_ADDRESS) -> DataFrame:
     return out.withColumn("baseAmounts", F.create_map(*entries)).drop("__b")
 
 
+def _priced_lists(values: pa.Array, price: pa.Array, times: pa.Array) -> tuple[pa.Array, list]:
+    """Every value of a row's list by the row's one price: the literals, and the
+    rows' (p, q) lists (None for a null list)."""
+    flat, at, rows = X.rows_of(values.flatten()), 0, []
+    for n, p, t in zip(values.value_lengths().to_pylist(), X.rows_of(price), X.rows_of(times), strict=True):
+        if n is None:
+            rows.append(None)
+            continue
+        by, one = None if p is None else X.parse(p), X.mul if t is True else X.div
+        rows.append([None] * n if by is None else [one(X.parse(v), by) for v in flat[at:at + n]])
+        at += n
+    ends = np.cumsum([0, *[0 if r is None else len(r) for r in rows]], dtype=np.int32)
+    literals = pa.array([X.fmt(v) for r in rows if r is not None for v in r], pa.string())
+    return pa.ListArray.from_arrays(pa.array(ends), literals, mask=pa.array([r is None for r in rows], pa.bool_())), rows
+
+
 @arrow_udf(ArrayType(StringType()))
 def _convert_values(values: pa.Array, price: pa.Array, times: pa.Array) -> pa.Array:
-    """Every value of a row's list by the row's one price."""
-    rows = [None if vs is None else [X.fmt(_priced(X.parse(v), p, t)) for v in vs]
-            for vs, p, t in zip(values.to_pylist(), price.to_pylist(), times.to_pylist(), strict=True)]
-    return pa.array(rows, pa.list_(pa.string()))
+    return _priced_lists(values, price, times)[0]
+
+
+@arrow_udf(StructType([StructField("values", ArrayType(StringType())), StructField("both", StringType())]))
+def _convert_values_and_add(values: pa.Array, price: pa.Array, times: pa.Array, one: pa.Array, other: pa.Array) -> pa.Array:
+    """As ``_convert_values``, and the sum of two of a row's values, by their places from 1."""
+    literals, rows = _priced_lists(values, price, times)
+    both = [None if not i or not j else X.fmt(X.add(vs[i - 1], vs[j - 1])) for vs, i, j in zip(rows, X.rows_of(one), X.rows_of(other), strict=True)]
+    return pa.StructArray.from_arrays([literals, pa.array(both, pa.string())], names=["values", "both"])
 
 
 def convert_map(amounts: Column, price: Column, times: Column) -> Column:
@@ -252,25 +275,22 @@ def usd_amounts(df: DataFrame, usd_token: str = USDC_ADDRESS, gas_keys: Sequence
     price = F.when(own, F.col("price1")).otherwise(quote["price"])
     times = ~F.coalesce(F.when(own, F.col("is1")).otherwise(quote["is1"]), F.lit(False))
     gas = F.create_map(*[c for k in gas_keys for c in (F.lit(k), F.col(k).cast("string"))])
-    out = df.withColumn("usdAmounts", convert_map(F.map_concat("baseAmounts", gas), price, times))
-    fees = [F.col("usdAmounts").getItem(k) for k in ("gasFees", "fee")]
-    return out.withColumn("totalFeesUsd", X.add_(*fees) if "gasFees" in gas_keys else F.lit(None).cast("string"))
-
-
-def _fees_row(gas, fee, vol):
-    t = X.add(X.parse(gas), X.parse(fee))
-    v = X.parse(vol)
-    pct = None
-    if v is not None and v[0] != 0:
-        q = X.div(t, v)
-        pct = None if q is None else X.to_float(q) * 100
-    return [X.fmt(t), pct]
-
-
-@pandas_udf(StructType([StructField("totalFees", StringType()), StructField("totalFeePct", DoubleType())]))
-def _fees(gas: pd.Series, fee: pd.Series, vol: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_fees_row(a, b, c) for a, b, c in zip(gas, fee, vol)],
-                        columns=["totalFees", "totalFeePct"])
+    amounts = F.map_concat("baseAmounts", gas)
+    if "gasFees" not in gas_keys:
+        return df.withColumn("usdAmounts", convert_map(amounts, price, times)).withColumn("totalFeesUsd", F.lit(None).cast("string"))
+    out = df.withColumn("__amounts", amounts)
+    keys = F.map_keys("__amounts")
+    places = [F.array_position(keys, k).cast("int") for k in ("gasFees", "fee")]
+    out = out.withColumn("__usd", _convert_values_and_add(F.map_values("__amounts"), price, times, *places))
+    return out.withColumns({"usdAmounts": F.map_from_arrays(keys, F.col("__usd.values")), "totalFeesUsd": F.col("__usd.both")}).drop("__amounts", "__usd")
+
+
+@arrow_udf(StructType([StructField("totalFees", StringType()), StructField("totalFeePct", DoubleType())]))
+def _fees(gas: pa.Array, fee: pa.Array, vol: pa.Array) -> pa.Array:
+    sums = [X.add(X.parse(a), X.parse(b)) for a, b in zip(X.rows_of(gas), X.rows_of(fee), strict=True)]
+    parts = [X.to_float(X.div(t, X.parse(v))) for t, v in zip(sums, X.rows_of(vol), strict=True)]
+    return pa.StructArray.from_arrays([pa.array(map(X.fmt, sums), pa.string()), pa.array([None if x is None else x * 100 for x in parts], pa.float64())],
+                                      names=["totalFees", "totalFeePct"])
 
 
 def total_fees(df: DataFrame) -> DataFrame:
