@@ -71,3 +71,38 @@ def test_delta_keeps_the_fraction_of_the_order_key(spark):
                 .queryName("delta_fraction").outputMode("append"), live=False)
     got = sorted((str(r["logId"]), r["tickDelta"], r["late"]) for r in spark.table("delta_fraction").collect())
     assert [x[1:] for x in got] == [(None, False), (1, False)] and got[0][0] != got[1][0]
+
+
+def test_a_batch_leaves_its_output_and_state_alone(spark):
+    """Rows published, rated in steps and merged: what was staged on the way goes."""
+    import os
+
+    def scratch():
+        top = sinks.checkpoint_dir(spark).removeprefix("file://")
+        names = [n for n in os.listdir(top) if n.startswith(("publish-stage", "rated-batch"))]
+        return sorted(names), sorted(os.listdir(f"{top}/upsert-stage")) if os.path.exists(f"{top}/upsert-stage") else []
+    root, before = sinks.scratch_path(spark, "t-steps"), scratch()
+    rows = spark.range(40).select(F.lit("2024-01-01").alias("date"), F.concat(F.lit("A"), F.col("id") % 2).alias("address"), F.col("id").alias("logId"))
+    sinks.publish_in_order(rows, f"{root}/log", batches=2, files=2)
+    published = sinks.read_published(spark, f"{root}/log", rows.schema)
+
+    def doubled(df):
+        return df.withColumn("twice", F.col("logId") * 2)
+
+    def lagged(df):
+        from pyspark.sql import Window
+        return df.withColumn("before", F.lag("twice").over(Window.partitionBy("address").orderBy("logId")))
+    s = state.RatedStream(spark, rate=[doubled, lagged], is_quote=F.lit(False), is_usd_quote=F.lit(False), quote_key="address",
+                          target=f"{root}/out", root=root, expiry=100, output=lambda df: df.select("date", "logId", "before"))
+    for k in range(2):
+        s.process(published.where((F.col("logId") / 20).cast("int") == k), k)
+    assert {r["logId"]: r["before"] for r in spark.read.parquet(f"{root}/out").collect()} == {i: None if i < 2 else 2 * i - 4 for i in range(40)}
+    assert scratch() == before and not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    with sinks.shuffles_freed(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == before

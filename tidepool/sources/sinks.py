@@ -8,6 +8,7 @@ in a machine-local folder.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +60,18 @@ def publish_in_order(df: DataFrame, path: str, *, order: str = "logId", batches:
 
     The input is computed once: it is written as a table under the shared
     checkpoint folder (cutting its lineage) and the ranges are read back from
-    it with pushed-down filters.
+    it with pushed-down filters. The table goes when the ranges are written, and
+    a range's shuffle files before the next range.
     """
-    rows = staged(df, "publish-stage")
+    spark, stage = df.sparkSession, scratch_path(df.sparkSession, "publish-stage")
+    try:
+        with shuffles_freed(spark):
+            return _publish_ranges(staged_at(df, stage), path, df.columns, order, batches, key, as_json, files)
+    finally:
+        discard(spark, stage)
+
+
+def _publish_ranges(rows: DataFrame, path: str, columns, order: str, batches: int, key: str, as_json: bool, files: int) -> int:
     lo, hi = rows.agg(F.min(order), F.max(order)).first()
     if lo is None:
         return 1
@@ -80,9 +90,9 @@ def publish_in_order(df: DataFrame, path: str, *, order: str = "logId", batches:
         now = now.repartition(files, F.get(numbers, bucket(files).cast("int"))).sortWithinPartitions(order)
         if as_json:
             now = now.select(F.col(key).cast("string").alias("key"),
-                             F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
+                             F.to_json(F.struct(*[F.col(c) for c in columns])).alias("value"),
                              F.col(order).cast("long").alias("order"))
-        now.write.mode("append").parquet(path)
+        now.write.mode("append").option("compression", SCRATCH_COMPRESSION).parquet(path)
     return files
 
 
@@ -142,7 +152,7 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
     are one row; different rows of a key without ``newest`` are refused, as
     any choice would lose one. Columns that only the table has keep their
     values on untouched rows and are null on new ones. Replaying the same ``batch_id`` gives the same
-    table, so a retried micro-batch is idempotent.
+    table, so a retried micro-batch is idempotent. What was staged goes at the end.
     """
     spark = batch.sparkSession
     keys = list(keys)
@@ -155,8 +165,18 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
     # result from the target and the batch, never from an earlier attempt
     tag = f"{batch_id}-" if batch_id is not None else ""
     stage = f"{checkpoint_dir(spark)}/upsert-stage/{tag}{uuid.uuid4().hex}"
-    batch.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    out = f"{stage}-merged"
+    try:
+        batch.write.mode("overwrite").option("compression", SCRATCH_COMPRESSION).parquet(stage)
+        _merge(spark.read.parquet(stage), path, keys, partition_col, newest, out)
+    finally:
+        discard(spark, stage)
+        discard(spark, out)
+
+
+def _merge(staged: DataFrame, path: str, keys: list[str], partition_col: str, newest: str | None, out: str) -> None:
+    """``upsert`` of a staged batch; ``out`` is where merged partitions are staged."""
+    spark = staged.sparkSession
     if not newest and staged.groupBy(*keys).count().where("count > 1").limit(1).count():
         raise ValueError(f"several rows of one key {keys} and no column to order them by")
     try:
@@ -183,7 +203,6 @@ def upsert(batch: DataFrame, path: str, *, keys=("date", "logId"), partition_col
         return
     kept = in_touched.join(staged.select(*keys), keys, "left_anti")
     merged = kept.unionByName(staged, allowMissingColumns=True)
-    out = f"{stage}-merged"
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(out)
     overwrite_partitions(spark.read.parquet(out), path, partition_col)
 
@@ -264,9 +283,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Of data that is written to be read a few times: half the size of the default.
+SCRATCH_COMPRESSION = "zstd"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to scratch and read back: computed once however often it
     is read, and columns that a reader does not need are not read."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    return staged_at(df, scratch_path(df.sparkSession, name))
+
+
+def staged_at(df: DataFrame, path: str) -> DataFrame:
+    """``staged`` in a folder that the caller names, and discards."""
+    df.write.option("compression", SCRATCH_COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this job, in whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Inside, a query's shuffle files are deleted when the query ends, not when
+    the driver happens to collect its garbage. For queries whose results are
+    written and read back: one that is run again computes its shuffles again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

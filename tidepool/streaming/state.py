@@ -13,7 +13,9 @@ Two forms:
   carried explicitly: the rows that later rows can still need (the last swap
   per pool, and every quote, none older than the expiry) are written per
   batch id under the checkpoint dir. Each micro-batch is unioned with the
-  previous batch's state rows and rated with the same batch operators. A row
+  previous batch's state rows and rated with the same batch operators. What a
+  batch works with, its rows and those after each rating step, is written to
+  scratch and deleted with the batch, so disk holds one batch's work. A row
   is late only if it is not after the last swap of its own pool, so pools may
   interleave over batches as keyed topics do: a row sees every quote before
   it that had arrived by its batch. With batches in global order the result
@@ -25,7 +27,7 @@ Two forms:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -104,16 +106,17 @@ class RatedStream:
     """foreachBatch rating with carried state; see the module docstring.
 
     ``rate``: the batch rating chain (DataFrame -> DataFrame) applied to state
-    rows + micro-batch rows; ``is_quote`` / ``is_usd_quote``: which rows are
+    rows + micro-batch rows, or its steps, in order: rows are written after each,
+    so that no more than a step's shuffle files exist at once; ``is_quote`` / ``is_usd_quote``: which rows are
     quotes; ``target``: upsert sink path; ``root``: a folder under the shared
     checkpoint dir for state and rejects.
     """
 
-    def __init__(self, spark: SparkSession, *, rate: Callable[[DataFrame], DataFrame],
+    def __init__(self, spark: SparkSession, *, rate: Callable[[DataFrame], DataFrame] | Sequence[Callable[[DataFrame], DataFrame]],
                  is_quote, is_usd_quote, quote_key: str, target: str, root: str | None = None,
                  expiry: int = BLOCK_EXPIRY, order: str = "logId", pool_key: str = "address",
                  output: Callable[[DataFrame], DataFrame] | None = None, upsert_keys=("date", "logId")):
-        self.rate, self.is_quote, self.is_usd_quote = rate, is_quote, is_usd_quote
+        self.steps, self.is_quote, self.is_usd_quote = [rate] if callable(rate) else list(rate), is_quote, is_usd_quote
         self.quote_key, self.target, self.expiry, self.order = quote_key, target, expiry, order
         self.pool_key, self.output, self.upsert_keys = pool_key, output, upsert_keys
         self.root = root or f"{checkpoint_dir(spark)}/rated-stream"
@@ -127,40 +130,52 @@ class RatedStream:
         return spark.read.schema(schema).parquet(self._state_path(batch_id - 1))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        from tidepool.operators.layout import spread
         from tidepool.sources import sinks
         spark = batch.sparkSession
-        state = self._read_state(spark, batch_id, StructType(list(batch.schema.fields)).add("__last", BooleanType()))
-        batch = spread(batch).persist()
+        scratch = sinks.scratch_path(spark, "rated-batch")
         try:
-            rows = batch.withColumn("__state", F.lit(False))
-            if state is not None:
-                # Rows not after the last swap of their own pool are late
-                seen = (state.where("__last").groupBy(F.col(self.pool_key).alias("__pool"))
-                             .agg(F.max(self.order).alias("__seen")))
-                rows = rows.join(seen, F.col(self.pool_key).eqNullSafe(F.col("__pool")), "left")
-                late = F.col("__seen").isNotNull() & (F.col(self.order) <= F.col("__seen"))
-                # a folder a batch: a replayed batch writes its rejects anew, not twice
-                rows.where(late).select(*batch.columns).write.mode("overwrite").parquet(f"{self.root}/rejected/batch={batch_id}")
-                rows = (rows.where(~late).select(*batch.columns, "__state")
-                            .unionByName(state.drop("__last").withColumn("__state", F.lit(True))))
-            rows = rows.persist()
-            try:
-                out = self.rate(rows).where(~F.col("__state")).drop("__state").persist()
-                try:
-                    # Rating neither loses nor multiplies rows
-                    taken, given = rows.where(~F.col("__state")).count(), out.count()
-                    if taken != given:
-                        raise ValueError(f"batch {batch_id}: {taken} rows in, {given} rows out")
-                    sinks.upsert(out if self.output is None else self.output(out), self.target,
-                                 keys=self.upsert_keys, batch_id=f"b{batch_id}")
-                finally:
-                    out.unpersist()
-                self._write_state(rows, batch_id)
-            finally:
-                rows.unpersist()
+            with sinks.shuffles_freed(spark):
+                self._process(batch, batch_id, scratch)
         finally:
-            batch.unpersist()
+            sinks.discard(spark, scratch)
+
+    def _process(self, batch: DataFrame, batch_id: int, scratch: str) -> None:
+        from tidepool.operators.layout import spread
+        from tidepool.sources import sinks
+        spark = batch.sparkSession
+        state = self._read_state(spark, batch_id, StructType(list(batch.schema.fields)).add("__last", BooleanType()))
+        columns = batch.columns
+        batch = spread(batch)
+        if state is None:
+            batch = batch.withColumn("__late", F.lit(False))
+        else:
+            # Rows not after the last swap of their own pool are late
+            seen = (state.where("__last").groupBy(F.col(self.pool_key).alias("__pool"))
+                         .agg(F.max(self.order).alias("__seen")))
+            batch = batch.join(seen, F.col(self.pool_key).eqNullSafe(F.col("__pool")), "left")
+            late = F.col("__seen").isNotNull() & (F.col(self.order) <= F.col("__seen"))
+            batch = batch.select(*columns, late.alias("__late"))
+        batch = sinks.staged_at(batch, f"{scratch}/batch")
+        rows = batch.where(~F.col("__late")).select(*columns, F.lit(False).alias("__state"))
+        if state is not None:
+            # a folder a batch: a replayed batch writes its rejects anew, not twice
+            batch.where("__late").select(*columns).write.mode("overwrite").parquet(f"{self.root}/rejected/batch={batch_id}")
+            rows = rows.unionByName(state.drop("__last").withColumn("__state", F.lit(True)))
+        out = rows
+        for k, step in enumerate(self.steps):
+            out = step(out)
+            if k == len(self.steps) - 1:
+                out = out.where(~F.col("__state")).drop("__state")
+            out = sinks.staged_at(out, f"{scratch}/step{k}")
+            if k:
+                sinks.discard(spark, f"{scratch}/step{k - 1}")
+        # Rating neither loses nor multiplies rows
+        taken, given = rows.where(~F.col("__state")).count(), out.count()
+        if taken != given:
+            raise ValueError(f"batch {batch_id}: {taken} rows in, {given} rows out")
+        sinks.upsert(out if self.output is None else self.output(out), self.target,
+                     keys=self.upsert_keys, batch_id=f"b{batch_id}")
+        self._write_state(rows, batch_id)
 
     def _write_state(self, rows: DataFrame, batch_id: int) -> None:
         """The last row per pool (``__last``) and every quote, none older than
